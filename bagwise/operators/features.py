@@ -100,7 +100,13 @@ def tfidf_terms(df: DataFrame, key: str, bag_col: str = "tokens",
     tf = (token_rows(df, bag_col, keep=[key])
           .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
     n_docs = df.select(key).count()
-    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
+    # doc_freq reads the tf column (tf >= 1, so this counts the bags):
+    # the tf aggregate then stays intact in this branch, both branches share
+    # one exchange (ReuseExchange) and the text is scanned and tokenized
+    # once. With count(*) Catalyst prunes the branch into a distinct
+    # aggregate, a different plan that tokenizes everything a second time.
+    dfreq = tf.groupBy("token").agg(
+        F.sum((F.col("tf") > 0).cast("long")).alias("doc_freq"))
     idf = F.when(F.col("doc_freq") >= F.lit(min_doc_freq),
                  F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + F.lit(1.0)))
                  ).otherwise(F.lit(0.0))

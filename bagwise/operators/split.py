@@ -4,18 +4,16 @@ The exact split (T2) puts, in every class, the ``round(f * n_class)`` rows
 with the smallest ``(md5(key:seed), key)`` into the test set. Written as a
 window ``row_number() over (partition by class order by hash)`` this would
 sort a whole class in one task, and one class may hold a third of the table.
-Instead, the k-th smallest hash of each class is found by refinement over
-hash prefixes:
-
-1. count rows per (class, first 4 hex digits) -- a partially aggregated
-   table of at most classes x 65536 rows; a running sum per class finds the
-   prefix that holds the k-th row and the rank inside that prefix;
-2. repeat on the next 4 hex digits for only the rows of that prefix
-   (about n_class / 65536 rows, pushed through a broadcast semi-filter);
-3. rank the rows sharing the resulting 8-digit prefix (about
-   n_class / 2^32 rows, in practice a handful) and read off the threshold.
-
-Each step shuffles aggregates or a tiny candidate set; the thresholds (one
+Instead, the k-th smallest hash of each class is found in two steps:
+
+1. count rows per (class, first 5 hex digits of the hash) -- a partially
+   aggregated table of at most classes x 2^20 rows; a running sum per class
+   finds the bucket that holds the k-th row and the rank inside it;
+2. rank only the rows of that bucket (expected n_class / 2^20 rows, about a
+   million even for a class of 10^12 rows; they reach the window through a
+   broadcast filter) and read off the threshold row.
+
+Each step shuffles aggregates or a small candidate set; the thresholds (one
 row per class) are broadcast back and every row is labelled by a compare, a
 narrow map with no shuffle of the table. The result equals the window form
 row for row (the DuckDB oracle uses the window form).
@@ -42,72 +40,66 @@ def _join_g(left: DataFrame, right: DataFrame, how: str = "inner",
     return left.join(r, left[_G].eqNullSafe(r["_gr"]), how).drop("_gr")
 
 
-def _boundary(counts: DataFrame, quota: DataFrame, part: str) -> DataFrame:
-    """Per group: the prefix `part` holding the quota-th row, and the rank
-    of that row inside the prefix. Groups with quota 0 give no row."""
+def _boundary(counts: DataFrame, part: str, carry=()) -> DataFrame:
+    """Per group: the prefix `part` holding the `_q`-th row, and the rank of
+    that row inside the prefix (new `_q`). `counts` has one row per
+    (group, prefix) with its row count `_n` and the group's quota `_q`."""
     w = (Window.partitionBy(_G).orderBy(part)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    c = (_join_g(counts, quota)
-               .withColumn("_cum", F.sum("_n").over(w))
+    c = (counts.withColumn("_cum", F.sum("_n").over(w))
                .withColumn("_prev", F.col("_cum") - F.col("_n")))
     return (c.where((F.col("_prev") < F.col("_q")) & (F.col("_q") <= F.col("_cum")))
-             .select(_G, part, (F.col("_q") - F.col("_prev")).alias("_q")))
+             .select(_G, *carry, part, (F.col("_q") - F.col("_prev")).alias("_q")))
+
+
+# Hex digits of the bucket prefix: 16^5 = 2^20 buckets per class.
+BUCKET_HEX = 5
 
 
 def split_thresholds(df: DataFrame, key: str, fraction: float, seed,
                      by: str | None = None,
-                     max_groups: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                     max_groups: int = MAX_BROADCAST_ROWS,
+                     bucket_hex: int = BUCKET_HEX) -> DataFrame:
     """Per group: the (hash, key) of the last test row, as a small table.
 
     Columns: ``_g`` (the class), ``_th`` (hash), ``_tk`` (key). Groups whose
     quota ``round(fraction * n)`` is 0 have no row (all their rows train).
+    Two small jobs; each pulls at most one row per group to the driver.
     """
     g = F.col(by) if by else F.lit(0)
     lab = df.select(g.alias(_G), F.col(key).alias(_K), row_hash(key, seed).alias(_H))
 
-    # quota per group: one row per class, size-checked before broadcast
-    sizes = lab.groupBy(_G).agg(F.count(F.lit(1)).alias("_size"))
-    quota_t = bounded_table(
-        sizes.select(_G, F.round(F.col("_size") * F.lit(float(fraction)))
-                     .cast("bigint").alias("_q")).where(F.col("_q") > 0),
-        max_groups)
-    if not quota_t.bounded:
-        raise ValueError(f"more than {max_groups} classes; split them first")
-    quota = quota_t.df
-
-    # level 1: first 4 hex digits
-    c1 = lab.groupBy(_G, F.substring(_H, 1, 4).alias("_p1")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    b1 = bounded_table(_boundary(c1, quota, "_p1"), max_groups).df
-
-    # level 2: next 4 hex digits, only rows in each group's level-1 prefix
-    l2 = (_join_g(lab, b1.select(_G, "_p1"))
-             .where(F.substring(_H, 1, 4) == F.col("_p1")))
-    c2 = l2.groupBy(_G, F.substring(_H, 5, 4).alias("_p2")).agg(
+    # level 1: rows per (group, hash bucket); the group's size and quota come
+    # from the same table (a window over at most 2^20 rows per group)
+    c1 = lab.groupBy(_G, F.substring(_H, 1, bucket_hex).alias("_p1")).agg(
         F.count(F.lit(1)).alias("_n"))
-    b2 = bounded_table(
-        _join_g(_boundary(c2, b1.select(_G, "_q"), "_p2"), b1.select(_G, "_p1")),
-        max_groups).df
+    c1 = c1.withColumn("_q", F.round(F.sum("_n").over(Window.partitionBy(_G))
+                                     * F.lit(float(fraction))).cast("bigint"))
+    b1t = bounded_table(_boundary(c1.where(F.col("_q") > 0), "_p1"), max_groups)
+    if not b1t.bounded:
+        raise ValueError(f"more than {max_groups} classes; split them first")
 
-    # level 3: rank the few rows sharing the 8-digit prefix
-    l3 = (_join_g(lab, b2)
-             .where(F.substring(_H, 1, 8) == F.concat("_p1", "_p2")))
+    # level 2: rank only the rows of each group's boundary bucket (expected
+    # n_group / 2^20 rows) and read off the threshold row
+    l2 = (_join_g(lab, b1t.df)
+          .where(F.substring(_H, 1, bucket_hex) == F.col("_p1")))
     w = Window.partitionBy(_G).orderBy(_H, _K)
-    th = (l3.withColumn("_rn", F.row_number().over(w))
+    th = (l2.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == F.col("_q"))
             .select(_G, F.col(_H).alias("_th"), F.col(_K).alias("_tk")))
     return bounded_table(th, max_groups).df
 
 
 def with_split(df: DataFrame, key: str, test_fraction: float, seed=7,
-               by: str | None = None, split_col: str = "split") -> DataFrame:
+               by: str | None = None, split_col: str = "split",
+               bucket_hex: int = BUCKET_HEX) -> DataFrame:
     """T2 (by=class) / T3 exact (by=None): add ``split`` = 'train' | 'test'.
 
     Exactly ``round(test_fraction * n)`` rows of each class are 'test';
     the choice depends only on key and seed. Null classes form their own
     group.
     """
-    th = split_thresholds(df, key, test_fraction, seed, by)
+    th = split_thresholds(df, key, test_fraction, seed, by, bucket_hex=bucket_hex)
     g = F.col(by) if by else F.lit(0)
     left = df.withColumn(_G, g).withColumn(_H, row_hash(key, seed))
     j = _join_g(left, th, "left")

@@ -49,16 +49,17 @@ def prepare_training(df: DataFrame, key: str, class_col: str,
     duplicates (the reference), ``'post_dedup'`` after.
     """
     s = split.with_split(df, key, test_fraction, seed, by=class_col, split_col="_split")
-    s = materialize(s)
+    s = materialize(s, "split")
     train_all = s.where(F.col("_split") == "train").drop("_split")
     valid = s.where(F.col("_split") == "test").drop("_split")
-    train = prepare.dedup_bags(train_all, key, bag_col) if dedup else train_all
+    train = materialize(prepare.dedup_bags(train_all, key, bag_col), "dedup") \
+        if dedup else train_all
     if weights:
         tot = train_all.count() if total == "pre_dedup" else None
+        # the class table is counted from the written table, then broadcast
         train = prepare.with_class_weights(train, class_col, total=tot)
     else:
         train = train.withColumn("weight", F.lit(1.0))
-    train = materialize(train)
     return Prepared(train, valid, train_all, class_col, bag_col, key)
 
 
@@ -81,9 +82,10 @@ def feature_stages(kind: str, train: DataFrame, bag_col: str, *,
 def logistic_regression(max_iter: int = st.LR_MAX_ITER,
                         reg_param: float = st.LR_REG_PARAM,
                         weight_col: str | None = None) -> LogisticRegression:
-    """L2 / L3: multinomial logistic regression."""
+    """L2 / L3: logistic regression (family 'auto': multinomial for more
+    than two classes, as in the reference)."""
     kw = dict(featuresCol="features", labelCol="label", maxIter=max_iter,
-              regParam=reg_param, family="multinomial")
+              regParam=reg_param)
     if weight_col:
         kw["weightCol"] = weight_col
     return LogisticRegression(**kw)

@@ -10,6 +10,7 @@ a scratch folder (tests, bench); elsewhere the fallback is a recomputable
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -74,15 +75,23 @@ def checkpoint_dir(spark: SparkSession, allow_local_scratch: bool = True) -> str
     return None
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute `df` once and cut its lineage for repeated use.
 
-    Checkpoint into the shared checkpoint folder when there is one; without
-    it, persist to memory and disk (lost blocks are recomputed from lineage).
+    With a checkpoint folder (the shared folder of the cluster), `df` is
+    written there as a parquet table and read back: one job, compressed,
+    and later reads prune columns and push filters into the scan (an RDD
+    checkpoint of an unpersisted DataFrame computes it twice and cannot
+    prune). A lost executor costs nothing: the table is on shared storage.
+    Without a checkpoint folder, persist to memory and disk (lost blocks are
+    recomputed from lineage).
     """
     spark = df.sparkSession
-    if checkpoint_dir(spark) is not None:
-        return df.checkpoint(eager=True)
+    base = checkpoint_dir(spark)
+    if base is not None:
+        path = f"{base.rstrip('/')}/bagwise-{name}-{uuid.uuid4().hex}"
+        df.write.mode("error").parquet(path)
+        return spark.read.parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
