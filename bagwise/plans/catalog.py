@@ -27,6 +27,8 @@ TEST_FRACTION = 0.2         # validation share of the split
 SPLIT_SEED = 7              # seed of the split
 N_FOLDS = 3                 # folds of the library cross-validation
 RULE_MIN_CHARS = 1000       # rule-based prediction: n_chars > 1000
+ONE_CLASS = "fr"            # class of the single-class top-token report
+VOCAB_MIN_DF = 2            # min_df of the filtered vocabulary
 ROUND = 6
 
 
@@ -84,6 +86,20 @@ def q_top_phrases_per_class(spark, sf_dir):
                                         TOP_N_PER_CLASS)
 
 
+def q_top_tokens_one_class(spark, sf_dir):
+    return profile.top_tokens_of_class(doc_bags(spark, sf_dir), "lang", ONE_CLASS,
+                                       TOP_N_PER_CLASS)
+
+
+def q_distinct_classes(spark, sf_dir):
+    return profile.distinct_classes(tables.documents(spark, sf_dir, ["lang"]), "lang")
+
+
+def q_bag_sizes(spark, sf_dir):
+    return profile.with_bag_size(doc_bags(spark, sf_dir)).select("doc_id", "lang",
+                                                                 "n_tokens")
+
+
 def q_class_counts(spark, sf_dir):
     return profile.class_counts(tables.documents(spark, sf_dir, ["lang"]), "lang")
 
@@ -162,6 +178,13 @@ def q_split_sample_by(spark, sf_dir):
                  .unionByName(test.withColumn("split", F.lit("test"))))
 
 
+def q_split_random_library(spark, sf_dir):
+    d = tables.documents(spark, sf_dir, ["doc_id", "lang"])
+    train, test = split.random_split(d, TEST_FRACTION, SPLIT_SEED)
+    return (train.withColumn("split", F.lit("train"))
+                 .unionByName(test.withColumn("split", F.lit("test"))))
+
+
 def q_folds(spark, sf_dir):
     d = tables.documents(spark, sf_dir, ["doc_id"])
     return split.with_folds(d, "doc_id", N_FOLDS, SPLIT_SEED)
@@ -186,6 +209,12 @@ def q_class_weights(spark, sf_dir):
     return t.select("lang", "class_count", "total", r6("weight").alias("weight"))
 
 
+def q_class_weights_post_dedup(spark, sf_dir):
+    dd = prepare.dedup_bags(doc_train(spark, sf_dir), "doc_id")
+    t = prepare.class_weight_table(dd, "lang")
+    return t.select("lang", "class_count", "total", r6("weight").alias("weight"))
+
+
 def q_class_weights_rows(spark, sf_dir):
     dd, t = _weights(spark, sf_dir)
     return (dd.join(F.broadcast(t.select("lang", "weight")), "lang")
@@ -208,6 +237,10 @@ def q_vocabulary(spark, sf_dir):
     return feat.vocabulary(doc_bags(spark, sf_dir))
 
 
+def q_vocabulary_min_df(spark, sf_dir):
+    return feat.vocabulary(doc_bags(spark, sf_dir), min_df=VOCAB_MIN_DF, key="doc_id")
+
+
 def q_tfidf_terms(spark, sf_dir):
     t = feat.tfidf_terms(doc_bags(spark, sf_dir), "doc_id")
     return t.select("doc_id", "token", "tf", "doc_freq", r6("idf").alias("idf"),
@@ -251,6 +284,9 @@ DETERMINISTIC = {
     "top_tokens_per_class": q_top_tokens_per_class,
     "top_tokens_overall": q_top_tokens_overall,
     "top_phrases_per_class": q_top_phrases_per_class,
+    "top_tokens_one_class": q_top_tokens_one_class,
+    "distinct_classes": q_distinct_classes,
+    "bag_sizes": q_bag_sizes,
     "class_counts": q_class_counts,
     "basket_class_counts": q_basket_class_counts,
     "distinct_token_count": q_distinct_token_count,
@@ -268,10 +304,12 @@ DETERMINISTIC = {
     "folds": q_folds,
     "dedup_bags": q_dedup_bags,
     "class_weights": q_class_weights,
+    "class_weights_post_dedup": q_class_weights_post_dedup,
     "class_weights_rows": q_class_weights_rows,
     "label_index_desc": q_label_index_desc,
     "label_index_asc": q_label_index_asc,
     "vocabulary": q_vocabulary,
+    "vocabulary_min_df": q_vocabulary_min_df,
     "tfidf_terms": q_tfidf_terms,
     "metric_accuracy": q_metric_accuracy,
     "metric_per_class": q_metric_per_class,
@@ -284,4 +322,5 @@ DETERMINISTIC = {
 # Queries whose result depends on Spark's samplers (no SQL equivalent).
 SAMPLED = {
     "split_sample_by": q_split_sample_by,
+    "split_random_library": q_split_random_library,
 }

@@ -8,9 +8,9 @@ the test tables).
 
 from __future__ import annotations
 
-from bagwise.plans.catalog import (LONG_BAG_TOKENS, N_FOLDS, RULE_MIN_CHARS,
-                                   SPLIT_SEED, TEST_FRACTION, TOP_N_OVERALL,
-                                   TOP_N_PER_CLASS)
+from bagwise.plans.catalog import (LONG_BAG_TOKENS, N_FOLDS, ONE_CLASS,
+                                   RULE_MIN_CHARS, SPLIT_SEED, TEST_FRACTION,
+                                   TOP_N_OVERALL, TOP_N_PER_CLASS, VOCAB_MIN_DF)
 
 DOC_BAGS = """doc_bags AS (
   SELECT doc_id, lang,
@@ -119,6 +119,16 @@ SELECT o_orderpriority, token, count, rank FROM (
   FROM c)
 WHERE rank <= {TOP_N_PER_CLASS}"""
 
+    q["top_tokens_one_class"] = _with(DOC_BAGS, DOC_TOKENS, f"""c AS (
+  SELECT token, count(*) AS count FROM doc_tokens WHERE lang = '{ONE_CLASS}' GROUP BY token)""") + f"""
+SELECT token, count, rank FROM (
+  SELECT token, count, row_number() OVER (ORDER BY count DESC, token) AS rank FROM c)
+WHERE rank <= {TOP_N_PER_CLASS}"""
+
+    q["distinct_classes"] = "SELECT DISTINCT lang FROM documents"
+
+    q["bag_sizes"] = _with(DOC_BAGS) + "SELECT doc_id, lang, len(tokens) AS n_tokens FROM doc_bags"
+
     q["class_counts"] = "SELECT lang, count(*) AS count FROM documents GROUP BY lang"
 
     q["basket_class_counts"] = _with(BASKETS) + """
@@ -177,6 +187,12 @@ SELECT doc_id, lang, len(tokens) AS n_tokens FROM dedup"""
     q["class_weights"] = _with(DOC_BAGS, DOC_SPLIT, TRAIN_BAGS, DEDUP, WEIGHTS) + """
 SELECT lang, class_count, total, round(weight, 6) AS weight FROM weights"""
 
+    q["class_weights_post_dedup"] = _with(DOC_BAGS, DOC_SPLIT, TRAIN_BAGS, DEDUP) + """
+SELECT lang, count(*) AS class_count, (SELECT count(*) FROM dedup) AS total,
+       round(((SELECT count(*) FROM dedup) / count(*))
+             / (SELECT count(DISTINCT lang) FROM dedup), 6) AS weight
+FROM dedup GROUP BY lang"""
+
     q["class_weights_rows"] = _with(DOC_BAGS, DOC_SPLIT, TRAIN_BAGS, DEDUP, WEIGHTS) + """
 SELECT d.doc_id, d.lang, round(w.weight, 6) AS weight
 FROM dedup d JOIN weights w ON w.lang = d.lang"""
@@ -195,6 +211,13 @@ SELECT idx, token, count FROM (
   SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, count FROM c)
 WHERE idx < {1 << 18}"""
 
+    q["vocabulary_min_df"] = _with(DOC_BAGS, DOC_TOKENS, f"""c AS (
+  SELECT token, count(*) AS count, count(DISTINCT doc_id) AS doc_freq
+  FROM doc_tokens GROUP BY token HAVING count(DISTINCT doc_id) >= {VOCAB_MIN_DF})""") + f"""
+SELECT idx, token, count FROM (
+  SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, count FROM c)
+WHERE idx < {1 << 18}"""
+
     q["tfidf_terms"] = _with(DOC_BAGS, DOC_TOKENS, """tf AS (
   SELECT doc_id, token, count(*) AS tf FROM doc_tokens GROUP BY doc_id, token)""",
                              """m AS (SELECT count(*) AS m FROM documents)""",

@@ -56,10 +56,20 @@ def prepared(spark: SparkSession, sf_dir: str) -> mdl.Prepared:
         catalog.TEST_FRACTION, catalog.SPLIT_SEED))
 
 
-def _fit(spark, sf_dir, kind, classifier, train_attr="train", **fkw):
-    prep = prepared(spark, sf_dir)
+def prepared_quality(spark: SparkSession, sf_dir: str) -> mdl.Prepared:
+    """The imbalanced two-class task: documents joined to labels.quality."""
+    def make():
+        lab = tables.labels(spark, sf_dir).select("doc_id", "quality")
+        bags = catalog.doc_bags(spark, sf_dir).join(lab, "doc_id").drop("lang")
+        return mdl.prepare_training(bags, "doc_id", "quality", "tokens",
+                                    catalog.TEST_FRACTION, catalog.SPLIT_SEED)
+    return _cached(spark, sf_dir, "prepared_quality", make)
+
+
+def _fit(spark, sf_dir, kind, classifier, train_attr="train", task=None, **fkw):
+    prep = (task or prepared)(spark, sf_dir)
     train = getattr(prep, train_attr)
-    pipe = mdl.build_pipeline(kind, classifier, train, "lang", "tokens", **fkw)
+    pipe = mdl.build_pipeline(kind, classifier, train, prep.class_col, "tokens", **fkw)
     return mdl.fit(pipe, train)
 
 
@@ -94,12 +104,45 @@ def rf_w2v_model(spark, sf_dir):
         w2v=W2V_SMALL))
 
 
-def _report(spark, sf_dir, make_model, name) -> DataFrame:
+def rf_quality_model(spark, sf_dir):
+    return _cached(spark, sf_dir, "rf_quality", lambda: _fit(
+        spark, sf_dir, mdl.FEATURES_COUNTS, mdl.random_forest(RF_TREES, RF_DEPTH),
+        task=prepared_quality, vocab_size=RF_VOCAB))
+
+
+def _report(spark, sf_dir, make_model, name, task=None) -> DataFrame:
     model = make_model(spark, sf_dir)
-    return (mdl.evaluate_splits(model, prepared(spark, sf_dir))
+    return (mdl.evaluate_splits(model, (task or prepared)(spark, sf_dir))
             .withColumn("model", F.lit(name)))
 
 
+def q_model_rf_quality(spark, sf_dir):
+    return _report(spark, sf_dir, rf_quality_model, "rf_quality", prepared_quality)
+
+
+def _valid_predictions(spark, sf_dir):
+    model = rf_counts_model(spark, sf_dir)
+    return model, model.transform(prepared(spark, sf_dir).valid)
+
+
+def q_model_per_class(spark, sf_dir):
+    """E3 for the forest on the validation rows, with class names."""
+    from bagwise.operators import metrics as met
+    model, pred = _valid_predictions(spark, sf_dir)
+    names = list(mdl.indexer_of(model).labels)
+    name_t = spark.createDataFrame([(float(i), n) for i, n in enumerate(names)],
+                                   "label double, class string")
+    return met.per_class(pred).join(F.broadcast(name_t), "label", "left")
+
+
+def q_model_confusion(spark, sf_dir):
+    """E6 for the forest on the validation rows: every class is a column."""
+    from bagwise.operators import metrics as met
+    model, pred = _valid_predictions(spark, sf_dir)
+    n = len(mdl.indexer_of(model).labels)
+    return met.confusion_matrix(pred, classes=[float(i) for i in range(n)])
+
+
 def q_model_lr_tfidf(spark, sf_dir):
     return _report(spark, sf_dir, lr_tfidf_model, "lr_tfidf")
 
@@ -167,6 +210,9 @@ MODEL_QUERIES = {
     "model_rf_counts": q_model_rf_counts,
     "model_rf_tfidf": q_model_rf_tfidf,
     "model_rf_w2v": q_model_rf_w2v,
+    "model_rf_quality": q_model_rf_quality,
+    "model_per_class": q_model_per_class,
+    "model_confusion": q_model_confusion,
     "lr_summary_accuracy": q_lr_summary_accuracy,
     "score_unlabeled": q_score_unlabeled,
     "importances_top": q_importances_top,
