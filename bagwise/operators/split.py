@@ -40,6 +40,25 @@ def _join_g(left: DataFrame, right: DataFrame, how: str = "inner",
     return left.join(r, left[_G].eqNullSafe(r["_gr"]), how).drop("_gr")
 
 
+def _attach(left: DataFrame, table, by, how: str = "inner") -> DataFrame:
+    """Add the columns of a bounded per-group table to every row.
+
+    With a class column: a null-safe broadcast hash join on the class. With
+    no class (one group) the table is one already-collected row: its values
+    become literals, so there is no join at all (a join on a constant key
+    would plan a nested-loop join).
+    """
+    if by is not None:
+        return _join_g(left, table.df, how)
+    fields = [f for f in table.df.schema.fields if f.name != _G]
+    row = table.rows[0] if table.rows else None
+    if row is None and how == "inner":
+        return left.where(F.lit(False)).select(
+            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return left.select("*", *[F.lit(None if row is None else row[f.name])
+                             .cast(f.dataType).alias(f.name) for f in fields])
+
+
 def _boundary(counts: DataFrame, part: str, carry=()) -> DataFrame:
     """Per group: the prefix `part` holding the `_q`-th row, and the rank of
     that row inside the prefix (new `_q`). `counts` has one row per
@@ -60,7 +79,7 @@ def split_thresholds(df: DataFrame, key: str, fraction: float, seed,
                      by: str | None = None,
                      max_groups: int = MAX_BROADCAST_ROWS,
                      bucket_hex: int = BUCKET_HEX) -> DataFrame:
-    """Per group: the (hash, key) of the last test row, as a small table.
+    """Per group: the (hash, key) of the last test row, as a bounded table.
 
     Columns: ``_g`` (the class), ``_th`` (hash), ``_tk`` (key). Groups whose
     quota ``round(fraction * n)`` is 0 have no row (all their rows train).
@@ -81,13 +100,13 @@ def split_thresholds(df: DataFrame, key: str, fraction: float, seed,
 
     # level 2: rank only the rows of each group's boundary bucket (expected
     # n_group / 2^20 rows) and read off the threshold row
-    l2 = (_join_g(lab, b1t.df)
+    l2 = (_attach(lab, b1t, by)
           .where(F.substring(_H, 1, bucket_hex) == F.col("_p1")))
     w = Window.partitionBy(_G).orderBy(_H, _K)
     th = (l2.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == F.col("_q"))
             .select(_G, F.col(_H).alias("_th"), F.col(_K).alias("_tk")))
-    return bounded_table(th, max_groups).df
+    return bounded_table(th, max_groups)
 
 
 def with_split(df: DataFrame, key: str, test_fraction: float, seed=7,
@@ -102,7 +121,7 @@ def with_split(df: DataFrame, key: str, test_fraction: float, seed=7,
     th = split_thresholds(df, key, test_fraction, seed, by, bucket_hex=bucket_hex)
     g = F.col(by) if by else F.lit(0)
     left = df.withColumn(_G, g).withColumn(_H, row_hash(key, seed))
-    j = _join_g(left, th, "left")
+    j = _attach(left, th, by, "left")
     is_test = F.coalesce(
         (F.col(_H) < F.col("_th"))
         | ((F.col(_H) == F.col("_th")) & (F.col(key) <= F.col("_tk"))),
