@@ -25,11 +25,16 @@ def dedup_bags(df: DataFrame, key: str, bag_col: str = "tokens",
     behaviour) they collapse to the row with the smallest key.
     """
     cols = df.columns
-    grp = [F.sort_array(bag_col).alias("_bag")]
+    # The row travels as a struct, so the aggregate is sort-based (partial
+    # before the shuffle, final after). A 64-bit hash of the sorted bag leads
+    # the grouping key: the sort compares longs and only hash ties compare
+    # the arrays; the array itself stays in the key, so grouping is exact.
+    keyed = df.withColumn("_bag", F.sort_array(bag_col))
+    grp = [F.xxhash64("_bag").alias("_hb"), F.col("_bag")]
     if class_col:
         grp.append(F.col(class_col).alias("_cls"))
-    kept = (df.groupBy(*grp)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(key)).alias("_r")))
+    kept = (keyed.groupBy(*grp)
+                 .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(key)).alias("_r")))
     return kept.select("_r.*")
 
 
