@@ -15,7 +15,7 @@ from bagwise.functions.tokens import list_tokens, word_tokens
 from bagwise.operators import features as feat
 from bagwise.operators import metrics as met
 from bagwise.operators import prepare, profile, split
-from bagwise.session import spread
+from bagwise.session import materialize, spread
 from bagwise.sources import tables
 
 # Fixed parameters of the registered queries (the reference's values where
@@ -197,10 +197,13 @@ def q_dedup_bags(spark, sf_dir):
     return dd.select("doc_id", "lang", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
-def _weights(spark, sf_dir):
+def _weights(spark, sf_dir, reuse: bool = False):
     train = doc_train(spark, sf_dir)
     total = train.count()     # the reference's total: rows before dedup
     dd = prepare.dedup_bags(train, "doc_id")
+    if reuse:
+        # read twice (class table, then the rows): write it once
+        dd = materialize(dd, "dedup")
     return dd, prepare.class_weight_table(dd, "lang", total=total)
 
 
@@ -216,7 +219,7 @@ def q_class_weights_post_dedup(spark, sf_dir):
 
 
 def q_class_weights_rows(spark, sf_dir):
-    dd, t = _weights(spark, sf_dir)
+    dd, t = _weights(spark, sf_dir, reuse=True)
     return (dd.join(F.broadcast(t.select("lang", "weight")), "lang")
               .select("doc_id", "lang", r6("weight").alias("weight")))
 
