@@ -57,8 +57,15 @@ def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int = 1 << 18
     Tokens ranked by total count, ties by token, at most `vocab_size`.
     ``min_df`` as in CountVectorizer: a count of bags when >= 1, a share of
     bags when < 1; it needs per-bag distinct tokens, so it is only computed
-    when it can filter something. The top-k is a TakeOrdered of at most
-    `vocab_size` rows per task; the numbering runs on those rows only.
+    when it can filter something.
+
+    The top-k merge (TakeOrdered) takes up to `vocab_size` rows from every
+    partition into one task; on a vocabulary of billions of tokens that is
+    partitions x k rows. So tokens below the k-th largest count are dropped
+    first: a histogram of the counts (one row per distinct count value, at
+    most sqrt(2 x tokens) rows) gives that count in a scalar subquery, which
+    reuses the token-count shuffle instead of tokenizing again. The
+    numbering runs on the <= k surviving rows only.
     """
     if min_df > 1.0 or (0.0 < min_df < 1.0):
         if key is None:
@@ -76,7 +83,14 @@ def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int = 1 << 18
     else:
         counts = (token_rows(df, bag_col).groupBy("token")
                   .agg(F.count(F.lit(1)).alias("count")))
-    top = counts.orderBy(F.desc("count"), F.asc("token")).limit(vocab_size)
+    hist = counts.groupBy("count").agg(F.count(F.lit(1)).alias("_n"))
+    cum = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding,
+                                                      Window.currentRow)
+    kth = (hist.withColumn("_cum", F.sum("_n").over(cum))
+               .where(F.col("_cum") >= vocab_size).agg(F.max("count")))
+    floor = F.coalesce(kth.scalar(), F.lit(0))
+    top = (counts.where(F.col("count") >= floor)
+                 .orderBy(F.desc("count"), F.asc("token")).limit(vocab_size))
     w = Window.orderBy(F.desc("count"), F.asc("token"))
     return top.select((F.row_number().over(w) - 1).cast("bigint").alias("idx"),
                       "token", "count")

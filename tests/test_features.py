@@ -59,3 +59,15 @@ def test_tfidf_terms_match_mllib_idf(spark):
     one = terms.first()
     assert abs(one["idf"] - math.log((n + 1.0) / (one["doc_freq"] + 1.0))) < 1e-12
     assert abs(one["tfidf"] - one["tf"] * one["idf"]) < 1e-12
+
+
+def test_vocabulary_prefilter_equals_plain_top_k(spark):
+    from bagwise.functions.tokens import token_rows
+    b = catalog.doc_bags(spark, SF_SMALL)
+    counts = token_rows(b).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    ranked = [(r["token"], r["count"]) for r in
+              counts.orderBy(F.desc("count"), F.asc("token")).collect()]
+    for k in (1, 7, 50, 333, len(ranked), len(ranked) + 10):
+        got = [(r["token"], r["count"]) for r in
+               feat.vocabulary(b, vocab_size=k).orderBy("idx").collect()]
+        assert got == ranked[:k]
