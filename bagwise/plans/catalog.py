@@ -82,8 +82,11 @@ def q_top_tokens_overall(spark, sf_dir):
 
 
 def q_top_phrases_per_class(spark, sf_dir):
-    return profile.top_tokens_per_class(basket_bags(spark, sf_dir), "o_orderpriority",
-                                        TOP_N_PER_CLASS)
+    # item rows = X1 tokens of the baskets (the oracle parses the basket
+    # text); counting them directly needs no per-order gathering
+    items = tables.basket_items(spark, sf_dir).select(
+        "o_orderpriority", F.array("item").alias("tokens"))
+    return profile.top_tokens_per_class(items, "o_orderpriority", TOP_N_PER_CLASS)
 
 
 def q_top_tokens_one_class(spark, sf_dir):
