@@ -40,7 +40,7 @@ def r6(c) -> F.Column:
 
 def doc_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> (doc_id, lang, tokens) with the word tokenizer."""
-    d = spread(tables.documents(spark, sf_dir, ["doc_id", "text", "lang"]))
+    d = spread(tables.documents(spark, sf_dir, ["doc_id", "text", "lang"]), "doc_id")
     return d.select("doc_id", "lang", word_tokens("text").alias("tokens"))
 
 

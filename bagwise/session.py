@@ -97,16 +97,19 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the scan is narrower than the cluster.
+def spread(df: DataFrame, key: str | None = None,
+           min_partitions: int | None = None) -> DataFrame:
+    """Repartition only when the scan is narrower than the cluster.
 
     Parquet splits by row group; a table stored as one row group is read by
     one task, which then runs all the CPU-heavy regex tokenizing. On a large
     table the scan already has many partitions and this is a no-op, so no
-    shuffle of raw text is added at scale.
+    shuffle of raw text is added at scale. With a `key` the rows are hash
+    partitioned by it: deterministic under task retries without the local
+    sort Spark puts in front of a round-robin repartition.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

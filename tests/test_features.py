@@ -46,15 +46,21 @@ def test_count_vectorizer_from_vocabulary_is_deterministic(spark):
 
 
 def test_tfidf_terms_match_mllib_idf(spark):
-    # small vocabulary -> no hash collisions at 2^20 features
-    b = catalog.doc_bags(spark, SF_SMALL).select(
-        "doc_id", F.slice("tokens", 1, 3).alias("tokens"))
+    b = catalog.doc_bags(spark, SF_SMALL)
     terms = feat.tfidf_terms(b, "doc_id")
     tf = HashingTF(inputCol="tokens", outputCol="h", numFeatures=1 << 20)
-    hashed = tf.transform(b)
-    idf = IDF(inputCol="h", outputCol="x").fit(hashed).idf.toArray()
-    for r in terms.select("token", "idf").distinct().collect():
-        assert abs(idf[tf.indexOf(r["token"])] - r["idf"]) < 1e-9
+    idf = IDF(inputCol="h", outputCol="x").fit(tf.transform(b)).idf.toArray()
+    per_token = {r["token"]: r["idf"] for r in terms.select("token", "idf").distinct().collect()}
+    by_index = {}
+    for t in per_token:
+        by_index.setdefault(tf.indexOf(t), []).append(t)
+    # compare every token that has its hash bucket to itself
+    checked = 0
+    for i, toks in by_index.items():
+        if len(toks) == 1:
+            assert abs(idf[i] - per_token[toks[0]]) < 1e-9
+            checked += 1
+    assert checked > 0.95 * len(per_token)
     n = b.count()
     one = terms.first()
     assert abs(one["idf"] - math.log((n + 1.0) / (one["doc_freq"] + 1.0))) < 1e-12
