@@ -29,6 +29,28 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 << 20) -> dict:
+    """Settings for a large cluster, sized from the input volume.
+
+    Shuffles start with enough partitions for ~`target_partition_bytes` of
+    input each (at least 3 per core) and AQE coalesces them to the advisory
+    size after measuring, so aggregated (small) shuffles do not run as
+    hundreds of thousands of tiny tasks while raw-row shuffles never build
+    partitions that overflow executor memory. Scan splits stay at the
+    target size: a text row can be ~100 KB, so a 128 MB split is about a
+    thousand documents of regex work per task.
+    """
+    initial = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(initial, 200_000)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(initial, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "bagwise",
                   shuffle_partitions: int | None = None,
                   driver_memory: str | None = None,

@@ -59,3 +59,21 @@ def test_rows_get_weights_by_broadcast(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert out.count() == 6
+
+
+def test_bounded_table_fallback_is_not_broadcast(spark):
+    from bagwise.operators.joins import bounded_table, join_small
+    small = spark.createDataFrame([(i, f"c{i}") for i in range(5)], "k long, v string")
+    assert bounded_table(small, max_rows=5).bounded
+    t = bounded_table(small, max_rows=4)
+    assert not t.bounded and t.rows is None
+    big = spark.range(100).withColumnRenamed("id", "k")
+    assert join_small(big, small, "k", max_rows=4).count() == 5
+
+
+def test_scale_conf_sizes_partitions():
+    from bagwise.session import scale_conf
+    c = scale_conf(100 * 10 ** 12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    small = scale_conf(10 ** 9, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192
