@@ -103,6 +103,27 @@ def q_bag_sizes(spark, sf_dir):
                                                                  "n_tokens")
 
 
+def q_top_phrases_overall(spark, sf_dir):
+    return profile.top_tokens(basket_bags(spark, sf_dir), TOP_N_OVERALL)
+
+
+def q_basket_size_min_max(spark, sf_dir):
+    return profile.bag_size_min_max(basket_bags(spark, sf_dir))
+
+
+def q_basket_size_histogram(spark, sf_dir):
+    return profile.bag_size_histogram(basket_bags(spark, sf_dir))
+
+
+def q_basket_size_avg_by_class(spark, sf_dir):
+    a = profile.bag_size_avg_by_class(basket_bags(spark, sf_dir), "o_orderpriority")
+    return a.select("o_orderpriority", r6("avg_tokens").alias("avg_tokens"))
+
+
+def q_long_basket_count(spark, sf_dir):
+    return profile.long_bag_count(basket_bags(spark, sf_dir), LONG_BAG_TOKENS)
+
+
 def q_class_counts(spark, sf_dir):
     return profile.class_counts(tables.documents(spark, sf_dir, ["lang"]), "lang")
 
@@ -291,6 +312,11 @@ DETERMINISTIC = {
     "top_tokens_overall": q_top_tokens_overall,
     "top_phrases_per_class": q_top_phrases_per_class,
     "top_tokens_one_class": q_top_tokens_one_class,
+    "top_phrases_overall": q_top_phrases_overall,
+    "basket_size_min_max": q_basket_size_min_max,
+    "basket_size_histogram": q_basket_size_histogram,
+    "basket_size_avg_by_class": q_basket_size_avg_by_class,
+    "long_basket_count": q_long_basket_count,
     "distinct_classes": q_distinct_classes,
     "bag_sizes": q_bag_sizes,
     "class_counts": q_class_counts,

@@ -127,6 +127,26 @@ WHERE rank <= {TOP_N_PER_CLASS}"""
 
     q["distinct_classes"] = "SELECT DISTINCT lang FROM documents"
 
+    q["top_phrases_overall"] = _with(BASKETS, BASKET_BAGS, """t AS (
+  SELECT unnest(tokens) AS token FROM basket_bags),
+c AS (SELECT token, count(*) AS count FROM t GROUP BY token)""") + f"""
+SELECT token, count, rank FROM (
+  SELECT token, count, row_number() OVER (ORDER BY count DESC, token) AS rank FROM c)
+WHERE rank <= {TOP_N_OVERALL}"""
+
+    q["basket_size_min_max"] = _with(BASKETS, BASKET_BAGS) + """
+SELECT min(len(tokens)) AS min_tokens, max(len(tokens)) AS max_tokens FROM basket_bags"""
+
+    q["basket_size_histogram"] = _with(BASKETS, BASKET_BAGS) + """
+SELECT len(tokens) AS n_tokens, count(*) AS count FROM basket_bags GROUP BY len(tokens)"""
+
+    q["basket_size_avg_by_class"] = _with(BASKETS, BASKET_BAGS) + """
+SELECT o_orderpriority, round(avg(len(tokens)), 6) AS avg_tokens
+FROM basket_bags GROUP BY o_orderpriority"""
+
+    q["long_basket_count"] = _with(BASKETS, BASKET_BAGS) + f"""
+SELECT count(*) AS n_bags FROM basket_bags WHERE len(tokens) > {LONG_BAG_TOKENS}"""
+
     q["bag_sizes"] = _with(DOC_BAGS) + "SELECT doc_id, lang, len(tokens) AS n_tokens FROM doc_bags"
 
     q["class_counts"] = "SELECT lang, count(*) AS count FROM documents GROUP BY lang"
