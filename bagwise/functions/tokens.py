@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for equal results.
 LIST_ITEM_SEPARATOR = "', '"      # between items of the list text
+TRAILING_SEPARATORS = "(', ')+$"   # separators at the end (empty last items)
 WORD_DELETE_PATTERN = "[^a-zA-Z ]+"  # characters deleted by the word tokenizer
 DEFAULT_STOP_TOKENS = ("oz",)       # whole tokens removed by the word tokenizer
 
@@ -35,15 +36,12 @@ def list_tokens(text, strip_trailing_empty: bool = True) -> Column:
     ``[a]``), and a list of only empty items gives an empty bag. Text too
     short to hold brackets gives one empty item, as the reference does.
     """
-    return _list_tokens_inner(_col(text), strip_trailing_empty)
-
-
-def _list_tokens_inner(t: Column, strip_trailing_empty: bool) -> Column:
+    t = _col(text)
     n = F.char_length(t)
     inner = F.lower(F.substring(t, F.lit(3), F.greatest(n - F.lit(4), F.lit(0))))
     if not strip_trailing_empty:
         return F.split(inner, LIST_ITEM_SEPARATOR, -1)
-    stripped = F.regexp_replace(inner, "(', ')+$", "")
+    stripped = F.regexp_replace(inner, TRAILING_SEPARATORS, "")
     return (F.when(inner == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, LIST_ITEM_SEPARATOR, -1)))
