@@ -101,26 +101,47 @@ def idf_value(n_docs, doc_freq):
     return math.log((n_docs + 1.0) / (doc_freq + 1.0))
 
 
+def bag_term_counts(df: DataFrame, key: str, bag_col: str = "tokens") -> DataFrame:
+    """(key, token, tf): occurrences of every distinct token of each bag.
+
+    All tokens of a bag are in one row, so this needs no shuffle: the bag
+    is sorted (`sort_array`), the starts of runs of equal tokens are found,
+    and each run becomes one (token, length) pair. An explode followed by
+    ``groupBy(key, token)`` would instead shuffle every (bag, token) pair,
+    which is about as large as the text itself and hardly shrinks in the
+    map-side combine (most tokens occur once or twice in a bag).
+    """
+    s = df.select(key, F.sort_array(bag_col).alias("_s"))
+    n = F.size("_s")
+    starts = F.filter(F.sequence(F.lit(1), n),
+                      lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", i - 1)))
+    # sequence(1, 0) counts down, so empty (and null) bags get no starts
+    s = s.withColumn("_st", F.when(n > 0, starts).otherwise(F.array().cast("array<int>")))
+    ends = F.concat(F.slice("_st", 2, F.greatest(n, F.lit(1))), F.array(n + 1))
+    runs = F.zip_with("_st", ends, lambda a, b: F.struct(
+        F.element_at("_s", a).alias("token"), (b - a).cast("bigint").alias("tf")))
+    return s.select(key, F.inline(runs))
+
+
 def tfidf_terms(df: DataFrame, key: str, bag_col: str = "tokens",
                 min_doc_freq: int = 0) -> DataFrame:
     """M9: (key, token, tf, doc_freq, idf, tfidf) for every token of a bag.
 
-    tf = occurrences in the bag; idf = ln((m + 1) / (doc_freq + 1)) with m
-    the number of bags (MLlib's formula; tokens below `min_doc_freq` get
-    idf 0, as in MLlib). The idf table is joined back on the token: AQE
-    broadcasts it when its measured size allows and otherwise splits skewed
-    token partitions (a token found in every bag is the hot key here).
+    tf = occurrences in the bag (computed inside the row, no shuffle);
+    doc_freq = bags containing the token, from the distinct tokens of each
+    bag with a partially aggregated count per token; idf = ln((m + 1) /
+    (doc_freq + 1)) with m the number of bags (MLlib's formula; tokens below
+    `min_doc_freq` get idf 0, as in MLlib). The idf table is joined back on
+    the token: AQE broadcasts it when its measured size allows, otherwise
+    the join shuffles by token and AQE splits the skewed partitions (a token
+    found in every bag is the hot key here). The text is tokenized once per
+    branch; recomputing the regex is cheaper at scale than shuffling or
+    writing the (bag, token) pairs.
     """
-    tf = (token_rows(df, bag_col, keep=[key])
-          .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
+    tf = bag_term_counts(df, key, bag_col)
     n_docs = df.select(key).count()
-    # doc_freq reads the tf column (tf >= 1, so this counts the bags):
-    # the tf aggregate then stays intact in this branch, both branches share
-    # one exchange (ReuseExchange) and the text is scanned and tokenized
-    # once. With count(*) Catalyst prunes the branch into a distinct
-    # aggregate, a different plan that tokenizes everything a second time.
-    dfreq = tf.groupBy("token").agg(
-        F.sum((F.col("tf") > 0).cast("long")).alias("doc_freq"))
+    dfreq = (df.select(F.explode(F.array_distinct(bag_col)).alias("token"))
+               .groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq")))
     idf = F.when(F.col("doc_freq") >= F.lit(min_doc_freq),
                  F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + F.lit(1.0)))
                  ).otherwise(F.lit(0.0))
