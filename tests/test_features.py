@@ -51,9 +51,11 @@ def test_tfidf_terms_match_mllib_idf(spark):
     tf = HashingTF(inputCol="tokens", outputCol="h", numFeatures=1 << 20)
     idf = IDF(inputCol="h", outputCol="x").fit(tf.transform(b)).idf.toArray()
     per_token = {r["token"]: r["idf"] for r in terms.select("token", "idf").distinct().collect()}
+    # hash index of every token in one job (indexOf is one JVM call a token)
+    one = spark.createDataFrame([([t],) for t in per_token], "tokens array<string>")
     by_index = {}
-    for t in per_token:
-        by_index.setdefault(tf.indexOf(t), []).append(t)
+    for r in tf.transform(one).collect():
+        by_index.setdefault(int(r["h"].indices[0]), []).append(r["tokens"][0])
     # compare every token that has its hash bucket to itself
     checked = 0
     for i, toks in by_index.items():
