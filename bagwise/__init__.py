@@ -15,6 +15,6 @@ Layout:
   streaming/   scoring of a file stream with a fitted pipeline
 """
 
-from bagwise.session import build_session, materialize, checkpoint_dir
+from bagwise.session import build_session, checkpoint_dir, materialize, release
 
-__all__ = ["build_session", "materialize", "checkpoint_dir"]
+__all__ = ["build_session", "materialize", "release", "checkpoint_dir"]

@@ -97,6 +97,9 @@ def checkpoint_dir(spark: SparkSession, allow_local_scratch: bool = True) -> str
     return None
 
 
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute `df` once and cut its lineage for repeated use.
 
@@ -113,12 +116,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     if base is not None:
         path = f"{base.rstrip('/')}/bagwise-{name}-{uuid.uuid4().hex}"
         df.write.mode("error").parquet(path)
+        _WRITTEN.append(path)
         return spark.read.parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables `materialize` wrote (through the Hadoop file system
+    of the checkpoint folder). Call it when no DataFrame reading them is in
+    use any more; returns the number of tables removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
+
+
 def spread(df: DataFrame, key: str | None = None,
            min_partitions: int | None = None) -> DataFrame:
     """Repartition only when the scan is narrower than the cluster.

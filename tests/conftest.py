@@ -20,6 +20,8 @@ def spark():
     # tests run locally: give the session its own checkpoint folder
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bagwise-test-ckpt-"))
     yield s
+    from bagwise.session import release
+    release(s)
     s.stop()
 
 

@@ -77,3 +77,15 @@ def test_scale_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 200_000
     small = scale_conf(10 ** 9, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_materialize_and_release(spark):
+    import os
+    from bagwise.session import _WRITTEN, materialize, release
+    df = materialize(spark.range(10), "t")
+    path = _WRITTEN[-1]
+    assert df.count() == 10
+    local = path.replace("file:", "")
+    assert os.path.exists(local)
+    assert release(spark) >= 1
+    assert not os.path.exists(local)
