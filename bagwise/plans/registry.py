@@ -127,6 +127,17 @@ def _report(spark, sf_dir, make_model, name, task=None) -> DataFrame:
             .withColumn("model", F.lit(name)))
 
 
+def lr_quality_model(spark, sf_dir):
+    # two classes: family 'auto' fits the binomial model
+    return _cached(spark, sf_dir, "lr_quality", lambda: _fit(
+        spark, sf_dir, mdl.FEATURES_TFIDF, mdl.logistic_regression(), "train_all",
+        task=prepared_quality, num_features=st.TFIDF_NUM_FEATURES))
+
+
+def q_model_lr_quality(spark, sf_dir):
+    return _report(spark, sf_dir, lr_quality_model, "lr_quality", prepared_quality)
+
+
 def q_model_rf_quality(spark, sf_dir):
     return _report(spark, sf_dir, rf_quality_model, "rf_quality", prepared_quality)
 
@@ -227,6 +238,7 @@ MODEL_QUERIES = {
     "model_rf_tfidf": q_model_rf_tfidf,
     "model_rf_w2v": q_model_rf_w2v,
     "model_rf_quality": q_model_rf_quality,
+    "model_lr_quality": q_model_lr_quality,
     "model_per_class": q_model_per_class,
     "model_confusion": q_model_confusion,
     "lr_summary_accuracy": q_lr_summary_accuracy,
