@@ -217,7 +217,7 @@ def q_synonyms(spark, sf_dir):
 
 def q_grid_search_lr(spark, sf_dir):
     return tuning.grid_search_lr(prepared(spark, sf_dir), GRID_LR_FEATURES, GRID_LR_REG,
-                                 n_folds=2, parallelism=4)
+                                 n_folds=2, parallelism=8)
 
 
 def q_grid_search_rf(spark, sf_dir):
