@@ -8,8 +8,6 @@ TF-IDF terms with the same IDF formula as MLlib's ``IDF``.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,11 +94,6 @@ def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int = 1 << 18
                       "token", "count")
 
 
-def idf_value(n_docs, doc_freq):
-    """MLlib's IDF: ln((m + 1) / (df + 1))."""
-    return math.log((n_docs + 1.0) / (doc_freq + 1.0))
-
-
 def bag_term_counts(df: DataFrame, key: str, bag_col: str = "tokens") -> DataFrame:
     """(key, token, tf): occurrences of every distinct token of each bag.
 

@@ -79,3 +79,18 @@ def test_vocabulary_prefilter_equals_plain_top_k(spark):
         got = [(r["token"], r["count"]) for r in
                feat.vocabulary(b, vocab_size=k).orderBy("idx").collect()]
         assert got == ranked[:k]
+
+
+def test_label_list_and_literal_table(spark):
+    from bagwise.sources.tables import literal_table
+    df = literal_table(spark, [("x",), ("y",), ("y",)], "c string")
+    assert feat.label_list(df, "c") == ["y", "x"]
+    assert feat.label_list(df, "c", feat.FREQUENCY_ASC) == ["x", "y"]
+
+
+def test_mllib_count_vectorizer_stage(spark):
+    b = catalog.doc_bags(spark, SF_SMALL)
+    m = st.count_vectorizer("tokens", "f", vocab_size=50).fit(b)
+    ours = {r["token"] for r in feat.vocabulary(b, vocab_size=50).collect()}
+    # same top-50 except possibly for ties at the boundary count
+    assert len(set(m.vocabulary) & ours) >= 45

@@ -94,3 +94,12 @@ def test_anti_join_keeps_null_keys(spark):
     b = spark.createDataFrame([(1,), (None,)], "k long")
     assert sorted(split.anti_join(a, b, "k").collect(), key=repr) == \
         sorted([(2,), (None,)], key=repr)
+
+
+def test_hash_threshold_split_is_repeatable(spark):
+    d = _docs(spark)
+    a = {tuple(r) for r in split.hash_threshold_split(d, "doc_id", 0.2, 7).collect()}
+    b = {tuple(r) for r in split.hash_threshold_split(d.repartition(4), "doc_id", 0.2, 7).collect()}
+    assert a == b
+    n_test = sum(1 for r in a if r[2] == "test")
+    assert 120 < n_test < 280      # about 20 % of 1000
