@@ -230,6 +230,16 @@ def q_depth_sweep(spark, sf_dir):
                               RF_TREES, vocab_size=RF_VOCAB)
 
 
+def q_depth_sweep_tfidf(spark, sf_dir):
+    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_TFIDF, SWEEP_DEPTHS,
+                              RF_TREES, num_features=st.TFIDF_RF_NUM_FEATURES)
+
+
+def q_depth_sweep_w2v(spark, sf_dir):
+    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_W2V, SWEEP_DEPTHS,
+                              RF_TREES, w2v=W2V_SMALL)
+
+
 MODEL_QUERIES = {
     "model_lr_tfidf": q_model_lr_tfidf,
     "model_lr_w2v": q_model_lr_w2v,
@@ -249,4 +259,6 @@ MODEL_QUERIES = {
     "grid_search_lr": q_grid_search_lr,
     "grid_search_rf": q_grid_search_rf,
     "depth_sweep": q_depth_sweep,
+    "depth_sweep_tfidf": q_depth_sweep_tfidf,
+    "depth_sweep_w2v": q_depth_sweep_w2v,
 }
