@@ -137,6 +137,22 @@ def release(spark: SparkSession) -> int:
     return n
 
 
+# Rows per partition below which an iterative learner's input is coalesced:
+# every optimizer iteration is one job over all partitions, so near-empty
+# partitions cost scheduling time and nothing else.
+MIN_ROWS_PER_PARTITION = 20_000
+
+
+def sized_for_iterations(df: DataFrame,
+                         min_rows: int = MIN_ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce (no shuffle) to about one partition per `min_rows` rows,
+    never above the cluster's parallelism and never above the current
+    count: a large input keeps all its partitions."""
+    n = df.count()
+    target = max(1, min(df.sparkSession.sparkContext.defaultParallelism, n // min_rows))
+    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
+
+
 def spread(df: DataFrame, key: str | None = None,
            min_partitions: int | None = None) -> DataFrame:
     """Repartition only when the scan is narrower than the cluster.
