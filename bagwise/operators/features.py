@@ -106,13 +106,18 @@ def bag_term_counts(df: DataFrame, key: str, bag_col: str = "tokens") -> DataFra
     """
     s = df.select(key, F.sort_array(bag_col).alias("_s"))
     n = F.size("_s")
-    starts = F.filter(F.sequence(F.lit(1), n),
-                      lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", i - 1)))
+    # position i starts a run when it is the first or differs from i - 1
+    # (CASE, so element_at(_s, 0) is never evaluated)
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: F.when(i == 1, F.lit(True))
+                      .otherwise(F.element_at("_s", i) != F.element_at("_s", i - 1)))
     # sequence(1, 0) counts down, so empty (and null) bags get no starts
     s = s.withColumn("_st", F.when(n > 0, starts).otherwise(F.array().cast("array<int>")))
     ends = F.concat(F.slice("_st", 2, F.greatest(n, F.lit(1))), F.array(n + 1))
     runs = F.zip_with("_st", ends, lambda a, b: F.struct(
         F.element_at("_s", a).alias("token"), (b - a).cast("bigint").alias("tf")))
+    # zip_with pads the shorter array with nulls: an empty bag has no start
+    # but one end, and that padded pair is not a run
+    runs = F.filter(runs, lambda r: r["tf"].isNotNull())
     return s.select(key, F.inline(runs))
 
 
