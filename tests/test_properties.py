@@ -72,3 +72,58 @@ def test_bag_term_counts_null_and_empty(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, ["x", "x"])],
                                "id long, tokens array<string>")
     assert sorted(tuple(r) for r in bag_term_counts(df, "id").collect()) == [(3, "x", 2)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "c"]), max_size=4), min_size=1, max_size=40))
+def test_dedup_equals_python_model(spark, bags):
+    from bagwise.operators.prepare import dedup_bags
+    df = spark.createDataFrame([(i * 7 % 101, b) for i, b in enumerate(bags)],
+                               "id long, tokens array<string>")
+    got = sorted(r["id"] for r in dedup_bags(df, "id").collect())
+    best = {}
+    for i, b in enumerate(bags):
+        k, key = tuple(sorted(b)), i * 7 % 101
+        best[k] = min(best.get(k, key), key)
+    assert got == sorted(best.values())
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=60))
+def test_metrics_equal_python_model(spark, pairs):
+    from bagwise.operators import metrics as met
+    df = spark.createDataFrame([(float(p), float(l)) for p, l in pairs],
+                               "prediction double, label double")
+    labels = sorted({l for _, l in pairs})
+    f1s, support = {}, Counter(l for _, l in pairs)
+    for c in labels:
+        tp = sum(1 for p, l in pairs if p == c and l == c)
+        fp = sum(1 for p, l in pairs if p == c and l != c)
+        prec = tp / (tp + fp) if tp + fp else 0.0
+        rec = tp / support[c]
+        f1s[c] = 0.0 if prec + rec == 0 else 2 * prec * rec / (prec + rec)
+    s = met.summary(df).first()
+    assert abs(s["macro_f1"] - sum(f1s.values()) / len(f1s)) < 1e-9
+    assert abs(s["weighted_f1"] - sum(f1s[c] * support[c] for c in labels) / len(pairs)) < 1e-9
+    assert abs(s["accuracy"] - sum(1 for p, l in pairs if p == l) / len(pairs)) < 1e-9
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.sampled_from(["x", "y", "z"]), min_size=1, max_size=300),
+       st.sampled_from([0.1, 0.25, 0.5, 0.9]), st.integers(0, 50))
+def test_split_equals_python_model(spark, classes, frac, seed):
+    import hashlib
+    import math
+    from bagwise.operators.split import with_split
+    df = spark.createDataFrame([(i * 13 + 5, c) for i, c in enumerate(classes)],
+                               "id long, c string")
+    got = {r["id"]: r["split"] for r in with_split(df, "id", frac, seed, by="c",
+                                                   bucket_hex=1).collect()}
+    want = {}
+    for c in set(classes):
+        ids = [i * 13 + 5 for i, x in enumerate(classes) if x == c]
+        ids.sort(key=lambda k: (hashlib.md5(f"{k}:{seed}".encode()).hexdigest(), k))
+        k = math.floor(frac * len(ids) + 0.5)
+        for j, key in enumerate(ids):
+            want[key] = "test" if j < k else "train"
+    assert got == want
