@@ -195,8 +195,9 @@ def q_lr_summary_accuracy(spark, sf_dir):
 
 
 def q_score_unlabeled(spark, sf_dir):
-    unl = tables.unlabeled_documents(spark, sf_dir)
     from bagwise.functions.tokens import word_tokens
+    from bagwise.session import spread
+    unl = spread(tables.unlabeled_documents(spark, sf_dir), "doc_id")
     bags = unl.select("doc_id", word_tokens("text").alias("tokens"))
     return mdl.score(rf_counts_model(spark, sf_dir), bags, "doc_id")
 
