@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, pack
+from bagwise.llm import bpe, ngram_join, pack
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -26,9 +26,13 @@ def op2(spark, sf_dir):
                         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
+def op7(spark, sf_dir):
+    return ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
-QUERIES = {"op2_bpe_tree": op2, "op10_harmonic_packing": op10}
+QUERIES = {"op2_bpe_tree": op2, "op7_ngram_jaccard_join": op7, "op10_harmonic_packing": op10}
 ORACLE_SQL: dict[str, str] = {}
