@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, ngram_join, pack
+from bagwise.llm import bpe, line_dedup, ngram_join, pack
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -30,9 +30,20 @@ def op7(spark, sf_dir):
     return ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op9(spark, sf_dir):
+    """Per document: its lines, how many go, and which."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = (line_dedup.duplicate_lines(docs).groupBy("doc_id")
+            .agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("line")), ",").alias("lines")))
+    return (docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)).cast("long").alias("n_lines"))
+            .join(gone, "doc_id", "left")
+            .select("doc_id", "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"),
+                    F.coalesce("lines", F.lit("")).alias("removed_lines")))
+
+
 def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
-QUERIES = {"op2_bpe_tree": op2, "op7_ngram_jaccard_join": op7, "op10_harmonic_packing": op10}
+QUERIES = {"op2_bpe_tree": op2, "op7_ngram_jaccard_join": op7, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
 ORACLE_SQL: dict[str, str] = {}
