@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, line_dedup, ngram_join, pack
+from bagwise.llm import bpe, line_dedup, ngram_join, nn_descent, pack, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -26,10 +26,20 @@ def op2(spark, sf_dir):
                         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
+def op4(spark, sf_dir):
+    scored = toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op7(spark, sf_dir):
     return ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op8(spark, sf_dir):
+    found = nn_descent.embedding_links(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op9(spark, sf_dir):
     """Per document: its lines, how many go, and which."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,5 +55,5 @@ def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
-QUERIES = {"op2_bpe_tree": op2, "op7_ngram_jaccard_join": op7, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
+QUERIES = {"op2_bpe_tree": op2, "op4_toxicity_subwords": op4, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
 ORACLE_SQL: dict[str, str] = {}
