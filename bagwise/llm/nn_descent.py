@@ -40,11 +40,12 @@ K = 8
 BLOCK = 256          # vectors of a first block, about
 TILE = 512           # vectors of a tile of a component, about
 CITED = 64           # citing vectors in a tile, about
-PLANES = 10
+PLANES = 40          # of a hash table; of them, as many are used as give blocks of about half of BLOCK
+TABLES = 3
 AUDITED = 200        # vectors that the audit compares with all others
 ROUNDS = 12
 
-VECTORS = "vec_id long, grp string, copy long, codes array<int>, x binary"
+VECTORS = "vec_id long, grp string, copy long, codes array<long>, x binary"
 
 
 def vector_rows(seed: int):
@@ -62,13 +63,13 @@ def vector_rows(seed: int):
                     continue
                 x = x / size
                 if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(seed + len(x)).normal(size=(2 * PLANES, len(x)))
-                side = (planes[len(x)] @ x > 0).reshape(2, PLANES)
-                codes = (side @ (1 << np.arange(PLANES))).astype(np.int32)
+                    planes[len(x)] = np.random.default_rng(seed + len(x)).normal(size=(TABLES * PLANES, len(x)))
+                side = (planes[len(x)] @ x > 0).reshape(TABLES, PLANES)
+                codes = (side @ (1 << np.arange(PLANES))).astype(np.int64)
                 raw = x.tobytes()
                 rows.append((vec_id, f"{label}:{len(x)}", np.int64(np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64)), codes, raw))
             kind = pa.schema([("vec_id", pa.int64()), ("grp", pa.string()), ("copy", pa.int64()),
-                              ("codes", pa.list_(pa.int32())), ("x", pa.binary())])
+                              ("codes", pa.list_(pa.int64())), ("x", pa.binary())])
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, kind)], schema=kind)
     return run
 
@@ -151,7 +152,9 @@ def embedding_links(vectors: DataFrame, least: float = LEAST, k: int = K, recall
                         best_rows(size), "a long, b long, cosine double")
 
     # blocks: those with the same hash, in chunks of about BLOCK
-    coded = reps.select("rep", "grp", "x", F.posexplode("codes").alias("table", "code"))
+    groups = reps.groupBy("grp").agg(F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / (BLOCK / 2)))).cast("int").alias("used"))
+    coded = (reps.join(groups, "grp").select("rep", "grp", "x", "used", F.posexplode("codes").alias("table", "code"))
+             .withColumn("code", F.expr("code & (shiftleft(1L, used) - 1)")))
     sizes = coded.groupBy("grp", "table", "code").agg(F.count("*").alias("size"))
     blocks = (coded.join(sizes, ["grp", "table", "code"])
               .select(F.xxhash64("grp", "table", "code", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK))).alias("tile"),
