@@ -59,7 +59,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text",
-           chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+           chars: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Batches cut so that the texts of one slice hold about `chars` characters: bounded memory."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()

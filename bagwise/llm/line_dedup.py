@@ -35,7 +35,7 @@ from bagwise.llm.ngram_join import mix, runs, word_hashes
 
 #: A word counts as frequent from this share of all words on: fewer than 1 / FREQUENT words can be.
 FREQUENT = 1e-5
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 HIGH = np.uint64(1 << 63)
 
 

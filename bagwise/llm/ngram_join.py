@@ -38,7 +38,7 @@ from bagwise.llm.graph import components
 #: (mean set size / share) n-grams can be that frequent, whatever the number of documents.
 FREQUENT = 1 / 500
 #: ... and it is looked for in blocks of about so many n-grams.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 SPACES = np.zeros(256, bool)
@@ -145,7 +145,7 @@ def frequent_rows(size: int, share: float):
 
         def found():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            many = counts >= max(8, share * documents)
+            many = counts >= max(4, share * documents)
             return pa.record_batch([values[many].view(np.int64), counts[many].astype(np.int64)], names=["gram", "n"])
 
         for _, texts in slices(batches):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, line_dedup, ngram_join, nn_descent, pack, toxicity
+from bagwise.llm import bpe, imatch, line_dedup, ngram_join, nn_descent, pack, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -31,6 +31,10 @@ def op4(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5(spark, sf_dir):
+    return imatch.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op7(spark, sf_dir):
     return ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -55,5 +59,5 @@ def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
-QUERIES = {"op2_bpe_tree": op2, "op4_toxicity_subwords": op4, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
+QUERIES = {"op2_bpe_tree": op2, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
 ORACLE_SQL: dict[str, str] = {}
