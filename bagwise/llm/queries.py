@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, imatch, line_dedup, ngram_join, nn_descent, pack, toxicity
+from bagwise.llm import bpe, imatch, line_dedup, ngram_join, nn_descent, pack, pii, secrets, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -19,6 +19,25 @@ def read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def joined(spans):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_columns(found, kinds):
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(number, kinds),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op1(spark, sf_dir):
+    return span_columns(pii.find_personal_data(read(spark, sf_dir, "documents")), pii.KINDS)
+
+
 def op2(spark, sf_dir):
     found = bpe.bpe_encode_decode(read(spark, sf_dir, "documents"), word_bpe())
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -26,6 +45,10 @@ def op2(spark, sf_dir):
                         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
+def op3(spark, sf_dir):
+    return span_columns(secrets.find_secrets(read(spark, sf_dir, "documents")), secrets.KINDS)
+
+
 def op4(spark, sf_dir):
     scored = toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
@@ -59,5 +82,5 @@ def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
-QUERIES = {"op2_bpe_tree": op2, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
+QUERIES = {"op1_skip_chain_crf": op1, "op2_bpe_tree": op2, "op3_guess_cost": op3, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
 ORACLE_SQL: dict[str, str] = {}
