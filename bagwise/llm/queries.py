@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, imatch, line_dedup, ngram_join, nn_descent, pack, pii, secrets, toxicity
+from bagwise.llm import bpe, imatch, language_id, line_dedup, ngram_join, nn_descent, pack, pii, secrets, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -58,6 +58,12 @@ def op5(spark, sf_dir):
     return imatch.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op6(spark, sf_dir):
+    found = language_id.languages(language_id.page_evidence(read(spark, sf_dir, "pages")),
+                                  language_id.labelled_documents(read(spark, sf_dir, "documents")))
+    return found.withColumnRenamed("doc_id", "page_id").withColumn("posterior", F.round("posterior", 6))
+
+
 def op7(spark, sf_dir):
     return ngram_join.ngram_jaccard_components(read(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -82,5 +88,5 @@ def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
-QUERIES = {"op1_skip_chain_crf": op1, "op2_bpe_tree": op2, "op3_guess_cost": op3, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
+QUERIES = {"op1_skip_chain_crf": op1, "op2_bpe_tree": op2, "op3_guess_cost": op3, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op6_language_evidence": op6, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10}
 ORACLE_SQL: dict[str, str] = {}
