@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for equal results.
 LIST_ITEM_SEPARATOR = "', '"      # between items of the list text
-TRAILING_SEPARATORS = "(', ')+$"   # separators at the end (empty last items)
 WORD_DELETE_PATTERN = "[^a-zA-Z ]+"  # characters deleted by the word tokenizer
 DEFAULT_STOP_TOKENS = ("oz",)       # whole tokens removed by the word tokenizer
 
@@ -39,12 +38,12 @@ def list_tokens(text, strip_trailing_empty: bool = True) -> Column:
     t = _col(text)
     n = F.char_length(t)
     inner = F.lower(F.substring(t, F.lit(3), F.greatest(n - F.lit(4), F.lit(0))))
+    items = F.split(inner, LIST_ITEM_SEPARATOR, -1)
     if not strip_trailing_empty:
-        return F.split(inner, LIST_ITEM_SEPARATOR, -1)
-    stripped = F.regexp_replace(inner, TRAILING_SEPARATORS, "")
-    return (F.when(inner == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, LIST_ITEM_SEPARATOR, -1)))
+        return items
+    filled = F.filter(F.transform(items, lambda x, i: F.when(x != "", i + 1)), lambda i: i.isNotNull())
+    return (F.when((inner == "") | (F.element_at(items, -1) != ""), items)
+            .otherwise(F.slice(items, 1, F.coalesce(F.array_max(filled), F.lit(0)))))
 
 
 # Non-ASCII characters whose lower-case form contains an ASCII letter (the

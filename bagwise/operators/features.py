@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.functions.tokens import token_rows
-from bagwise.operators.joins import bounded_table
 
 FREQUENCY_DESC = "frequencyDesc"
 FREQUENCY_ASC = "frequencyAsc"
 ALPHABET_DESC = "alphabetDesc"
 ALPHABET_ASC = "alphabetAsc"
+RANK_LETTERS = 4   # tokens with one count are ranked in groups by their first letters
 
 
 def label_index(df: DataFrame, class_col: str,
@@ -29,9 +29,6 @@ def label_index(df: DataFrame, class_col: str,
     """
     counts = df.where(F.col(class_col).isNotNull()).groupBy(class_col).agg(
         F.count(F.lit(1)).alias("count"))
-    t = bounded_table(counts)
-    if not t.bounded:
-        raise ValueError("too many classes to index")
     keys = {
         FREQUENCY_DESC: [F.desc("count"), F.asc(class_col)],
         FREQUENCY_ASC: [F.asc("count"), F.asc(class_col)],
@@ -39,7 +36,7 @@ def label_index(df: DataFrame, class_col: str,
         ALPHABET_ASC: [F.asc(class_col)],
     }[order]
     w = Window.orderBy(*keys)
-    return t.df.withColumn("idx", (F.row_number().over(w) - 1).cast("double"))
+    return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("double"))
 
 
 def label_list(df: DataFrame, class_col: str, order: str = FREQUENCY_DESC) -> list:
@@ -48,22 +45,19 @@ def label_list(df: DataFrame, class_col: str, order: str = FREQUENCY_DESC) -> li
     return [r[class_col] for r in rows]
 
 
-def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int = 1 << 18,
+def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int | None = None,
                min_df: float = 1.0, key: str | None = None) -> DataFrame:
     """M8: (idx, token, count): the CountVectorizer vocabulary.
 
-    Tokens ranked by total count, ties by token, at most `vocab_size`.
-    ``min_df`` as in CountVectorizer: a count of bags when >= 1, a share of
-    bags when < 1; it needs per-bag distinct tokens, so it is only computed
-    when it can filter something.
-
-    The top-k merge (TakeOrdered) takes up to `vocab_size` rows from every
-    partition into one task; on a vocabulary of billions of tokens that is
-    partitions x k rows. So tokens below the k-th largest count are dropped
-    first: a histogram of the counts (one row per distinct count value, at
-    most sqrt(2 x tokens) rows) gives that count in a scalar subquery, which
-    reuses the token-count shuffle instead of tokenizing again. The
-    numbering runs on the <= k surviving rows only.
+    Tokens ranked by total count, ties by token; all of them, or the first
+    `vocab_size` (MLlib keeps a vocabulary on the driver and so bounds it; a
+    table needs no bound). ``min_df`` as in CountVectorizer: a count of bags
+    when >= 1, a share of bags when < 1; it needs per-bag distinct tokens, so
+    it is only computed when it can filter something.
+
+    The rank is distributed: tokens are numbered within (count, first
+    letters), and a table of those groups (far fewer than tokens) says how
+    many tokens come before each. No task sees the whole vocabulary.
     """
     if min_df > 1.0 or (0.0 < min_df < 1.0):
         if key is None:
@@ -81,17 +75,15 @@ def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int = 1 << 18
     else:
         counts = (token_rows(df, bag_col).groupBy("token")
                   .agg(F.count(F.lit(1)).alias("count")))
-    hist = counts.groupBy("count").agg(F.count(F.lit(1)).alias("_n"))
-    cum = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding,
-                                                      Window.currentRow)
-    kth = (hist.withColumn("_cum", F.sum("_n").over(cum))
-               .where(F.col("_cum") >= vocab_size).agg(F.max("count")))
-    floor = F.coalesce(kth.scalar(), F.lit(0))
-    top = (counts.where(F.col("count") >= floor)
-                 .orderBy(F.desc("count"), F.asc("token")).limit(vocab_size))
-    w = Window.orderBy(F.desc("count"), F.asc("token"))
-    return top.select((F.row_number().over(w) - 1).cast("bigint").alias("idx"),
-                      "token", "count")
+    counts = counts.withColumn("_first", F.substring("token", 1, RANK_LETTERS))
+    order = [F.desc("count"), F.asc("_first")]
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    groups = (counts.groupBy("count", "_first").agg(F.count(F.lit(1)).alias("_n"))
+              .select("count", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    own = F.row_number().over(Window.partitionBy("count", "_first").orderBy("token"))
+    ranked = (counts.withColumn("_own", own).join(groups, ["count", "_first"])
+              .select((F.col("_before") + F.col("_own") - 1).cast("bigint").alias("idx"), "token", "count"))
+    return ranked if vocab_size is None else ranked.where(F.col("idx") < vocab_size)
 
 
 def bag_term_counts(df: DataFrame, key: str, bag_col: str = "tokens") -> DataFrame:

@@ -46,17 +46,15 @@ def per_class(pred: DataFrame, label_col: str = "label",
     """Tp, fp, fn, support, precision, recall, F1 per true label."""
     c = cells if cells is not None else confusion_cells(pred, label_col, prediction_col)
     right = F.col("label") == F.col("prediction")
-    by_label = c.groupBy("label").agg(
-        F.sum(F.when(right, F.col("n")).otherwise(0)).alias("tp"),
-        F.sum("n").alias("support"))
-    by_pred = c.groupBy(F.col("prediction").alias("_p")).agg(
-        F.sum(F.when(~right, F.col("n")).otherwise(0)).alias("fp"))
-    t = (by_label.join(by_pred, by_label.label == by_pred._p, "left")
-                 .drop("_p")
-                 .withColumn("fp", F.coalesce("fp", F.lit(0)).cast("bigint"))
-                 .withColumn("tp", F.col("tp").cast("bigint"))
-                 .withColumn("support", F.col("support").cast("bigint"))
-                 .withColumn("fn", F.col("support") - F.col("tp")))
+    # each cell counts for its label, and if wrong also against the predicted class
+    n = F.col("n")
+    one = F.struct(F.col("label"), F.when(right, n).otherwise(0).alias("tp"), n.alias("support"), F.lit(0).cast("bigint").alias("fp"))
+    other = F.struct(F.col("prediction").alias("label"), F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("support"),
+                     F.when(~right, n).otherwise(0).alias("fp"))
+    parts = c.select(F.explode(F.array(one, other)).alias("c")).select("c.*")
+    t = (parts.where("support > 0 or label is not null").groupBy("label")
+         .agg(*(F.sum(x).cast("bigint").alias(x) for x in ("tp", "support", "fp"))).where("support > 0")
+         .withColumn("fn", F.col("support") - F.col("tp")))
     tp = F.col("tp").cast("double")
     p = F.when(F.col("tp") + F.col("fp") == 0, F.lit(0.0)).otherwise(
         tp / (F.col("tp") + F.col("fp")))

@@ -1,9 +1,9 @@
 """Training-table preparation: duplicate bags (A10) and class weights.
 
-Duplicate bags are dropped with an aggregate, not a window: ``min_by`` keeps
-the row with the smallest key per sorted bag, and partial aggregation folds a
-hot bag (say a third of the table with the same bag) inside each task before
-the shuffle. Class weights come from a class table (one row per class,
+Duplicate bags are dropped with an aggregate, not a window: the smallest key
+per digest of the sorted bag, partially aggregated, so a hot bag (say a third
+of the table) folds inside each task and only digests and keys are shuffled;
+the rows are then kept by key. Class weights come from a class table (one row per class,
 size-checked) broadcast to the rows, so no row is ever shuffled by class.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bagwise.operators.joins import MAX_BROADCAST_ROWS, bounded_table
+from bagwise.operators.joins import MAX_BROADCAST_ROWS, bounded_table, join_small
 
 
 def dedup_bags(df: DataFrame, key: str, bag_col: str = "tokens",
@@ -24,18 +24,10 @@ def dedup_bags(df: DataFrame, key: str, bag_col: str = "tokens",
     bags of different classes both stay; without it (the reference's
     behaviour) they collapse to the row with the smallest key.
     """
-    cols = df.columns
-    # The row travels as a struct, so the aggregate is sort-based (partial
-    # before the shuffle, final after). A 64-bit hash of the sorted bag leads
-    # the grouping key: the sort compares longs and only hash ties compare
-    # the arrays; the array itself stays in the key, so grouping is exact.
-    keyed = df.withColumn("_bag", F.sort_array(bag_col))
-    grp = [F.xxhash64("_bag").alias("_hb"), F.col("_bag")]
-    if class_col:
-        grp.append(F.col(class_col).alias("_cls"))
-    kept = (keyed.groupBy(*grp)
-                 .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(key)).alias("_r")))
-    return kept.select("_r.*")
+    bag = F.unhex(F.sha2(F.to_json(F.sort_array(bag_col)), 256))  # 32 bytes, null for a null bag
+    same = [bag.alias("_bag")] + ([F.col(class_col).alias("_class")] if class_col else [])
+    kept = df.groupBy(*same).agg(F.min(key).alias(key)).select(key)
+    return df.join(kept, key, "left_semi")
 
 
 def class_weight_table(df: DataFrame, class_col: str, total=None,
@@ -49,16 +41,15 @@ def class_weight_table(df: DataFrame, class_col: str, total=None,
     defaults to the number of classes found. Null classes are rejected: they
     have no meaningful weight.
     """
-    counts = bounded_table(
-        df.groupBy(class_col).agg(F.count(F.lit(1)).alias("class_count")),
-        max_classes)
-    if not counts.bounded:
-        raise ValueError(f"more than {max_classes} classes")
-    if any(r[0] is None for r in counts.rows):
+    counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("class_count"))
+    counts = bounded_table(counts, max_classes).df  # a local relation up to max_classes, else the lazy table
+    n_found, found, nulls = counts.agg(F.count(F.lit(1)), F.sum("class_count"),
+                                       F.count(F.when(F.col(class_col).isNull(), 1))).first()
+    if nulls:
         raise ValueError(f"null values in class column {class_col!r}")
-    n = n_classes if n_classes is not None else len(counts.rows)
-    tot = total if total is not None else sum(r[1] for r in counts.rows)
-    return (counts.df
+    n = n_classes if n_classes is not None else n_found
+    tot = total if total is not None else (found or 0)
+    return (counts
             .withColumn("total", F.lit(int(tot)).cast("bigint"))
             .withColumn("weight", (F.col("total") / F.col("class_count"))
                         / F.lit(float(n))))
@@ -69,5 +60,4 @@ def with_class_weights(df: DataFrame, class_col: str, total=None,
                        weight_col: str = "weight") -> DataFrame:
     """Every row gets its class weight (broadcast class table)."""
     t = class_weight_table(df, class_col, total, n_classes)
-    return df.join(F.broadcast(t.select(class_col, F.col("weight").alias(weight_col))),
-                   on=class_col, how="inner")
+    return join_small(df, t.select(class_col, F.col("weight").alias(weight_col)), class_col)

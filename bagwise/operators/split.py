@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from bagwise.functions.hashing import hash_fold, hash_unit, row_hash
 from bagwise.operators.joins import MAX_BROADCAST_ROWS, bounded_table
+from bagwise.session import materialize
+from bagwise.sources.tables import key_violations
 
 _G = "_g"      # group column inside the split (class, or a constant)
 _H = "_h"      # md5 hex of key:seed
@@ -49,7 +51,7 @@ def _attach(left: DataFrame, table, by, how: str = "inner") -> DataFrame:
     would plan a nested-loop join).
     """
     if by is not None:
-        return _join_g(left, table.df, how)
+        return _join_g(left, table.df, how, hint=table.bounded)
     fields = [f for f in table.df.schema.fields if f.name != _G]
     row = table.rows[0] if table.rows else None
     if row is None and how == "inner":
@@ -95,8 +97,6 @@ def split_thresholds(df: DataFrame, key: str, fraction: float, seed,
     c1 = c1.withColumn("_q", F.round(F.sum("_n").over(Window.partitionBy(_G))
                                      * F.lit(float(fraction))).cast("bigint"))
     b1t = bounded_table(_boundary(c1.where(F.col("_q") > 0), "_p1"), max_groups)
-    if not b1t.bounded:
-        raise ValueError(f"more than {max_groups} classes; split them first")
 
     # level 2: rank only the rows of each group's boundary bucket (expected
     # n_group / 2^20 rows) and read off the threshold row
@@ -116,8 +116,11 @@ def with_split(df: DataFrame, key: str, test_fraction: float, seed=7,
 
     Exactly ``round(test_fraction * n)`` rows of each class are 'test';
     the choice depends only on key and seed. Null classes form their own
-    group.
+    group. Null or repeated keys are rejected: the split is by key.
     """
+    bad = key_violations(df, key).first()
+    if bad["null_keys"] or bad["duplicate_keys"]:
+        raise ValueError(f"{key!r}: {bad['null_keys']} null keys, {bad['duplicate_keys']} repeated keys")
     th = split_thresholds(df, key, test_fraction, seed, by, bucket_hex=bucket_hex)
     g = F.col(by) if by else F.lit(0)
     left = df.withColumn(_G, g).withColumn(_H, row_hash(key, seed))
@@ -164,18 +167,16 @@ def hash_threshold_split(df: DataFrame, key: str, test_fraction: float = 0.2,
 
 def sample_by_split(df: DataFrame, class_col: str, key: str,
                     test_fraction: float = 0.2, seed=7):
-    """T1, the reference's form: `sampleBy` with the same train fraction for
-    every class, test = rows whose key is not in train (J1 as left-anti).
+    """T1, the reference's form: a Bernoulli draw per row with the same train
+    fraction for every class, as `sampleBy` does; test = the other rows.
+
+    Each row is tagged once and both sides read the tagged table: drawn again
+    for each side, a second scan in another order would tear them apart.
 
     Bernoulli per row: sizes are approximate and change with partitioning.
     """
-    classes = bounded_table(df.select(class_col).distinct())
-    if not classes.bounded:
-        raise ValueError("too many classes for sampleBy")
-    fractions = {r[0]: 1.0 - test_fraction for r in classes.rows if r[0] is not None}
-    train = df.stat.sampleBy(class_col, fractions, seed)
-    test = anti_join(df, train, key)
-    return train, test
+    tagged = materialize(df.withColumn("_train", (F.rand(seed) >= test_fraction) & F.col(class_col).isNotNull()), "tagged")
+    return tagged.where("_train").drop("_train"), tagged.where("not _train").drop("_train")
 
 
 def anti_join(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

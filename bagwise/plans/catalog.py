@@ -15,6 +15,7 @@ from bagwise.functions.tokens import list_tokens, word_tokens
 from bagwise.operators import features as feat
 from bagwise.operators import metrics as met
 from bagwise.operators import prepare, profile, split
+from bagwise.operators.joins import join_small
 from bagwise.session import materialize, spread
 from bagwise.sources import tables
 
@@ -51,6 +52,23 @@ def basket_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
                     list_tokens("ingredients").alias("tokens"))
 
 
+def line_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, o_orderpriority, tokens): each order line's name as a list text of one item, parsed by X1.
+
+    The items of a basket are those of its lines, so item and size statistics need no gathered basket.
+    """
+    lines = tables.basket_lines(spark, sf_dir)
+    return lines.select("o_orderkey", "o_orderpriority",
+                        list_tokens(F.concat(F.lit("['"), "p_name", F.lit("']"))).alias("tokens"))
+
+
+def basket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, o_orderpriority, tokens): the size as an array, from counts per order."""
+    sizes = (line_bags(spark, sf_dir).groupBy("o_orderkey", "o_orderpriority")
+             .agg(F.sum(F.size("tokens")).cast("int").alias("n")))
+    return sizes.select("o_orderkey", "o_orderpriority", F.array_repeat(F.lit(True), F.col("n")).alias("tokens"))
+
+
 def doc_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, tokens, split): exact stratified split of documents."""
     return split.with_split(doc_bags(spark, sf_dir), "doc_id", TEST_FRACTION,
@@ -82,11 +100,7 @@ def q_top_tokens_overall(spark, sf_dir):
 
 
 def q_top_phrases_per_class(spark, sf_dir):
-    # item rows = X1 tokens of the baskets (the oracle parses the basket
-    # text); counting them directly needs no per-order gathering
-    items = tables.basket_items(spark, sf_dir).select(
-        "o_orderpriority", F.array("item").alias("tokens"))
-    return profile.top_tokens_per_class(items, "o_orderpriority", TOP_N_PER_CLASS)
+    return profile.top_tokens_per_class(line_bags(spark, sf_dir), "o_orderpriority", TOP_N_PER_CLASS)
 
 
 def q_top_tokens_one_class(spark, sf_dir):
@@ -104,24 +118,24 @@ def q_bag_sizes(spark, sf_dir):
 
 
 def q_top_phrases_overall(spark, sf_dir):
-    return profile.top_tokens(basket_bags(spark, sf_dir), TOP_N_OVERALL)
+    return profile.top_tokens(line_bags(spark, sf_dir), TOP_N_OVERALL)
 
 
 def q_basket_size_min_max(spark, sf_dir):
-    return profile.bag_size_min_max(basket_bags(spark, sf_dir))
+    return profile.bag_size_min_max(basket_sizes(spark, sf_dir))
 
 
 def q_basket_size_histogram(spark, sf_dir):
-    return profile.bag_size_histogram(basket_bags(spark, sf_dir))
+    return profile.bag_size_histogram(basket_sizes(spark, sf_dir))
 
 
 def q_basket_size_avg_by_class(spark, sf_dir):
-    a = profile.bag_size_avg_by_class(basket_bags(spark, sf_dir), "o_orderpriority")
+    a = profile.bag_size_avg_by_class(basket_sizes(spark, sf_dir), "o_orderpriority")
     return a.select("o_orderpriority", r6("avg_tokens").alias("avg_tokens"))
 
 
 def q_long_basket_count(spark, sf_dir):
-    return profile.long_bag_count(basket_bags(spark, sf_dir), LONG_BAG_TOKENS)
+    return profile.long_bag_count(basket_sizes(spark, sf_dir), LONG_BAG_TOKENS)
 
 
 def q_class_counts(spark, sf_dir):
@@ -223,7 +237,9 @@ def q_dedup_bags(spark, sf_dir):
 
 def _weights(spark, sf_dir, reuse: bool = False):
     train = doc_train(spark, sf_dir)
-    total = train.count()     # the reference's total: rows before dedup
+    # the reference's total, rows before dedup: the split leaves out round(fraction * n) of each class
+    sizes = tables.documents(spark, sf_dir, ["lang"]).groupBy("lang").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum(F.col("n") - F.round(F.col("n") * F.lit(TEST_FRACTION)).cast("bigint"))).first()[0] or 0
     dd = prepare.dedup_bags(train, "doc_id")
     if reuse:
         # read twice (class table, then the rows): write it once
@@ -244,7 +260,7 @@ def q_class_weights_post_dedup(spark, sf_dir):
 
 def q_class_weights_rows(spark, sf_dir):
     dd, t = _weights(spark, sf_dir, reuse=True)
-    return (dd.join(F.broadcast(t.select("lang", "weight")), "lang")
+    return (join_small(dd, t.select("lang", "weight"), "lang")
               .select("doc_id", "lang", r6("weight").alias("weight")))
 
 

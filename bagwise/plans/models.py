@@ -73,9 +73,7 @@ def feature_stages(kind: str, train: DataFrame, bag_col: str, *,
     if kind == FEATURES_TFIDF:
         return [st.hashing_tf(bag_col, "tf", num_features), st.idf("tf", "features")]
     if kind == FEATURES_W2V:
-        p = dict(w2v or {})
-        p.setdefault("num_partitions", train.sparkSession.sparkContext.defaultParallelism)
-        return [st.word2vec(bag_col, "features", seed=seed, **p)]
+        return [st.word2vec(bag_col, "features", seed=seed, **(w2v or st.W2V_LR))]
     raise ValueError(f"unknown features {kind!r}")
 
 
@@ -114,7 +112,10 @@ def build_pipeline(kind: str, classifier, train: DataFrame, class_col: str,
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(train)
+    """Fit; the label indexer then lets unseen classes pass (they count as wrong)."""
+    model = pipeline.fit(train)
+    indexer_of(model).setHandleInvalid("keep")
+    return model
 
 
 def evaluate(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -34,13 +34,14 @@ BASKET_BAGS = """basket_inner AS (
   SELECT o_orderkey, o_orderpriority,
          lower(substring(ingredients, 3, greatest(length(ingredients) - 4, 0))) AS inner_text
   FROM baskets),
+basket_items_all AS (
+  SELECT o_orderkey, o_orderpriority, string_split(inner_text, ''', ''') AS items FROM basket_inner),
 basket_bags AS (
   SELECT o_orderkey, o_orderpriority,
-         CASE WHEN inner_text = '' THEN ['']
-              WHEN regexp_replace(inner_text, '('', '')+$', '') = '' THEN []::VARCHAR[]
-              ELSE string_split(regexp_replace(inner_text, '('', '')+$', ''), ''', ''')
+         CASE WHEN items = [''] THEN items
+              ELSE list_slice(items, 1, coalesce(list_max(list_filter(range(1, len(items) + 1), lambda i: items[i] <> '')), 0))
          END AS tokens
-  FROM basket_inner)"""
+  FROM basket_items_all)"""
 
 HASH = f"md5(CAST(doc_id AS VARCHAR) || ':{SPLIT_SEED}')"
 
@@ -226,17 +227,15 @@ SELECT lang, count, CAST(row_number() OVER (ORDER BY count ASC, lang) - 1 AS DOU
 FROM (SELECT lang, count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY lang)"""
 
     q["vocabulary"] = _with(DOC_BAGS, DOC_TOKENS, """c AS (
-  SELECT token, count(*) AS count FROM doc_tokens GROUP BY token)""") + f"""
+  SELECT token, count(*) AS count FROM doc_tokens GROUP BY token)""") + """
 SELECT idx, token, count FROM (
-  SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, count FROM c)
-WHERE idx < {1 << 18}"""
+  SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, count FROM c)"""
 
     q["vocabulary_min_df"] = _with(DOC_BAGS, DOC_TOKENS, f"""c AS (
   SELECT token, count(*) AS count, count(DISTINCT doc_id) AS doc_freq
-  FROM doc_tokens GROUP BY token HAVING count(DISTINCT doc_id) >= {VOCAB_MIN_DF})""") + f"""
+  FROM doc_tokens GROUP BY token HAVING count(DISTINCT doc_id) >= {VOCAB_MIN_DF})""") + """
 SELECT idx, token, count FROM (
-  SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, count FROM c)
-WHERE idx < {1 << 18}"""
+  SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, count FROM c)"""
 
     q["tfidf_terms"] = _with(DOC_BAGS, DOC_TOKENS, """tf AS (
   SELECT doc_id, token, count(*) AS tf FROM doc_tokens GROUP BY doc_id, token)""",

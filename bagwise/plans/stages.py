@@ -23,13 +23,16 @@ LR_REG_PARAM = 0.01
 RF_NUM_TREES = 100
 RF_MAX_DEPTH = 30
 W2V_LR = dict(vector_size=350, min_count=2, window_size=10, max_iter=20)
+W2V_PARTITIONS = 4
 W2V_RF = dict(vector_size=128, min_count=1, window_size=25, max_iter=15)
 
 
 def label_indexer(class_col: str, out: str = "label",
-                  order: str = FREQUENCY_DESC, handle_invalid: str = "keep") -> StringIndexer:
-    """M1 / M2. ``handle_invalid='keep'`` gives classes unseen in training
-    the extra index numLabels instead of failing."""
+                  order: str = FREQUENCY_DESC, handle_invalid: str = "error") -> StringIndexer:
+    """M1 / M2. Fit with ``error``: ``keep`` would add a class to the label
+    metadata, and with it to every classifier fitted on the labels. Fitted
+    models are set to ``keep`` afterwards (`models.fit`), so rows of unseen
+    classes count as wrong in an evaluation instead of failing it."""
     return StringIndexer(inputCol=class_col, outputCol=out,
                          stringOrderType=order, handleInvalid=handle_invalid)
 
@@ -79,13 +82,10 @@ def count_vectorizer_from(train: DataFrame, bag_col: str, out: str = "features",
 
 def word2vec(bag_col: str, out: str = "features", vector_size: int = 100,
              min_count: int = 5, window_size: int = 5, max_iter: int = 1,
-             seed: int = 42, num_partitions: int | None = None) -> Word2Vec:
+             seed: int = 42, num_partitions: int = W2V_PARTITIONS) -> Word2Vec:
     """M6: bag embedding = mean of its token vectors.
 
-    MLlib trains on `num_partitions` partitions (default 1, i.e. one task);
-    pass the cluster's parallelism at scale."""
-    kw = dict(inputCol=bag_col, outputCol=out, vectorSize=vector_size,
-              minCount=min_count, windowSize=window_size, maxIter=max_iter, seed=seed)
-    if num_partitions:
-        kw["numPartitions"] = num_partitions
-    return Word2Vec(**kw)
+    MLlib trains on `num_partitions` partitions and averages their vectors, so
+    the number is a parameter of the model, not of the cluster."""
+    return Word2Vec(inputCol=bag_col, outputCol=out, vectorSize=vector_size, minCount=min_count,
+                    windowSize=window_size, maxIter=max_iter, seed=seed, numPartitions=num_partitions)

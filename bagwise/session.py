@@ -1,10 +1,8 @@
 """Session construction and lineage cutting.
 
-The library never invents storage locations on a cluster: `materialize` cuts
-lineage with `DataFrame.checkpoint()` into the shared folder the cluster names
-in `spark.checkpoint.dir`. Only a local-mode session without that setting gets
-a scratch folder (tests, bench); elsewhere the fallback is a recomputable
-`persist`, which survives executor loss through lineage.
+The library never invents storage locations on a cluster: `materialize` writes
+to the shared folder the cluster names in `spark.checkpoint.dir`. Only a
+local-mode session without that setting gets a scratch folder (tests, bench).
 """
 
 from __future__ import annotations
@@ -12,7 +10,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the package expects. AQE re-plans at runtime:
@@ -43,8 +40,8 @@ def scale_conf(input_bytes: int, total_cores: int,
     """
     initial = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(initial, 200_000)),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(initial, 200_000)),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
@@ -72,16 +69,12 @@ def build_session(master: str | None = None, app: str = "bagwise",
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def checkpoint_dir(spark: SparkSession, allow_local_scratch: bool = True) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     Read from the SparkContext or `spark.checkpoint.dir`. When neither is
     set and the session runs in local mode, a scratch folder is created and
-    registered (the tests' case). On a cluster without the setting, None.
+    registered (the tests' case). A cluster must name a shared folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,42 +84,45 @@ def checkpoint_dir(spark: SparkSession, allow_local_scratch: bool = True) -> str
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if allow_local_scratch and _is_local(spark):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="bagwise-ckpt-"))
-        return sc.getCheckpointDir()
-    return None
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="bagwise-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 _WRITTEN: list[str] = []
+_READERS: list[dict] = []
+
+
+def forget_on_release(memo: dict) -> dict:
+    """A dict of objects that read materialized tables; `release` empties it."""
+    _READERS.append(memo)
+    return memo
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute `df` once and cut its lineage for repeated use.
 
-    With a checkpoint folder (the shared folder of the cluster), `df` is
-    written there as a parquet table and read back: one job, compressed,
-    and later reads prune columns and push filters into the scan (an RDD
-    checkpoint of an unpersisted DataFrame computes it twice and cannot
-    prune). A lost executor costs nothing: the table is on shared storage.
-    Without a checkpoint folder, persist to memory and disk (lost blocks are
-    recomputed from lineage).
+    `df` is written to the checkpoint folder (the shared folder of the
+    cluster) as a parquet table and read back: one job, compressed, and later
+    reads prune columns and push filters into the scan (an RDD checkpoint of
+    an unpersisted DataFrame computes it twice and cannot prune). A lost
+    executor costs nothing: the table is on shared storage.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    if base is not None:
-        path = f"{base.rstrip('/')}/bagwise-{name}-{uuid.uuid4().hex}"
-        df.write.mode("error").parquet(path)
-        _WRITTEN.append(path)
-        return spark.read.parquet(path)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+    path = f"{checkpoint_dir(spark).rstrip('/')}/bagwise-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> int:
     """Delete the tables `materialize` wrote (through the Hadoop file system
-    of the checkpoint folder). Call it when no DataFrame reading them is in
-    use any more; returns the number of tables removed."""
+    of the checkpoint folder), and forget fitted models and tables that read
+    them. Call it when no DataFrame reading them is in use any more; returns
+    the number of tables removed."""
+    for memo in _READERS:
+        memo.clear()
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
@@ -137,35 +133,19 @@ def release(spark: SparkSession) -> int:
     return n
 
 
-# Rows per partition below which an iterative learner's input is coalesced:
-# every optimizer iteration is one job over all partitions, so near-empty
-# partitions cost scheduling time and nothing else.
-MIN_ROWS_PER_PARTITION = 20_000
-
+#: Session setting: scans with fewer partitions are spread to so many (unset: scans stay as they are).
+SCAN_PARTITIONS = "spark.bagwise.scanPartitions"
 
-def sized_for_iterations(df: DataFrame,
-                         min_rows: int = MIN_ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce (no shuffle) to about one partition per `min_rows` rows,
-    never above the cluster's parallelism and never above the current
-    count: a large input keeps all its partitions."""
-    n = df.count()
-    target = max(1, min(df.sparkSession.sparkContext.defaultParallelism, n // min_rows))
-    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a narrow scan by `key`, if the session asks for it.
 
-def spread(df: DataFrame, key: str | None = None,
-           min_partitions: int | None = None) -> DataFrame:
-    """Repartition only when the scan is narrower than the cluster.
-
-    Parquet splits by row group; a table stored as one row group is read by
-    one task, which then runs all the CPU-heavy regex tokenizing. On a large
-    table the scan already has many partitions and this is a no-op, so no
-    shuffle of raw text is added at scale. With a `key` the rows are hash
-    partitioned by it: deterministic under task retries without the local
-    sort Spark puts in front of a round-robin repartition.
+    Parquet splits by row group: a table stored as one row group is read by
+    one task, which then runs all the regex tokenizing. Off by default, so the
+    plan that runs is the reader's; the bench, whose tables are one row group
+    each, sets `spark.bagwise.scanPartitions`.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    wanted = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    if wanted is None or df.rdd.getNumPartitions() >= int(wanted):
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(int(wanted), key)

@@ -84,21 +84,18 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
 
 
-def basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F2 as rows: (o_orderkey, o_orderpriority, item) for every order line.
+def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 as rows: (o_orderkey, o_orderpriority, p_name) for every order line.
 
-    The list parser (X1) on a basket yields exactly the lower-cased part
-    names of its lines, so item statistics can be computed from these rows
-    without ever building a basket: no per-order collect, and a very large
-    order is just many rows spread over tasks.
+    No per-order collect: a very large order is just many rows spread over
+    tasks.
     """
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority"])
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
     return (li.join(p, li.l_partkey == p.p_partkey)
               .join(o, li.l_orderkey == o.o_orderkey)
-              .select("o_orderkey", "o_orderpriority",
-                      F.lower("p_name").alias("item")))
+              .select("o_orderkey", "o_orderpriority", "p_name"))
 
 
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +104,7 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``ingredients`` = ``['name a', 'name b', ...]``, names sorted (the line
     number is not unique, so the name is the only stable order). This is
     the reference's input format, one bag per row, so the items of an order
-    are gathered into that row; use `basket_items` when only item
+    are gathered into that row; use `basket_lines` when only item
     statistics are needed. The part table is joined on its key (Catalyst
     picks broadcast only when its measured size allows).
     """

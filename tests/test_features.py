@@ -28,7 +28,7 @@ def test_label_index_ties_alphabetical(spark):
 
 def test_vocabulary_matches_count_vectorizer(spark):
     b = catalog.doc_bags(spark, SF_SMALL)
-    voc = feat.vocabulary(b, vocab_size=300).collect()
+    voc = feat.vocabulary(b, vocab_size=300).orderBy("idx").collect()
     assert [r["idx"] for r in voc] == list(range(len(voc)))
     counts = [r["count"] for r in voc]
     assert counts == sorted(counts, reverse=True)
