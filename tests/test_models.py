@@ -71,3 +71,27 @@ def test_depth_sweep_and_grid(prep):
 def test_depth_limit():
     with pytest.raises(ValueError):
         mdl.random_forest(1, 31)
+
+
+def test_no_class_that_no_row_has(prep):
+    n = len({r[0] for r in prep.train.select("lang").distinct().collect()})
+    for kind, classifier in ((mdl.FEATURES_TFIDF, mdl.logistic_regression(max_iter=3)),
+                             (mdl.FEATURES_COUNTS, mdl.random_forest(2, 2, "weight", seed=1))):
+        model = mdl.fit(mdl.build_pipeline(kind, classifier, prep.train, "lang", "tokens"), prep.train)
+        assert model.stages[-1].numClasses == n == len(mdl.indexer_of(model).labels)
+    two = prep.train.where(F.col("lang").isin("en", "fr"))
+    model = mdl.fit(mdl.build_pipeline(mdl.FEATURES_TFIDF, mdl.logistic_regression(max_iter=3), two, "lang", "tokens"), two)
+    assert model.stages[-1].numClasses == 2 and model.stages[-1].coefficientMatrix.numRows == 1
+    # classes that the fit hasn't seen count as wrong
+    assert mdl.evaluate(model, prep.train).first()["n_rows"] == prep.train.count()
+
+
+def test_fold_vocabulary_has_no_held_out_token(spark):
+    train = spark.createDataFrame([(["a", "b"],), (["b"],)], "tokens array<string>")
+    assert set(tuning.fold_vectorizer(train, "tokens").vocabulary) == {"a", "b"}
+
+
+def test_reference_grids_share_features(prep):
+    g = tuning.grid_search_lr(prep, (50, 100), (0.1, 0.01), max_iter=3, n_folds=2).collect()
+    assert {(r["num_features"], r["reg_param"]) for r in g} == {(50, 0.1), (50, 0.01), (100, 0.1), (100, 0.01)}
+    assert all(0 <= r["mean_accuracy"] <= 1 for r in g)

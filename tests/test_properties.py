@@ -40,7 +40,7 @@ def _list_model(s: str) -> list:
     return _jvm_split(inner.lower(), "', '")
 
 
-items = st.lists(st.text(alphabet="ab C-'", max_size=5), max_size=5)
+items = st.lists(st.text(alphabet="ab C-',", max_size=6), max_size=5)
 
 
 @settings(max_examples=15, deadline=None)
