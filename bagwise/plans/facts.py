@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bagwise.functions.tokens import word_tokens
 from bagwise.operators import metrics as met
@@ -23,7 +24,11 @@ from bagwise.sources import tables
 HASHED = 1000   # features of the hashed term frequencies: small, so that a document's sum is cheap
 
 
-@F.udf("array<struct<idx:bigint,tf:bigint>>")
+# a type, not a DDL string: that would need a session when the module is imported
+ENTRIES = T.ArrayType(T.StructType([T.StructField("idx", T.LongType()), T.StructField("tf", T.LongType())]))
+
+
+@F.udf(ENTRIES)
 def entries(v):
     """The non-zero entries of a count vector."""
     return [(int(i), int(x)) for i, x in zip(v.indices, v.values)]

@@ -29,3 +29,12 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["lang", "token", "count", "rank"]
     assert df.count() > 0
+
+
+def test_import_needs_no_session():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; e.queries(); e.oracle_sql()"], cwd=root, capture_output=True)
+    assert done.returncode == 0, done.stderr[-500:]
