@@ -31,14 +31,39 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, name: str = "cut") -> DataFrame:
-    """`df` as a Parquet table in the shared folder, read again."""
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS = 1000         # whole texts in a batch for Python
+
+
+def written(df: DataFrame, name: str = "cut", records: int | None = None) -> DataFrame:
+    """`df` as a Parquet table in the shared folder, read again; the shuffle files behind it go at once.
+
+    `records`: rows of a batch for Python in this job, where they hold texts.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    wanted = {CLEANUP: "true"} | ({RECORDS: str(records)} if records else {})
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        df.write.parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a `written` table that nothing reads any more."""
+    files = table.inputFiles()
+    if files:
+        jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(conf).delete(path, True)
+
+
 def to_workers(spark: SparkSession) -> None:
     """Let Python workers import this package where it isn't installed (a shared or local path)."""
     env = spark.sparkContext.environment
@@ -54,7 +79,8 @@ def map_rows(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Itera
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) under these names alone, so that no other column can clash; null text is empty."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    as_is = id_col == "doc_id" and dict(docs.dtypes)[id_col] == "bigint"  # an alias would hide equal exchanges from Spark
+    return docs.select(F.col(id_col) if as_is else F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

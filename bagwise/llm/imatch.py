@@ -75,14 +75,18 @@ def following(keys: DataFrame, levels: int = 4) -> DataFrame:
             .select("key", F.coalesce("near", "next").alias("next")))
 
 
-def hashes(found: Column, flag: int) -> Column:
-    """Of each subset, in order: the hash of its sorted terms, or "-"."""
-    own = F.array_sort(F.transform(F.filter(found, lambda t: t["flags"].bitwiseAND(flag) != 0), lambda t: t["term"]))
+def hashes(pairs: DataFrame) -> DataFrame:
+    """(doc_id, parts, edited_parts) from (doc_id, term, flags): of each subset, in order, the hash of its sorted terms, or "-"."""
+    def one(flag: int) -> Column:
+        held = F.array_sort(F.collect_set(F.when(F.col("flags").bitwiseAND(flag) != 0, F.col("term"))))
+        return F.when(F.size(held) > 0, F.lower(F.lpad(F.hex(F.xxhash64(F.array_join(held.cast("array<string>"), ","))), 16, "0")))
+    by_subset = (pairs.withColumn("subset", subset_of(F.col("term"))).repartition("doc_id").groupBy("doc_id", "subset")
+                 .agg(one(1).alias("own"), one(2).alias("other")))
 
-    def one(j: Column) -> Column:
-        held = F.filter(own, lambda t: subset_of(t) == j)
-        return F.when(F.size(held) > 0, F.lower(F.lpad(F.hex(F.xxhash64(F.array_join(held.cast("array<string>"), ","))), 16, "0"))).otherwise("-")
-    return F.transform(F.sequence(F.lit(0), F.lit(N_SUBSETS - 1)), one)
+    def parts(name: str) -> Column:
+        held = F.map_from_entries(F.collect_list(F.struct("subset", name)))
+        return F.transform(F.sequence(F.lit(0), F.lit(N_SUBSETS - 1)), lambda j: F.coalesce(F.element_at(held, j), F.lit("-")))
+    return by_subset.groupBy("doc_id").agg(parts("own").alias("parts"), parts("other").alias("edited_parts"))
 
 
 def fingerprint(parts: Column, text_hash: Column) -> Column:
@@ -109,12 +113,15 @@ def edited_texts(rows: DataFrame) -> DataFrame:
     # as many code points of the next text as any row of this id needs
     need = (rows.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("need")).join(after, "doc_id")
             .select(F.col("doc_id").alias("of"), F.col("next_id").alias("doc_id"), "need"))
-    firsts = (rows.filter("doc_id is not null")
-              .withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).filter("nth = 1").drop("nth"))
+    # both joins take the texts dealt by id, so they are shuffled once; lag() marks the first text of an id
+    known = rows.filter("doc_id is not null").repartition("doc_id")
+    firsts = known.withColumn("before", F.lag("doc_id").over(Window.partitionBy("doc_id").orderBy("text"))).filter("before is null").drop("before")
     heads = firsts.join(need, "doc_id").select(F.col("of").alias("doc_id"), F.col("doc_id").alias("next_id"),
                                                F.substr("text", F.lit(1), F.col("need").cast("int")).alias("head"))
+    headed = known.join(heads, "doc_id", "left").unionByName(
+        rows.filter("doc_id is null").withColumns({"next_id": F.lit(None).cast("long"), "head": F.lit("")}))
     cut = F.floor(F.length("text") / 4).cast("int")
-    return rows.join(heads, "doc_id", "left").select(
+    return headed.select(
         "doc_id", "next_id", "text",
         F.concat(F.substr("text", F.lit(1), F.length("text") - cut),
                  F.substr(F.coalesce("head", F.lit("")), F.lit(1), cut)).alias("edited"))
@@ -138,8 +145,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     edited = written(texts.withColumn("flagged", flagged).drop("own", "other"), "edited")
     pairs = (edited.filter("doc_id is not null").select("doc_id", F.explode("flagged").alias("t")).select("doc_id", "t.term", "t.flags")
              .join(F.broadcast(frequent), "term", "left_anti").join(band, "term"))
-    parts = (pairs.groupBy("doc_id").agg(F.collect_set(F.struct("term", "flags")).alias("found"))
-             .select("doc_id", hashes(F.col("found"), 1).alias("parts"), hashes(F.col("found"), 2).alias("edited_parts")))
+    parts = hashes(pairs)
     known = written(edited.drop("flagged").join(parts, "doc_id", "left")
                     .select("doc_id", "next_id", "n_chars", "edited_sha256", fingerprint(F.col("parts"), F.col("sha256")).alias("fingerprint"),
                             fingerprint(F.col("edited_parts"), F.col("edited_sha256")).alias("edited_fingerprint")), "known")

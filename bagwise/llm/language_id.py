@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagwise.llm.common import map_rows, slices, written
+from bagwise.llm.common import TEXTS, map_rows, slices, written
 
 BUCKETS = 1 << 14
 EVIDENCE = 150.0     # trigrams that a text's likelihood counts for at most
@@ -111,7 +111,7 @@ def languages(rows: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS, le
     kinds = ["declared", "suffix", "host", "domain"]
     rows = rows.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *(F.col(k).cast("string") for k in kinds))
     judged = written(map_rows(rows, likelihood_rows(table), "doc_id long, declared string, suffix string, host string, domain string, "
-                              "grams long, likelihood array<double>"), "likelihoods")
+                              "grams long, likelihood array<double>"), "likelihoods", TEXTS)
     best = F.array_position("likelihood", F.array_max("likelihood")).cast("int") - 1
     known = judged.filter("grams > 0").withColumn("best", best)
     numbers = [F.sum((F.col("best") == i).cast("double")) for i in range(size)]

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bagwise.llm.common import id_text, map_rows, slices, written
+from bagwise.llm.common import TEXTS, id_text, map_rows, slices, written
 from bagwise.llm.graph import components
 
 #: An n-gram that more than this share of documents hold comes last in the order; at most
@@ -298,7 +298,7 @@ def ngram_jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
     """(doc_id, n_shingles, component_id): links are similarities of `percent` / 100 or more."""
     rows = id_text(docs, id_col, text_col)
     frequent = frequent_ngrams(rows, size)
-    sets = written(map_rows(rows, set_rows(size, percent, frequent), SETS), "sets")
+    sets = written(map_rows(rows, set_rows(size, percent, frequent), SETS), "sets", TEXTS)
     some = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = written(some.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
     first = some.join(classes.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi")
@@ -313,7 +313,7 @@ def ngram_jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
         pairs = written(pairs, "bounded")
         a, b = (rows.select(F.col("doc_id").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "a_text", "b_text")
-        return written(map_rows(both, exact_rows(size, percent), "a long, b long"), "links")
+        return written(map_rows(both, exact_rows(size, percent), "a long, b long"), "links", TEXTS // 5)  # two texts each
 
     keyed = (first.select("rep", "n", F.explode("keys").alias("key")).repartition("key")
              .sortWithinPartitions("key", "n", "rep"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.llm.bpe import encoder_of
-from bagwise.llm.common import id_text, map_rows, slices, written
+from bagwise.llm.common import TEXTS, id_text, map_rows, slices, written
 
 CAPACITY = 2048
 SMALL = 64           # a rest below this many tokens isn't cut further
@@ -98,7 +98,7 @@ def harmonic_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, sma
     """
     spark = docs.sparkSession
     pieces = written(map_rows(id_text(docs, id_col, text_col),
-                              cut_rows(tokenizer, capacity, small, end_id, keep_ids), PIECES), "pieces")
+                              cut_rows(tokenizer, capacity, small, end_id, keep_ids), PIECES), "pieces", TEXTS)
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = written(counts.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))), "shifts")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bagwise.llm.common import id_text, map_rows, slices, written
+from bagwise.llm.common import TEXTS, id_text, map_rows, slices, written
 
 KINDS = ("assign", "access", "hex")
 LEAST = 10.0         # log10 of the guesses from which on a value is a secret
@@ -149,7 +149,7 @@ def cost_rows(batches):
 def find_secrets(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans) of every row: spans by start, then kind as listed; code points, end exclusive."""
     rows = id_text(docs, id_col, text_col)
-    found = written(map_rows(rows, found_rows, FOUND), "found")
+    found = written(map_rows(rows, found_rows, FOUND), "found", TEXTS)
     asked = found.select("row", F.explode("asked").alias("a")).select("row", "a.start", "a.end", "a.value")
     parts = written(map_rows(asked.select("value").distinct(), part_rows, "value string, word string"), "parts")
     words = (rows.select(F.explode(F.split(F.lower("text"), "[^\\p{L}]+")).alias("word"))
