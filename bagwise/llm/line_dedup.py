@@ -9,7 +9,7 @@ last, by their counts over all documents, the others first, by hash. Two
 similar sets share a word among the first n - ceil(t n) + 1 of either
 (prefix filter), their sizes differ by a factor of t at most (length filter),
 and the words behind a shared one must suffice for the overlap (positional
-filter); a 64-bit parity sketch of the set bounds the difference of the rest.
+filter); a sketch, 64 to 512 parities by the size of the set, bounds the difference.
 Equal sets are one class with its first line. What passes is verified on the
 words of the whole lines.
 
@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bagwise.llm.common import id_text, map_rows, slices, written
-from bagwise.llm.ngram_join import mix, runs, word_hashes
+from bagwise.llm.common import TEXTS, discard, id_text, map_rows, slices, written
+from bagwise.llm.ngram_join import mix, word_hashes
 
 #: A word counts as frequent from this share of all words on: fewer than 1 / FREQUENT words can be.
 FREQUENT = 1e-5
@@ -95,16 +95,38 @@ def line_sets(texts: list[str], frequent: tuple[np.ndarray, np.ndarray]):
     return text_of[some], line_of[some], sizes[some], words
 
 
-def sketches(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each set: 64 parities, and two sums that name it."""
-    spread = mix(words)
-    parity = np.bitwise_xor.reduceat(np.uint64(1) << (spread & np.uint64(63)), starts)
+def width_of(n: np.ndarray) -> np.ndarray:
+    """64-bit words of a sketch: more parities than words of the line, 512 at most."""
+    return np.minimum(8, 1 << np.ceil(np.log2(np.maximum(1, n / 50))).astype(np.int64))
+
+
+def sketches(words: np.ndarray, starts: np.ndarray, n: np.ndarray):
+    """Of each set: its parities by hash, as bytes, and two sums that name it."""
+    spread, width = mix(words), width_of(n)
+    line = np.repeat(np.arange(len(n)), n)
+    word = ((spread >> np.uint64(6)) & np.repeat(width - 1, n).astype(np.uint64)).astype(np.int64)
+    parities = np.zeros((len(n), 8), np.uint64)
+    np.bitwise_xor.at(parities, (line, word), np.uint64(1) << (spread & np.uint64(63)))
+    used = np.arange(8) < width[:, None]
+    offsets = np.concatenate([[0], np.cumsum(8 * width)]).astype(np.int32)
+    parity = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(parities[used].tobytes())])
     return (parity, np.add.reduceat(spread, starts, dtype=np.uint64),
             np.add.reduceat(mix(spread + np.uint64(1)), starts, dtype=np.uint64))
 
 
+def unpacked(parity: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """The sketches' widths, and for each width the sketches folded to it (parities add up)."""
+    width = np.array([len(p) // 8 for p in parity], np.int64)
+    full = np.zeros((len(parity), 8), np.uint64)
+    full[np.arange(8) < width[:, None]] = np.frombuffer(b"".join(parity), np.uint64)
+    folded = {8: full}
+    for w in (4, 2, 1):
+        folded[w] = folded[2 * w][:, :w] ^ folded[2 * w][:, w:]
+    return width, folded
+
+
 LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("hi", pa.int64()),
-                   ("lo", pa.int64()), ("parity", pa.int64()), ("keys", pa.list_(pa.int64()))])
+                   ("lo", pa.int64()), ("parity", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
 
 def line_rows(percent: int, frequent: tuple[np.ndarray, np.ndarray]):
@@ -114,58 +136,95 @@ def line_rows(percent: int, frequent: tuple[np.ndarray, np.ndarray]):
             if not len(n):
                 continue
             starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-            parity, hi, lo = sketches(words, starts)
+            parity, hi, lo = sketches(words, starts, n)
             keys = n - -(-percent * n // 100) + 1
             offsets = np.concatenate([[0], np.cumsum(keys)])
             at = np.repeat(starts - offsets[:-1], keys) + np.arange(offsets[-1])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(words[at].view(np.int64)))
             ids = batch.column(0).take(pa.array(text_of))
             yield pa.record_batch([ids, pa.array(line, pa.int32()), pa.array(n, pa.int32()), pa.array(hi.view(np.int64)),
-                                   pa.array(lo.view(np.int64)), pa.array(parity.view(np.int64)), lists], schema=LINES)
+                                   pa.array(lo.view(np.int64)), parity, lists], schema=LINES)
     return run
 
 
 PAIRS = "doc_id long, line int, by_doc long, by_line int, more boolean"
-BY_KEY = ["tile", "key", "n", "place", "parity", "doc_id", "line", "upper", "open"]
+BY_TILE = ["tile", "n", "place", "parity", "doc_id", "line"]
+
+
+def whole_tiles(batches, columns: list[str]):
+    """Arrays of whole tiles, some thousand rows at a time; rows come sorted by tile."""
+    carry = None
+    for batch in batches:
+        now = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in columns]
+        if carry is not None:
+            now = [np.concatenate([a, b]) for a, b in zip(carry, now)]
+        if not len(now[0]):
+            continue
+        edges = np.flatnonzero(now[0][1:] != now[0][:-1]) + 1
+        last = int(edges[-1]) if len(edges) else 0
+        if last:
+            yield [c[:last] for c in now]
+        carry = [c[last:] for c in now]
+    if carry is not None and len(carry[0]):
+        yield carry
+
+
+def passing(tile: np.ndarray, n: np.ndarray, place: np.ndarray, parity: list[bytes], percent: int):
+    """Pairs of rows of a tile that pass the filters, in blocks; rows come sorted by tile, then size.
+
+    Each round compares all rows with the row `step` behind; a row leaves when that
+    one is of another tile or too large, so the work follows the admitted pairs.
+    """
+    upper, place, n = place < 0, np.abs(place) - 1, n.astype(np.int64)
+    width, folded = unpacked(parity)
+    at, step = np.arange(len(tile)), 0
+    while len(at):
+        step += 1
+        at = at[at + step < len(tile)]
+        other = at + step
+        at = at[(tile[at] == tile[other]) & (percent * n[other] <= 100 * n[at])]
+        other = at + step
+        both = n[at] + n[other]
+        need = -(-percent * both // (100 + percent))                            # least overlap
+        left = np.minimum(n[at] - place[at], n[other] - place[other])           # words from the shared one on
+        good = (left >= need) & ~(upper[at] & upper[other])
+        i, j, most = at[good], other[good], (both - 2 * need)[good]
+        for w in (1, 2, 4, 8):  # the narrow sketches first: few pairs are left for the wide ones
+            narrow = np.minimum(width[i], width[j]) < w
+            good = narrow | (np.bitwise_count(folded[w][i] ^ folded[w][j]).sum(axis=1, dtype=np.int64) <= most)
+            i, j, most = i[good], j[good], most[good]
+        if len(i):
+            yield i, j
 
 
 def earlier_rows(percent: int, all_of_them: bool):
-    """Of the open lines of a tile, the earliest earlier line that passes the filters, or all that do."""
-    def candidates(group):
-        _, _, n, place, parity, doc, line, upper, is_open = group
-        order = np.lexsort((line, doc, n))
-        n, place, parity, doc, line, upper, is_open = (x[order] for x in (n, place, parity, doc, line, upper, is_open))
-        n, parity = n.astype(np.int64), parity.view(np.uint64)
-        rank = np.empty(len(n), np.int64)
-        rank[np.lexsort((line, doc))] = np.arange(len(n))
-        low = np.searchsorted(n, -(-percent * n // 100))
-        high = np.searchsorted(n, n * 100 // percent, "right")
-        for i in np.flatnonzero(is_open).tolist():
-            s = slice(low[i], high[i])
-            if high[i] - low[i] < 2:
-                continue
-            both = n[s] + n[i]
-            need = -(-percent * both // (100 + percent))             # least overlap
-            left = np.minimum(n[s] - place[s], n[i] - place[i])      # words from the shared one on
-            good = ((rank[s] < rank[i]) & (left >= need) & ~(upper[s] & upper[i])
-                    & (np.bitwise_count(parity[s] ^ parity[i]) <= both - 2 * need))
-            at = low[i] + np.flatnonzero(good)
-            if len(at) and not all_of_them:
-                more = len(at) > 1
-                at = at[[np.argmin(rank[at])]]
-                yield doc[[i]], line[[i]], doc[at], line[at], np.array([more])
-            elif len(at):
-                yield np.full(len(at), doc[i]), np.full(len(at), line[i]), doc[at], line[at], np.zeros(len(at), bool)
+    """Of each line the earliest earlier line that passes the filters, or of open lines all that do."""
+    names = ["doc_id", "line", "by_doc", "by_line", "more"]
 
     def run(batches):
-        names, held = ["doc_id", "line", "by_doc", "by_line", "more"], []
-        for group in runs(batches, BY_KEY):
-            held += candidates(group)
-            if sum(len(x[0]) for x in held) > 10_000:
-                yield pa.record_batch([np.concatenate(c) for c in zip(*held)], names=names)
-                held = []
-        if held:
-            yield pa.record_batch([np.concatenate(c) for c in zip(*held)], names=names)
+        for columns in whole_tiles(batches, BY_TILE + ["open"] * all_of_them):
+            order = np.lexsort((columns[1], columns[0]))
+            tile, n, place, parity, doc, line = (x[order] for x in columns[:6])
+            in_order = np.lexsort((line, doc))
+            rank = np.empty(len(n), np.int64)
+            rank[in_order] = np.arange(len(n))
+            best, number = np.full(len(n), len(n)), np.zeros(len(n), np.int64)
+            for i, j in passing(tile, n, place, parity, percent):
+                for late, early in ((i, j), (j, i)):  # no row is twice among these
+                    good = (rank[late] > rank[early]) & ((doc[late] != doc[early]) | (line[late] != line[early]))
+                    late, early = late[good], early[good]
+                    if all_of_them:
+                        good = columns[6][order][late]
+                        late, early = late[good], early[good]
+                        if len(late):
+                            yield pa.record_batch([doc[late], line[late], doc[early], line[early], np.zeros(len(late), bool)], names=names)
+                    else:
+                        best[late] = np.minimum(best[late], rank[early])
+                        number[late] += 1
+            if not all_of_them:
+                late = np.flatnonzero(number)
+                early = in_order[best[late]]
+                yield pa.record_batch([doc[late], line[late], doc[early], line[early], number[late] > 1], names=names)
     return run
 
 
@@ -188,45 +247,54 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     rows = id_text(docs, id_col, text_col).filter(F.col("doc_id").isNotNull())
     frequent = frequent_words(rows)
     lines = written(map_rows(rows, line_rows(percent, frequent),
-                             "doc_id long, line int, n int, hi long, lo long, parity long, keys array<long>"), "lines")
+                             "doc_id long, line int, n int, hi long, lo long, parity binary, keys array<long>"), "lines", TEXTS)
     classes = written(lines.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "line")).alias("first"),
                                                     F.count("*").alias("copies")), "classes")
     firsts = classes.select("hi", "lo", "first.doc_id", "first.line")
     copies = (lines.select("doc_id", "line", "hi", "lo").join(classes.filter("copies > 1"), ["hi", "lo"])
               .filter("doc_id != first.doc_id or line != first.line").select("doc_id", "line").distinct())
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9)
-    # a rare word is one tile; a frequent one has a tile for each two neighbouring size bands
-    tiles = F.when(F.col("key") >= 0, F.array(F.struct(F.col("key").alias("tile"), F.lit(False).alias("upper")))).otherwise(
-        F.array(F.struct(F.xxhash64("key", band).alias("tile"), F.lit(False).alias("upper")),
-                F.struct(F.xxhash64("key", band - 1).alias("tile"), F.lit(True).alias("upper"))))
-    keyed = (lines.join(firsts, ["hi", "lo", "doc_id", "line"], "left_semi")
-             .select("doc_id", "line", "n", "parity", F.posexplode("keys").alias("place", "key"))
-             .select("*", F.explode(tiles).alias("t")).select("*", "t.tile", "t.upper").drop("t"))
+    # a rare word is one tile; a frequent one has a tile for each two neighbouring size bands,
+    # where a negative place marks the upper band, whose own pairs belong to the next tile
+    place = F.col("place") + 1
+    tiles = F.when(F.col("key") >= 0, F.array(F.struct(F.col("key").alias("tile"), place.alias("place")))).otherwise(
+        F.array(F.struct(F.xxhash64("key", band).alias("tile"), place.alias("place")),
+                F.struct(F.xxhash64("key", band - 1).alias("tile"), (-place).alias("place"))))
+    first_of_class = written(lines.join(firsts, ["hi", "lo", "doc_id", "line"], "left_semi").drop("hi", "lo"), "firsts")
+    copies = written(copies, "copies")
+    discard(lines)
+    discard(classes)
+
+    def tiled(some: DataFrame) -> DataFrame:
+        return (some.select("doc_id", "line", "n", "parity", F.posexplode("keys").alias("place", "key"))
+                .select("doc_id", "line", "n", "parity", F.explode(tiles).alias("t"))
+                .select("t.tile", "n", "t.place", "parity", "doc_id", "line"))
 
     def dealt(these: DataFrame) -> DataFrame:
-        return these.select(*BY_KEY).repartition("tile").sortWithinPartitions("tile", "key")
+        return these.repartition("tile").sortWithinPartitions("tile")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(doc_id, line) of those that match."""
         both = pairs.select("doc_id", "line").unionAll(pairs.select(F.col("by_doc").alias("doc_id"), F.col("by_line").alias("line")))
         wanted = both.groupBy("doc_id").agg(F.collect_set("line").alias("wanted"))
         words = written(map_rows(rows.join(wanted, "doc_id").select("doc_id", "text", "wanted"), wanted_rows,
-                                 "doc_id long, line int, words array<long>"), "words")
+                                 "doc_id long, line int, words array<long>"), "words", TEXTS)
         by = words.select(F.col("doc_id").alias("by_doc"), F.col("line").alias("by_line"), F.col("words").alias("by_words"))
         same = F.size(F.array_intersect("words", "by_words"))
         return (pairs.join(words, ["doc_id", "line"]).join(by, ["by_doc", "by_line"])
                 .filter(same * 100 >= (F.size("words") + F.size("by_words") - same) * percent)
                 .select("doc_id", "line").distinct())
 
-    first = written(map_rows(dealt(keyed.withColumn("open", F.lit(True))), earlier_rows(percent, False), PAIRS)
+    first = written(map_rows(dealt(tiled(first_of_class)), earlier_rows(percent, False), PAIRS)
                     .groupBy("doc_id", "line").agg(F.min(F.struct("by_doc", "by_line")).alias("by"),
-                                                   (F.max("more") | (F.count_distinct("by_doc", "by_line") > 1)).alias("more"))
-                    .select("doc_id", "line", "by.by_doc", "by.by_line", "more"), "first")
+                                                   F.max("more").alias("more"), F.max(F.struct("by_doc", "by_line")).alias("last"))
+                    .select("doc_id", "line", "by.by_doc", "by.by_line", (F.col("more") | (F.col("by") != F.col("last"))).alias("more")), "first")
     gone = written(copies.unionAll(verified(first)), "gone")
     unsettled = written(first.filter("more").join(gone, ["doc_id", "line"], "left_anti").select("doc_id", "line"), "unsettled")
     if not unsettled.isEmpty():
-        flagged = keyed.join(unsettled.withColumn("open", F.lit(True)), ["doc_id", "line"], "left") \
-            .withColumn("open", F.coalesce("open", F.lit(False)))
+        theirs = written(tiled(first_of_class.join(unsettled, ["doc_id", "line"], "left_semi")), "theirs")
+        others = tiled(first_of_class).join(theirs.select("tile").distinct(), "tile", "left_semi").select(*BY_TILE)
+        flagged = others.withColumn("open", F.lit(False)).unionAll(theirs.withColumn("open", F.lit(True)))
         rest = written(map_rows(dealt(flagged), earlier_rows(percent, True), PAIRS)
                        .join(first.select("doc_id", "line", "by_doc", "by_line"), ["doc_id", "line", "by_doc", "by_line"], "left_anti")
                        .select("doc_id", "line", "by_doc", "by_line").distinct(), "rest")
