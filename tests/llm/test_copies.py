@@ -162,3 +162,24 @@ def test_following(spark):
     df = spark.createDataFrame([(i, i) for i in ids], "key long, first long")
     got = {r.key: r.next for r in imatch.following(df).collect()}
     assert got == dict(zip(ids, ids[1:] + [None]))
+
+
+def test_nn_descent_settles_small_links_beside_a_large_component(spark, monkeypatch):
+    """Poor blocks and short lists; the pairs' links are few beside those of the large component."""
+    for name, value in (("BLOCK", 4), ("TABLES", 1), ("TILE", 64)):
+        monkeypatch.setattr(nn_descent, name, value)
+    r = np.random.default_rng(8)
+    centre = r.normal(size=32)
+    x = [centre + r.normal(size=32) * 0.05 for _ in range(150)]
+    for _ in range(150):
+        one = r.normal(size=32)
+        x += [one, one + r.normal(size=32) * 0.3]
+    unit = np.stack(x) / np.linalg.norm(x, axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.93
+    np.fill_diagonal(link, False)
+    assert link[150:].sum() > 100
+    df = spark.createDataFrame([(i, [float(v) for v in e], 0) for i, e in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {g.vec_id: g.n_links for g in nn_descent.embedding_links(df, k=2).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    for at in (slice(0, 150), slice(150, None)):
+        assert found[at].sum() >= 0.95 * link[at].sum()
