@@ -2,21 +2,23 @@
 
 A document's terms are its distinct lower-cased words whose inverse document
 frequency lies in a band: words of at least `MIN_DF` documents, and of at most
-`MAX_SHARE` of them. The lexicon has randomised subsets, drawn by a term's
-hash, of several sizes. The fingerprint holds a hash of the sorted terms of
-each subset that are in the document; a subset without any stands as "-". Two
+`MAX_SHARE` of them. These terms are the lexicon. Its subsets are the whole
+lexicon and randomised ones of several sizes, drawn by hashes of a term, that
+overlap: every term is in the first and by chance in others. The fingerprint
+holds a hash of the set of terms of each subset that are in the document (the
+exclusive or of their hashes); a subset without any stands as "-". Two
 fingerprints are alike by the share of equal hashes among the subsets that
 either has terms of: long texts agree or differ in the small subsets, short
 ones in the large.
 
-Only terms of some subset are counted and joined. Frequent terms, fewer than
+All terms are counted and joined. Frequent terms, fewer than
 (mean distinct terms / MAX_SHARE), are dropped by a broadcast list before
 anything is shuffled; the others meet their document counts in a join.
 
 Each document is also compared with its edited text and with the next
 document; see `fingerprints`.
 
-Defined cases: null and empty texts, and texts without a term in any subset,
+Defined cases: null and empty texts, and texts without a term of the lexicon,
 have the hash of the whole text as fingerprint; such fingerprints are alike
 (1) or not (0); rows that share an id have the fingerprint of all their terms,
 and the first of their texts is the one that the previous document's edited
@@ -35,28 +37,25 @@ from bagwise.llm.common import id_text, written
 MIN_DF = 2
 MAX_SHARE = 0.1
 LEAST_MAX = 8        # documents that a term of a small collection may be in anyway
-#: (subsets, of 4096 parts of the lexicon each holds so many)
-SUBSETS = ((1, 256), (4, 64), (8, 16), (8, 4), (8, 1))
-PARTS = 4096
+#: (subsets, bits): each holds one in 2 ** bits terms of the lexicon
+SUBSETS = ((1, 0), (4, 1), (8, 3), (8, 5), (8, 7))
 N_SUBSETS = sum(n for n, _ in SUBSETS)
 BITS = 12            # ids are ordered in blocks of 2 ** BITS ids, those in blocks of as many, ...
 
 
-def subset_of(term: Column) -> Column:
-    """The number of the subset that a hashed term belongs to, or null."""
-    part, out, at, number = term.bitwiseAND(PARTS - 1), F.lit(None).cast("int"), 0, 0
-    for n, width in SUBSETS:
-        out = F.when((part >= at) & (part < at + n * width), (F.floor((part - at) / width) + number).cast("int")).otherwise(out)
-        at, number = at + n * width, number + n
+def members(term: Column) -> list[Column]:
+    """Of each subset: whether a hashed term belongs to it."""
+    out = []
+    for n, bits in SUBSETS:
+        drawn = F.xxhash64(term, F.lit(bits))  # n * bits of its bits
+        out += [F.shiftright(drawn, i * bits).bitwiseAND((1 << bits) - 1) == 0 for i in range(n)]
     return out
 
 
 def terms(text: Column) -> Column:
-    """The distinct hashed words that belong to a subset."""
+    """The distinct hashed words."""
     words = F.split(F.lower(text), "[\\s.,;:!?\"()]+")
-    used = sum(n * width for n, width in SUBSETS)
-    hashed = F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
-    return F.array_distinct(F.filter(hashed, lambda h: h.bitwiseAND(PARTS - 1) < used))
+    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
 def following(keys: DataFrame, levels: int = 4) -> DataFrame:
@@ -76,17 +75,18 @@ def following(keys: DataFrame, levels: int = 4) -> DataFrame:
 
 
 def hashes(pairs: DataFrame) -> DataFrame:
-    """(doc_id, parts, edited_parts) from (doc_id, term, flags): of each subset, in order, the hash of its sorted terms, or "-"."""
-    def one(flag: int) -> Column:
-        held = F.array_sort(F.collect_set(F.when(F.col("flags").bitwiseAND(flag) != 0, F.col("term"))))
-        return F.when(F.size(held) > 0, F.lower(F.lpad(F.hex(F.xxhash64(F.array_join(held.cast("array<string>"), ","))), 16, "0")))
-    by_subset = (pairs.withColumn("subset", subset_of(F.col("term"))).repartition("doc_id").groupBy("doc_id", "subset")
-                 .agg(one(1).alias("own"), one(2).alias("other")))
+    """(doc_id, parts, edited_parts) from (doc_id, term, flags): of each subset, in order, the hash of its terms, or "-"."""
+    # a term counts once for an id, so that equal ones of several rows don't cancel
+    once = pairs.repartition("doc_id").groupBy("doc_id", "term").agg(F.bit_or("flags").alias("flags"))
+    drawn = once.select("doc_id", "term", "flags", *(m.alias(f"in_{j}") for j, m in enumerate(members(F.col("term")))))
+
+    def one(flag: int, j: int) -> Column:
+        return F.bit_xor(F.when(F.col(f"in_{j}") & (F.col("flags").bitwiseAND(flag) != 0), F.col("term")))
 
     def parts(name: str) -> Column:
-        held = F.map_from_entries(F.collect_list(F.struct("subset", name)))
-        return F.transform(F.sequence(F.lit(0), F.lit(N_SUBSETS - 1)), lambda j: F.coalesce(F.element_at(held, j), F.lit("-")))
-    return by_subset.groupBy("doc_id").agg(parts("own").alias("parts"), parts("other").alias("edited_parts"))
+        return F.array(*(F.coalesce(F.lower(F.lpad(F.hex(f"{name}_{j}"), 16, "0")), F.lit("-")) for j in range(N_SUBSETS)))
+    by_id = drawn.groupBy("doc_id").agg(*(one(flag, j).alias(f"{name}_{j}") for flag, name in ((1, "own"), (2, "other")) for j in range(N_SUBSETS)))
+    return by_id.select("doc_id", parts("own").alias("parts"), parts("other").alias("edited_parts"))
 
 
 def fingerprint(parts: Column, text_hash: Column) -> Column:
@@ -136,9 +136,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      .filter(F.col("df") >= MIN_DF), "counts")
     frequent = counts.filter(F.col("df") > most).select("term")  # bounded: see above
     band = counts.filter(F.col("df") <= most).select("term")
-    both = F.array_union("own", "other")
-    flagged = F.transform(both, lambda t: F.struct(
-        t.alias("term"), (F.array_contains("own", t).cast("int") + 2 * F.array_contains("other", t).cast("int")).alias("flags")))
+    def marked(held: Column, flags: int) -> Column:
+        return F.transform(held, lambda t: F.struct(t.alias("term"), F.lit(flags).alias("flags")))
+    flagged = F.concat(marked(F.array_intersect("own", "other"), 3), marked(F.array_except("own", "other"), 1),
+                       marked(F.array_except("other", "own"), 2))
     texts = (edited_texts(rows)
              .select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha256"),
                      F.sha2("edited", 256).alias("edited_sha256"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("other")))

@@ -183,3 +183,17 @@ def test_nn_descent_settles_small_links_beside_a_large_component(spark, monkeypa
     found = np.array([got[i] for i in range(len(x))])
     for at in (slice(0, 150), slice(150, None)):
         assert found[at].sum() >= 0.95 * link[at].sum()
+
+
+def test_imatch_sees_every_term(spark):
+    """Each word of the lexicon alone makes a difference, and each short text has a fingerprint of terms."""
+    words = [f"term{i}" for i in range(60)]
+    texts = [w for w in words] + [f"{w} {words[(i + 1) % 60]}" for i, w in enumerate(words)]
+    got = imatch.fingerprints(frame(spark, texts)).orderBy("doc_id").collect()
+    assert not any(g.fingerprint.startswith("text:") for g in got)
+    assert len({g.fingerprint for g in got}) == len(texts)
+    assert all(g.near_next < 1 for g in got)
+    member = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("t")).select(F.array(*imatch.members(F.col("t"))).alias("m"))
+    assert all(r.m[0] and len(r.m) == imatch.N_SUBSETS for r in member.collect())
+    shares = np.mean([r.m for r in member.collect()], axis=0)
+    assert all(0.2 < s < 0.8 for s in shares[1:5])
