@@ -15,9 +15,10 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bagwise.functions.hashing import row_hash
 from bagwise.operators import metrics as met
 from bagwise.operators import prepare, split
 from bagwise.plans import stages as st
@@ -118,6 +119,19 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return model
 
 
+def fit_rows(df: DataFrame, rows: int | None, class_col: str, key: str, seed=7) -> DataFrame:
+    """About `rows` rows, of each class its share and one at least, by the hash
+    of their keys: the same whatever the partitioning. None: all rows."""
+    if rows is None:
+        return df
+    total = df.count()
+    shares = df.groupBy(class_col).agg(F.ceil(F.count("*") * rows / max(rows, total)).alias("_share"))
+    order = Window.partitionBy(class_col).orderBy(row_hash(key, seed), key)
+    first = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rows)
+    drawn = first.join(shares, class_col).where(F.col("_rank") <= F.col("_share"))
+    return materialize(drawn.select(*df.columns), "fit")
+
+
 def evaluate(model: PipelineModel, df: DataFrame) -> DataFrame:
     """One row: accuracy, macro F1, weighted F1, rows."""
     return met.summary(model.transform(df), "label", "prediction")

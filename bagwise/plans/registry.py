@@ -14,8 +14,6 @@ objects that SQL can state are in `facts.py`.
 
 from __future__ import annotations
 
-import dataclasses
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,14 +84,6 @@ def _fit(spark, sf_dir, kind, classifier, train_attr="train", task=None, rows=No
     return mdl.fit(pipe, train)
 
 
-def bounded_task(spark, sf_dir, rows: int = FIT_ROWS) -> mdl.Prepared:
-    """The task with bounded training rows, for grids and sweeps."""
-    def make():
-        prep = prepared(spark, sf_dir)
-        return dataclasses.replace(prep, train=bounded(prep.train, rows), train_all=bounded(prep.train_all, rows))
-    return _cached(spark, sf_dir, f"bounded {rows}", make)
-
-
 def lr_tfidf_model(spark, sf_dir):
     # the reference's logistic-regression notebook used neither dedup nor weights
     return _cached(spark, sf_dir, "lr_tfidf", lambda: _fit(
@@ -239,20 +229,20 @@ def q_grid_search_lr(spark, sf_dir):
 
 
 def q_grid_search_rf(spark, sf_dir):
-    return tuning.grid_search_rf(bounded_task(spark, sf_dir), GRID_RF_DEPTHS, n_folds=3)
+    return tuning.grid_search_rf(prepared(spark, sf_dir), GRID_RF_DEPTHS, n_folds=3, rows=FIT_ROWS)
 
 
 def q_depth_sweep(spark, sf_dir):
-    return tuning.depth_sweep(bounded_task(spark, sf_dir), mdl.FEATURES_COUNTS, SWEEP_DEPTHS)
+    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_COUNTS, SWEEP_DEPTHS, rows=FIT_ROWS)
 
 
 def q_depth_sweep_tfidf(spark, sf_dir):
-    return tuning.depth_sweep(bounded_task(spark, sf_dir), mdl.FEATURES_TFIDF, SWEEP_TFIDF_DEPTHS,
+    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_TFIDF, SWEEP_TFIDF_DEPTHS, rows=FIT_ROWS,
                               num_features=st.TFIDF_RF_NUM_FEATURES)
 
 
 def q_depth_sweep_w2v(spark, sf_dir):
-    return tuning.depth_sweep(bounded_task(spark, sf_dir, W2V_FIT_ROWS), mdl.FEATURES_W2V, SWEEP_W2V_DEPTHS, w2v=st.W2V_RF)
+    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_W2V, SWEEP_W2V_DEPTHS, rows=W2V_FIT_ROWS, w2v=st.W2V_RF)
 
 
 MODEL_QUERIES = {

@@ -95,3 +95,27 @@ def test_reference_grids_share_features(prep):
     g = tuning.grid_search_lr(prep, (50, 100), (0.1, 0.01), max_iter=3, n_folds=2).collect()
     assert {(r["num_features"], r["reg_param"]) for r in g} == {(50, 0.1), (50, 0.01), (100, 0.1), (100, 0.01)}
     assert all(0 <= r["mean_accuracy"] <= 1 for r in g)
+
+
+def test_bounded_fits_score_all_rows(spark, prep, monkeypatch):
+    scored, drawn = [], []
+    summary, fit_rows = mdl.evaluate, mdl.fit_rows
+    monkeypatch.setattr(mdl, "evaluate", lambda model, df: scored.append(df.count()) or summary(model, df))
+    monkeypatch.setattr(mdl, "fit_rows", lambda df, rows, *a: drawn.append((df.count(), rows)) or fit_rows(df, rows, *a))
+    from bagwise.plans import registry
+    monkeypatch.setattr(registry, "prepared", lambda *a: prep)
+    monkeypatch.setattr(registry, "FIT_ROWS", 30)
+    monkeypatch.setattr(registry, "SWEEP_DEPTHS", (2,))
+    monkeypatch.setattr(registry, "GRID_RF_DEPTHS", (2,))
+    registry.q_depth_sweep(spark, SF_SMALL)
+    assert scored == [prep.train_all.count(), prep.valid.count()]
+    registry.q_grid_search_rf(spark, SF_SMALL)
+    assert drawn[0] == (prep.train.count(), 30)
+    assert sum(n for n, _ in drawn[1:]) == 2 * prep.train.count()  # each row in two of three folds
+
+
+def test_fit_rows_have_every_class(spark):
+    df = spark.createDataFrame([(i, "rare" if i == 7 else "common") for i in range(400)], "doc_id long, lang string")
+    got = mdl.fit_rows(df, 20, "lang", "doc_id")
+    assert got.columns == df.columns and {r[0]: r[1] for r in got.groupBy("lang").count().collect()} == {"rare": 1, "common": 20}
+    assert mdl.fit_rows(df, 1000, "lang", "doc_id").count() == 400
