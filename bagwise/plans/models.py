@@ -112,9 +112,15 @@ def build_pipeline(kind: str, classifier, train: DataFrame, class_col: str,
     return Pipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit; the label indexer then lets unseen classes pass (they count as wrong)."""
-    model = pipeline.fit(train)
+def fit(pipeline: Pipeline, train: DataFrame, own: DataFrame | None = None) -> PipelineModel:
+    """Fit, the classifier on `own` rows if given and all other stages on `train`;
+    the label indexer then lets unseen classes pass (they count as wrong)."""
+    if own is None:
+        model = pipeline.fit(train)
+    else:
+        *front, classifier = pipeline.getStages()
+        front = Pipeline(stages=front).fit(train)
+        model = PipelineModel(stages=[*front.stages, classifier.fit(front.transform(own))])
     indexer_of(model).setHandleInvalid("keep")
     return model
 

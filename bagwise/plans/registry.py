@@ -6,9 +6,10 @@ duplicate bags dropped, class weights.
 
 Forests, their grid and their sweeps have the reference's settings (100 trees,
 its depths, the whole vocabulary). `FIT_ROWS` bounds the labelled rows that
-such a fit sees, chosen by a hash of the key, so that the registered set runs
-in minutes; `model_rf_counts_reference` and the logistic regressions take all
-training rows. Scores and metrics always cover all rows. Facts of the fitted
+such a forest is fitted on, of each class its share by a hash of the key;
+vocabulary, idf and word2vec take all training rows, as do
+`model_rf_counts_reference` and the logistic regressions. Scores and metrics
+always cover all rows. Facts of the fitted
 objects that SQL can state are in `facts.py`.
 """
 
@@ -17,19 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagwise.functions.hashing import row_hash
 from bagwise.operators.profile import top_tokens
 from bagwise.plans import catalog
 from bagwise.plans import explain as xp
 from bagwise.plans import models as mdl
 from bagwise.plans import stages as st
 from bagwise.plans import tuning
-from bagwise.session import forget_on_release, materialize
+from bagwise.session import forget_on_release
 from bagwise.sources import tables
 
 # Fixed parameters of the registered model queries.
 FIT_ROWS = 250              # labelled rows of a forest's fit
-W2V_FIT_ROWS = 40           # ... and of a word2vec's, whose passes are the reference's too
 SWEEP_DEPTHS = (18, 20, 22, 24, 26, 28, 30)
 SWEEP_TFIDF_DEPTHS = (28, 30)
 SWEEP_W2V_DEPTHS = (10, 12, 14)
@@ -70,18 +69,12 @@ def prepared_quality(spark: SparkSession, sf_dir: str) -> mdl.Prepared:
     return _cached(spark, sf_dir, "prepared_quality", make)
 
 
-def bounded(df: DataFrame, rows: int | None, key: str = "doc_id") -> DataFrame:
-    """At most `rows` rows, by the hash of their keys: the same whatever the partitioning."""
-    if rows is None:
-        return df
-    return materialize(df.orderBy(row_hash(key, catalog.SPLIT_SEED), key).limit(rows), "fit")
-
-
 def _fit(spark, sf_dir, kind, classifier, train_attr="train", task=None, rows=None, **fkw):
     prep = (task or prepared)(spark, sf_dir)
-    train = bounded(getattr(prep, train_attr), rows)
+    train = getattr(prep, train_attr)
     pipe = mdl.build_pipeline(kind, classifier, train, prep.class_col, "tokens", **fkw)
-    return mdl.fit(pipe, train)
+    own = mdl.fit_rows(train, rows, prep.class_col, prep.key, catalog.SPLIT_SEED) if rows else None
+    return mdl.fit(pipe, train, own)
 
 
 def lr_tfidf_model(spark, sf_dir):
@@ -94,7 +87,7 @@ def lr_tfidf_model(spark, sf_dir):
 def lr_w2v_model(spark, sf_dir):
     return _cached(spark, sf_dir, "lr_w2v", lambda: _fit(
         spark, sf_dir, mdl.FEATURES_W2V, mdl.logistic_regression(), "train_all",
-        rows=W2V_FIT_ROWS, w2v=st.W2V_LR))
+        w2v=st.W2V_LR))
 
 
 def rf_counts_model(spark, sf_dir):
@@ -119,7 +112,7 @@ def rf_tfidf_model(spark, sf_dir):
 def rf_w2v_model(spark, sf_dir):
     return _cached(spark, sf_dir, "rf_w2v", lambda: _fit(
         spark, sf_dir, mdl.FEATURES_W2V, mdl.random_forest(max_depth=W2V_DEPTH),
-        rows=W2V_FIT_ROWS, w2v=st.W2V_RF))
+        rows=FIT_ROWS, w2v=st.W2V_RF))
 
 
 def rf_quality_model(spark, sf_dir):
@@ -242,7 +235,7 @@ def q_depth_sweep_tfidf(spark, sf_dir):
 
 
 def q_depth_sweep_w2v(spark, sf_dir):
-    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_W2V, SWEEP_W2V_DEPTHS, rows=W2V_FIT_ROWS, w2v=st.W2V_RF)
+    return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_W2V, SWEEP_W2V_DEPTHS, rows=FIT_ROWS, w2v=st.W2V_RF)
 
 
 MODEL_QUERIES = {

@@ -119,3 +119,16 @@ def test_fit_rows_have_every_class(spark):
     got = mdl.fit_rows(df, 20, "lang", "doc_id")
     assert got.columns == df.columns and {r[0]: r[1] for r in got.groupBy("lang").count().collect()} == {"rare": 1, "common": 20}
     assert mdl.fit_rows(df, 1000, "lang", "doc_id").count() == 400
+
+
+def test_features_of_bounded_fits_are_of_all_rows(spark, prep, monkeypatch):
+    from bagwise.plans import registry, stages
+    monkeypatch.setattr(registry, "prepared", lambda *a: prep)
+    monkeypatch.setattr(registry, "FIT_ROWS", 20)
+    monkeypatch.setattr(registry, "_memo", {})
+    monkeypatch.setattr(stages, "W2V_LR", dict(vector_size=4, min_count=1, window_size=2, max_iter=1))
+    every = {r[0] for r in prep.train.select(F.explode("tokens")).distinct().collect()}
+    assert set(registry.rf_counts_model(spark, SF_SMALL).stages[1].vocabulary) == every
+    assert registry.rf_tfidf_model(spark, SF_SMALL).stages[2].numDocs == prep.train.count()
+    words = {r[0] for r in registry.lr_w2v_model(spark, SF_SMALL).stages[1].getVectors().select("word").collect()}
+    assert words == {r[0] for r in prep.train_all.select(F.explode("tokens")).distinct().collect()}
