@@ -11,8 +11,8 @@ All counts are grouped aggregations, partial before the shuffle. A row is
 accepted if it has letters, its best language fits it better than even
 chances for all trigrams do, and has a posterior of `least` or more.
 
-The trigram model is fitted on at most `fit_rows` labelled rows, chosen by a
-hash of their ids.
+The trigram model counts all labelled rows, so every language that some row is
+labelled with has a class.
 
 Defined cases: null and empty texts and texts without letters are rejected,
 with the language that the other evidence favours; null declared languages,
@@ -27,6 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,6 @@ BUCKETS = 1 << 14
 EVIDENCE = 150.0     # trigrams that a text's likelihood counts for at most
 SMOOTH = 20.0
 LEAST = 0.5
-FIT_ROWS = 4000
 LETTERS = np.array([chr(c).isalpha() for c in range(0x250)])
 
 
@@ -64,16 +64,17 @@ def count_rows(batches):
                                   names=["label", "bucket", "n"])
 
 
-def fitted(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
+def fitted(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages, and their log probabilities of each bucket; from (doc_id, text, label)."""
-    picked = labelled.filter("doc_id is not null and label is not null").select("doc_id").distinct() \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    some = labelled.filter("label is not null").join(F.broadcast(picked), "doc_id").select("text", "label")
-    counts = map_rows(some, count_rows, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n")).collect()
-    labels = sorted({c[0] for c in counts})
+    some = labelled.filter("label is not null").select("text", "label")
+    counted = written(map_rows(some, count_rows, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")),
+                      "trigrams", TEXTS)
+    counts = counted.toArrow()  # languages x BUCKETS at most
+    labels = sorted(set(counts["label"].unique().to_pylist()))
     table = np.full((BUCKETS, len(labels)), 0.1)
-    for label, bucket, n in counts:  # languages x BUCKETS at most
-        table[bucket, labels.index(label)] += n
+    if labels:
+        at = pc.index_in(counts["label"], pa.array(labels, pa.string())).to_numpy()
+        table[counts["bucket"].to_numpy(), at] += counts["n"].to_numpy()
     return labels, np.log(table / table.sum(axis=0))
 
 
@@ -98,12 +99,12 @@ def added(arrays: list[Column], size: int) -> Column:
     return F.array(*(sum((F.coalesce(a[i], F.lit(0.0)) for a in arrays), F.lit(0.0)) for i in range(size)))
 
 
-def languages(rows: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS, least: float = LEAST) -> DataFrame:
+def languages(rows: DataFrame, labelled: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, declared, host, language, posterior, accepted) of each row.
 
     rows: (doc_id, text, declared, suffix, host, domain); labelled: (doc_id, text, label).
     """
-    names, table = fitted(labelled, fit_rows)
+    names, table = fitted(labelled)
     if not names:
         return rows.select("doc_id", "declared", "host", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"),
                            F.lit(False).alias("accepted"))

@@ -88,3 +88,17 @@ def test_pipeline_stages(spark, rng, tmp_path):
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(run.collect()) == sorted(seen["packing"].collect())
     assert {r.doc_id for r in run.collect()} == set(last)
+
+
+def test_rare_language_has_a_class(spark, rng):
+    """One row in about 4500 is labelled with it; a sample of 4000 rows would miss most of them."""
+    greek = "η γάτα κοιμάται στον κήπο κάτω από το παράθυρο".split()
+    rows = [(i, " ".join(rng.choice(greek) for _ in range(30)) if i % 4500 == 0 else prose(rng, 5), "el" if i % 4500 == 0 else "en") for i in range(9000)]
+    rows += [(9000, "one row alone", "xx")]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    names, table = language_id.fitted(labelled)
+    assert names == ["el", "en", "xx"] and table.shape == (language_id.BUCKETS, 3)
+    some = spark.createDataFrame([(1, " ".join(rng.choice(greek) for _ in range(30)))], "doc_id long, text string")
+    some = some.selectExpr("*", *(f"cast(null as string) {c}" for c in ("declared", "suffix", "host", "domain")))
+    got = language_id.languages(some, labelled).first()
+    assert got.language == "el" and got.accepted
