@@ -11,8 +11,8 @@ are observed. A mention becomes a further span if a skip edge ties it to
 others and its label is an entity with probability `least` or more.
 
 The factors (shape of a mention, label pairs along the chain, label pairs
-along skip edges) are estimated piecewise from smoothed counts over at most
-`fit_rows` documents, chosen by a hash of their ids, with the patterns' labels.
+along skip edges) are estimated piecewise from smoothed counts over all rows,
+with the patterns' labels.
 
 Defined cases: null and empty texts have no spans; repeated rows and repeated
 or null ids are searched row by row; an empty table gives an empty table; other
@@ -33,7 +33,6 @@ from bagwise.llm.common import id_text, map_rows, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-FIT_ROWS = 5000
 ROUNDS = 8           # of message passing, at most
 LEAST = 0.9
 MISSED = 0.05        # how often a pattern misses an entity
@@ -258,20 +257,17 @@ def span_rows(field: Field, least: float):
     return run
 
 
-def fitted(rows: DataFrame, fit_rows: int) -> Field:
-    picked = (rows.filter("doc_id is not null").select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    some = rows.join(F.broadcast(picked), "doc_id")  # fit_rows ids at most
-    counts = (map_rows(some, count_rows, "factor string, value string, a long, b long, n long")
+def fitted(rows: DataFrame) -> Field:
+    counts = (map_rows(rows, count_rows, "factor string, value string, a long, b long, n long")
               .groupBy("factor", "value", "a", "b").agg(F.sum("n")).collect())  # shapes and labels: some hundred rows
     return Field(sorted(map(tuple, counts)))
 
 
-def find_personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, least: float = LEAST, id_col: str = "doc_id",
+def find_personal_data(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(doc_id, spans) of every row: spans by kind as listed, then start; code points, end exclusive."""
     rows = id_text(docs, id_col, text_col)
-    return map_rows(rows, span_rows(fitted(rows, fit_rows), least), SPANS)
+    return map_rows(rows, span_rows(fitted(rows), least), SPANS)
 
 
 def mask_rows(field: Field, least: float):
@@ -295,6 +291,6 @@ def mask_rows(field: Field, least: float):
     return run
 
 
-def without_personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, least: float = LEAST) -> DataFrame:
+def without_personal_data(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """`docs`, with the same columns, personal data in `text` masked."""
-    return map_rows(docs, mask_rows(fitted(id_text(docs), fit_rows), least), docs.schema)
+    return map_rows(docs, mask_rows(fitted(id_text(docs)), least), docs.schema)

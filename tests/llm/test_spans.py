@@ -90,3 +90,10 @@ def test_find_secrets(spark, odd):
     assert by_id[51] == [("value", 7, 20, False)]
     assert by_id[52] == [] and by_id[54] == [] and by_id[0] == []
     assert secrets.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_field_counts_all_rows(spark, monkeypatch):
+    texts = ["call +1 (766) 555-7744 or +1 (766) 555-7745"] * 5400
+    monkeypatch.setattr(pii, "Field", list)  # the counts that it is made of
+    counts = pii.fitted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert ("chain", "", 4, 4, len(texts)) in counts
