@@ -38,7 +38,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 STEMS = ("pass", "pwd", "secret", "token", "key", "login", "auth", "bearer", "credential", "contrase", "motdepasse", "kennwort")
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase|code|wort)?|pwd|secret|token|(?:api|access|private|auth)[_ -]?key|credentials?|login|"
-    r"auth(?:orization)?|bearer|contrase\xf1a|kennwort)[\"']?(?:\x20?(?:is|ist|es|est)\x20|\x20{0,4}(?:[:=]>?|->)\x20{0,4}|\x20(?=[^ ]*[0-9]))[\"']?"
+    r"auth(?:orization)?|bearer|contrase\xf1a|mot[_ -]?de[_ -]?passe|kennwort)[\"']?(?:\x20?(?:is|ist|es|est)\x20|\x20{0,4}(?:[:=]>?|->)\x20{0,4}|\x20(?=[^ ]*[0-9]))[\"']?"
     r"([!-&(-~]{6,})", re.I)
 #: Rows of the usual keyboard.
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")

@@ -97,3 +97,9 @@ def test_field_counts_all_rows(spark, monkeypatch):
     monkeypatch.setattr(pii, "Field", list)  # the counts that it is made of
     counts = pii.fitted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert ("chain", "", 4, 4, len(texts)) in counts
+
+
+def test_french_credential_words_reach_the_guess_cost():
+    for text in ("Le mot de passe : xK9fQ2vLw7", "motdepasse=xK9fQ2vLw7", "votre Mot de passe est xK9fQ2vLw7.", "mot_de_passe: 'xK9fQ2vLw7'"):
+        assert [v for _, _, v in secrets.values(text, [])] == ["xK9fQ2vLw7"], text
+    assert secrets.values("le mot de passe oublié, les passes et le passage", []) == []
