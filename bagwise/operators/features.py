@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.functions.tokens import token_rows
+from bagwise.operators.rank import ranked
 
 FREQUENCY_DESC = "frequencyDesc"
 FREQUENCY_ASC = "frequencyAsc"
 ALPHABET_DESC = "alphabetDesc"
 ALPHABET_ASC = "alphabetAsc"
-RANK_LETTERS = 4   # tokens with one count are ranked in groups by their first letters
 
 
 def label_index(df: DataFrame, class_col: str,
@@ -55,9 +55,9 @@ def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int | None =
     when >= 1, a share of bags when < 1; it needs per-bag distinct tokens, so
     it is only computed when it can filter something.
 
-    The rank is distributed: tokens are numbered within (count, first
-    letters), and a table of those groups (far fewer than tokens) says how
-    many tokens come before each. No task sees the whole vocabulary.
+    The rank is distributed (`rank.ranked`): ranges of (count, token) by
+    sampled boundaries, numbered each on its own. No task sees the whole
+    vocabulary, and tokens that share a count or a prefix spread evenly.
     """
     if min_df > 1.0 or (0.0 < min_df < 1.0):
         if key is None:
@@ -75,15 +75,9 @@ def vocabulary(df: DataFrame, bag_col: str = "tokens", vocab_size: int | None =
     else:
         counts = (token_rows(df, bag_col).groupBy("token")
                   .agg(F.count(F.lit(1)).alias("count")))
-    counts = counts.withColumn("_first", F.substring("token", 1, RANK_LETTERS))
-    order = [F.desc("count"), F.asc("_first")]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    groups = (counts.groupBy("count", "_first").agg(F.count(F.lit(1)).alias("_n"))
-              .select("count", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    own = F.row_number().over(Window.partitionBy("count", "_first").orderBy("token"))
-    ranked = (counts.withColumn("_own", own).join(groups, ["count", "_first"])
-              .select((F.col("_before") + F.col("_own") - 1).cast("bigint").alias("idx"), "token", "count"))
-    return ranked if vocab_size is None else ranked.where(F.col("idx") < vocab_size)
+    numbered = ranked(counts, [F.desc("count"), F.asc("token")], "_rank")
+    table = numbered.select((F.col("_rank") - 1).cast("bigint").alias("idx"), "token", "count")
+    return table if vocab_size is None else table.where(F.col("idx") < vocab_size)
 
 
 def bag_term_counts(df: DataFrame, key: str, bag_col: str = "tokens") -> DataFrame:

@@ -2,6 +2,7 @@ import os
 import sys
 import tempfile
 
+import pandas as pd
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -36,8 +37,11 @@ def duck(sf_dir):
 
 
 def rows_of(pdf, cols=None):
+    """Rows as sorted tuples; a null is None and an integer an int, however pandas holds them."""
+    def plain(v):
+        if v is None or v is pd.NA or (isinstance(v, float) and v != v):
+            return None
+        return (int(v) if v.is_integer() else round(v, 6)) if isinstance(v, float) else v
     cols = cols or sorted(pdf.columns)
-    out = []
-    for r in pdf[cols].itertuples(index=False):
-        out.append(tuple(round(v, 6) if isinstance(v, float) else v for v in r))
+    out = [tuple(map(plain, r)) for r in pdf[cols].itertuples(index=False)]
     return sorted(out, key=repr)
