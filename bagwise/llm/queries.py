@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, filter_audit, imatch, language_id, line_dedup, ngram_join, nn_descent, pack, pii, secrets, toxicity
+from bagwise.llm import bpe, filter_audit, imatch, language_id, line_dedup, ngram_join, nn_descent, pack, pii, resample, secrets, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -88,10 +88,14 @@ def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
+def op12(spark, sf_dir):
+    return resample.importance_resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13(spark, sf_dir):
     return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES = {"op1_skip_chain_crf": op1, "op2_bpe_tree": op2, "op3_guess_cost": op3, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op6_language_evidence": op6, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10,
-           "op13_filter_audit": op13}
-ORACLE_SQL: dict[str, str] = {"op13_filter_audit": filter_audit.SQL}
+           "op12_crc_resampling": op12, "op13_filter_audit": op13}
+ORACLE_SQL: dict[str, str] = {"op12_crc_resampling": resample.SQL, "op13_filter_audit": filter_audit.SQL}
