@@ -18,7 +18,7 @@ def test_ranked_equals_sorting(spark):
 
 def test_ranked_spreads_a_hot_first_column(spark):
     df = spark.range(20000).select(F.lit(1).alias("n"), F.format_string("http://same/%05d", "id").alias("key"))
-    sizes = df.repartitionByRange(F.desc("n"), F.asc("key")).groupBy(F.spark_partition_id()).count().collect()
+    sizes = df.repartitionByRange(8, F.desc("n"), F.asc("key")).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) > 1 and max(r[1] for r in sizes) < 20000 * 0.5
 
 
