@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bagwise.llm import bpe, filter_audit, imatch, language_id, line_dedup, ngram_join, nn_descent, pack, pii, resample, secrets, toxicity
+from bagwise.llm import bpe, filter_audit, imatch, language_id, line_dedup, ngram_join, nn_descent, pack, pii, resample, secrets, toxicity, url_filter
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -88,6 +88,15 @@ def op10(spark, sf_dir):
     return pack.harmonic_pack(read(spark, sf_dir, "documents"), word_bpe(), keep_ids=False)
 
 
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op11(spark, sf_dir):
+    words = url_filter.word_counts(read(spark, sf_dir, "documents"))
+    found = url_filter.url_verdicts(read(spark, sf_dir, "pages"), words, URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "odds", F.array_join("words", " ").alias("host_words"))
+
+
 def op12(spark, sf_dir):
     return resample.importance_resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -97,5 +106,5 @@ def op13(spark, sf_dir):
 
 
 QUERIES = {"op1_skip_chain_crf": op1, "op2_bpe_tree": op2, "op3_guess_cost": op3, "op4_toxicity_subwords": op4, "op5_imatch": op5, "op6_language_evidence": op6, "op7_ngram_jaccard_join": op7, "op8_nn_descent": op8, "op9_line_dedup": op9, "op10_harmonic_packing": op10,
-           "op12_crc_resampling": op12, "op13_filter_audit": op13}
+           "op11_url_bayes": op11, "op12_crc_resampling": op12, "op13_filter_audit": op13}
 ORACLE_SQL: dict[str, str] = {"op12_crc_resampling": resample.SQL, "op13_filter_audit": filter_audit.SQL}
