@@ -68,9 +68,10 @@ def per_class(pred: DataFrame, label_col: str = "label",
 
 
 def summary(pred: DataFrame, label_col: str = "label",
-            prediction_col: str = "prediction") -> DataFrame:
+            prediction_col: str = "prediction",
+            cells: DataFrame | None = None) -> DataFrame:
     """E1, E4, E5 in one row: accuracy, macro F1, weighted F1, rows."""
-    pc = per_class(pred, label_col, prediction_col)
+    pc = per_class(pred, label_col, prediction_col, cells)
     return pc.agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
         F.avg("f1").alias("macro_f1"),

@@ -16,6 +16,7 @@ from bagwise.operators import metrics as met
 from bagwise.operators import split
 from bagwise.plans import catalog, oracle
 from bagwise.plans import explain as xp
+from bagwise.plans import forest as fo
 from bagwise.plans import models as mdl
 from bagwise.plans import registry
 from bagwise.plans import stages as st
@@ -119,7 +120,45 @@ def q_bag_embedding_norms(spark, sf_dir):
     return vectors.agg(F.count("*").alias("n"), F.min(F.size("x")).cast("bigint").alias("n_dimensions"))
 
 
+def q_forest_importance_gap(spark, sf_dir):
+    """(idx, feature, gap) of every feature of the count forest: its token, and how far the importance that
+    the node table gives is from MLlib's."""
+    model = registry.rf_counts_model(spark, sf_dir)
+    own = fo.node_importances(registry.forest_nodes(spark, sf_dir)).withColumnRenamed("importance", "own")
+    gap = F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0)))
+    return xp.importances(model).join(own, "feature_idx", "left").select(
+        F.col("feature_idx").cast("bigint").alias("idx"), "feature", F.round(gap, 9).alias("gap"))
+
+
+def q_forest_votes(spark, sf_dir):
+    """L4: (doc_id, same) of every validation row: whether the walk through the node table and MLlib's model agree."""
+    model = registry.rf_counts_model(spark, sf_dir)
+    pred = model.transform(registry.prepared(spark, sf_dir).valid)
+    own = fo.predicted_at(registry.forest_nodes(spark, sf_dir), pred.withColumnRenamed("prediction", "of_mllib"), ["doc_id", "of_mllib"], [fo.MAX_DEPTH])
+    return own.select("doc_id", (F.col("prediction") == F.col("of_mllib")).alias("same"))
+
+
+def q_tree_level_weights(spark, sf_dir):
+    """(max_depth, lang, weight): class weights of the leaves of one tree cut at each depth, those of all its rows."""
+    model = registry.tree_presence_model(spark, sf_dir)
+    names = mdl.indexer_of(model).labels
+    found = fo.level_weights(fo.node_table(model), range(registry.TREE_DEPTH + 1))
+    return found.select(F.col("max_depth").cast("bigint").alias("max_depth"), F.element_at(F.array(*map(F.lit, names)), F.col("class") + 1).alias("lang"),
+                        F.round("weight", 6).alias("weight"))
+
+
+def q_tree_root(spark, sf_dir):
+    """L4: impurity, gain and rows of the root of one tree on token presence."""
+    nodes = fo.node_table(registry.tree_presence_model(spark, sf_dir))
+    return nodes.where("depth = 0").select(F.round("impurity", 9).alias("impurity"), F.round("gain", 9).alias("gain"),
+                                           F.col("raw_count").alias("n_rows"))
+
+
 FACT_QUERIES = {
+    "forest_importance_gap": q_forest_importance_gap,
+    "forest_votes": q_forest_votes,
+    "tree_level_weights": q_tree_level_weights,
+    "tree_root": q_tree_root,
     "count_vectors": q_count_vectors,
     "count_idf": q_count_idf,
     "hashed_tf_totals": q_hashed_tf_totals,
@@ -136,7 +175,28 @@ FACT_QUERIES = {
 _VOCABULARY = """c AS (SELECT token, count(*) AS count, count(DISTINCT doc_id) AS doc_freq FROM doc_tokens GROUP BY token),
 voc AS (SELECT row_number() OVER (ORDER BY count DESC, token) - 1 AS idx, token, doc_freq FROM c)"""
 
+# weighted class counts of the training rows, and of those that hold each token
+_TREE = """w AS (SELECT d.doc_id, d.lang, weight, tokens FROM dedup d JOIN weights USING (lang)),
+alls AS (SELECT lang, sum(weight) AS total FROM w GROUP BY lang),
+has AS (SELECT token, lang, sum(weight) AS inside FROM (SELECT doc_id, lang, weight, unnest(list_distinct(tokens)) AS token FROM w) GROUP BY token, lang),
+root AS (SELECT sum(total) AS n, 1 - sum(total * total) / (sum(total) * sum(total)) AS impurity FROM alls),
+sides AS (SELECT token, lang, total, coalesce(inside, 0) AS inside FROM (SELECT DISTINCT token FROM has) CROSS JOIN alls LEFT JOIN has USING (token, lang)),
+split AS (SELECT token, sum(inside) AS n_in, sum(total - inside) AS n_out,
+  sum(inside * inside) AS sq_in, sum((total - inside) * (total - inside)) AS sq_out FROM sides GROUP BY token),
+held AS (SELECT unnest(list_distinct(tokens)) AS token, count(*) AS n_held FROM w GROUP BY 1),
+gains AS (SELECT impurity - n_in / n * (1 - sq_in / (n_in * n_in)) - n_out / n * (1 - sq_out / (n_out * n_out)) AS gain
+  FROM split JOIN held USING (token), root WHERE n_held < (SELECT count(*) FROM w))"""
+_TREE_CTES = (oracle.DOC_BAGS, oracle.DOC_SPLIT, oracle.TRAIN_BAGS, oracle.DEDUP, oracle.WEIGHTS, _TREE)
+
 FACT_SQL = {
+    "forest_importance_gap": oracle._with(oracle.DOC_BAGS, oracle.DOC_SPLIT, oracle.TRAIN_BAGS, oracle.DEDUP,
+                                          "c AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM dedup) GROUP BY token)") + """
+SELECT row_number() OVER (ORDER BY n DESC, token) - 1 AS idx, token AS feature, CAST(0 AS DOUBLE) AS gap FROM c""",
+    "forest_votes": oracle._with(oracle.DOC_SPLIT) + "SELECT doc_id, true AS same FROM doc_split WHERE split = 'test'",
+    "tree_level_weights": oracle._with(*_TREE_CTES) + f"""
+SELECT max_depth, lang, round(total, 6) AS weight FROM alls, (SELECT unnest(range({registry.TREE_DEPTH + 1})) AS max_depth)""",
+    "tree_root": oracle._with(*_TREE_CTES) + """
+SELECT round(impurity, 9) AS impurity, round((SELECT max(gain) FROM gains), 9) AS gain, (SELECT count(*) FROM w) AS n_rows FROM root""",
     "count_vectors": oracle._with(oracle.DOC_BAGS, oracle.DOC_TOKENS, _VOCABULARY) + """
 SELECT doc_id, idx, count(*) AS tf FROM doc_tokens JOIN voc USING (token) GROUP BY doc_id, idx""",
     "count_idf": oracle._with(oracle.DOC_BAGS, oracle.DOC_TOKENS, _VOCABULARY) + """

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from bagwise.operators.profile import top_tokens
 from bagwise.plans import catalog
 from bagwise.plans import explain as xp
+from bagwise.plans import forest as fo
 from bagwise.plans import models as mdl
 from bagwise.plans import stages as st
 from bagwise.plans import tuning
@@ -38,6 +39,7 @@ GRID_LR_FEATURES = (7000, 10000, 20000)
 GRID_LR_REG = (0.1, 0.05, 0.01, 0.005)
 TOP_IMPORTANCES = 10
 N_SYNONYMS = 10
+TREE_DEPTH = 5
 
 _memo: dict = forget_on_release({})  # fitted models read materialized tables
 
@@ -103,6 +105,17 @@ def rf_counts_reference_model(spark, sf_dir):
         mdl.random_forest(st.RF_NUM_TREES, st.RF_MAX_DEPTH)))
 
 
+def tree_presence_model(spark, sf_dir):
+    """One tree on token presence: no bootstrap and no drawn features, so its root can be computed from the table."""
+    def make():
+        prep = prepared(spark, sf_dir)
+        present = st.count_vectorizer_from(prep.train, "tokens").setBinary(True)
+        pipe = mdl.Pipeline(stages=[st.label_indexer(prep.class_col, "label"), present,
+                                    mdl.random_forest(1, TREE_DEPTH).setBootstrap(False)])
+        return mdl.fit(pipe, prep.train)
+    return _cached(spark, sf_dir, "tree_presence", make)
+
+
 def rf_tfidf_model(spark, sf_dir):
     return _cached(spark, sf_dir, "rf_tfidf", lambda: _fit(
         spark, sf_dir, mdl.FEATURES_TFIDF, mdl.random_forest(), rows=FIT_ROWS,
@@ -238,6 +251,15 @@ def q_depth_sweep_w2v(spark, sf_dir):
     return tuning.depth_sweep(prepared(spark, sf_dir), mdl.FEATURES_W2V, SWEEP_W2V_DEPTHS, rows=FIT_ROWS, w2v=st.W2V_RF)
 
 
+def forest_nodes(spark, sf_dir):
+    """The count forest's nodes as a table, written once."""
+    return _cached(spark, sf_dir, "forest_nodes", lambda: fo.node_table(rf_counts_model(spark, sf_dir)))
+
+
+def q_depth_sweep_truncated(spark, sf_dir):
+    return tuning.depth_sweep_truncated(prepared(spark, sf_dir), rf_counts_model(spark, sf_dir), SWEEP_DEPTHS)
+
+
 MODEL_QUERIES = {
     "model_lr_tfidf": q_model_lr_tfidf,
     "model_lr_w2v": q_model_lr_w2v,
@@ -259,4 +281,5 @@ MODEL_QUERIES = {
     "depth_sweep": q_depth_sweep,
     "depth_sweep_tfidf": q_depth_sweep_tfidf,
     "depth_sweep_w2v": q_depth_sweep_w2v,
+    "depth_sweep_truncated": q_depth_sweep_truncated,
 }

@@ -100,6 +100,13 @@ def forget_on_release(memo: dict) -> dict:
     return memo
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, deleted by `release`."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/bagwise-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute `df` once and cut its lineage for repeated use.
 
@@ -110,9 +117,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     executor costs nothing: the table is on shared storage.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/bagwise-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
