@@ -11,9 +11,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bagwise.functions.tokens import word_tokens
+from bagwise.functions.tokens import token_rows, word_tokens
+from bagwise.operators import embeddings
 from bagwise.operators import metrics as met
 from bagwise.operators import split
+from bagwise.operators.nearest import nearest_tokens
 from bagwise.plans import catalog, oracle
 from bagwise.plans import explain as xp
 from bagwise.plans import forest as fo
@@ -22,6 +24,9 @@ from bagwise.plans import registry
 from bagwise.plans import stages as st
 from bagwise.sources import tables
 
+COOC_WINDOW = 3
+COOC_MIN_COUNT = 20
+NEAREST_MIN_COUNT = 20
 HASHED = 1000   # features of the hashed term frequencies: small, so that a document's sum is cheap
 
 
@@ -154,7 +159,34 @@ def q_tree_root(spark, sf_dir):
                                            F.col("raw_count").alias("n_rows"))
 
 
+def _cooccurrence(spark, sf_dir):
+    return embeddings.cooccurrence(catalog.doc_bags(spark, sf_dir), "tokens", COOC_WINDOW, COOC_MIN_COUNT)
+
+
+def q_cooccurrence(spark, sf_dir):
+    """M6: the counts that the embeddings come from."""
+    return _cooccurrence(spark, sf_dir)
+
+
+def q_log_ratios(spark, sf_dir):
+    """M6: the positive log ratios of those counts."""
+    return embeddings.log_ratios(_cooccurrence(spark, sf_dir)).select("token", "context", F.round("weight", 6).alias("weight"))
+
+
+def q_nearest_tokens_by_source(spark, sf_dir):
+    """M7: the ten nearest tokens of each token of `NEAREST_MIN_COUNT` occurrences, by their counts in the sources."""
+    docs = spark.read.parquet(tables.table_path(sf_dir, "documents")).select("source", word_tokens("text").alias("tokens"))
+    counts = token_rows(docs, "tokens", keep=["source"]).groupBy("token", "source").agg(F.count(F.lit(1)).alias("n"))
+    names = sorted(r[0] for r in docs.select("source").distinct().collect())   # some twenty sources
+    vector = F.array(*(F.coalesce(F.sum(F.when(F.col("source") == s, F.col("n"))), F.lit(0)).cast("double") for s in names))
+    table = counts.groupBy("token").agg(F.sum("n").alias("n"), vector.alias("vector")).where(F.col("n") >= NEAREST_MIN_COUNT)
+    return nearest_tokens(table.select("token", "vector"), registry.N_SYNONYMS)
+
+
 FACT_QUERIES = {
+    "cooccurrence": q_cooccurrence,
+    "log_ratios": q_log_ratios,
+    "nearest_tokens_by_source": q_nearest_tokens_by_source,
     "forest_importance_gap": q_forest_importance_gap,
     "forest_votes": q_forest_votes,
     "tree_level_weights": q_tree_level_weights,
@@ -188,7 +220,29 @@ gains AS (SELECT impurity - n_in / n * (1 - sq_in / (n_in * n_in)) - n_out / n *
   FROM split JOIN held USING (token), root WHERE n_held < (SELECT count(*) FROM w))"""
 _TREE_CTES = (oracle.DOC_BAGS, oracle.DOC_SPLIT, oracle.TRAIN_BAGS, oracle.DEDUP, oracle.WEIGHTS, _TREE)
 
+_PAIRS = f"""o AS (SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS at FROM doc_bags),
+known AS (SELECT token FROM o GROUP BY token HAVING count(*) >= {COOC_MIN_COUNT}),
+one AS (SELECT a.token AS a, b.token AS b, count(*) AS n
+  FROM (SELECT o.*, o.at + d AS to_at FROM o JOIN known USING (token), (SELECT unnest(range(1, {COOC_WINDOW} + 1)) AS d)) a
+  JOIN (SELECT o.* FROM o JOIN known USING (token)) b ON a.doc_id = b.doc_id AND a.to_at = b.at GROUP BY 1, 2),
+pairs AS (SELECT token, context, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT a AS token, b AS context, n FROM one UNION ALL SELECT b, a, n FROM one) GROUP BY 1, 2)"""
+
 FACT_SQL = {
+    "cooccurrence": oracle._with(oracle.DOC_BAGS, _PAIRS) + "SELECT token, context, n FROM pairs",
+    "log_ratios": oracle._with(oracle.DOC_BAGS, _PAIRS, "s AS (SELECT token, sum(n) AS n FROM pairs GROUP BY token)") + """
+SELECT p.token, p.context, round(ln(p.n * (SELECT CAST(sum(n) AS DOUBLE) FROM s) / (CAST(x.n AS DOUBLE) * y.n)), 6) AS weight
+FROM pairs p JOIN s x ON p.token = x.token JOIN s y ON p.context = y.token
+WHERE ln(p.n * (SELECT CAST(sum(n) AS DOUBLE) FROM s) / (CAST(x.n AS DOUBLE) * y.n)) > 0""",
+    "nearest_tokens_by_source": oracle._with(
+        oracle.DOC_BAGS.replace("lang,", "source,"),
+        "t AS (SELECT source, unnest(tokens) AS token FROM doc_bags)",
+        f"known AS (SELECT token FROM t GROUP BY token HAVING count(*) >= {NEAREST_MIN_COUNT})",
+        "c AS (SELECT token, source, CAST(count(*) AS DOUBLE) AS n FROM t JOIN known USING (token) GROUP BY token, source)",
+        "u AS (SELECT token, source, n / sqrt(sum(n * n) OVER (PARTITION BY token)) AS x FROM c)",
+        "p AS (SELECT a.token, b.token AS neighbour, round(sum(a.x * b.x), 9) AS cosine FROM u a JOIN u b ON a.source = b.source AND a.token <> b.token GROUP BY 1, 2)",
+        "r AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY cosine DESC, neighbour) AS rank FROM p)") + f"""
+SELECT token, CAST(rank AS INT) AS rank, neighbour, cosine FROM r WHERE rank <= {registry.N_SYNONYMS}""",
     "forest_importance_gap": oracle._with(oracle.DOC_BAGS, oracle.DOC_SPLIT, oracle.TRAIN_BAGS, oracle.DEDUP,
                                           "c AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM dedup) GROUP BY token)") + """
 SELECT row_number() OVER (ORDER BY n DESC, token) - 1 AS idx, token AS feature, CAST(0 AS DOUBLE) AS gap FROM c""",

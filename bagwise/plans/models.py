@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.functions.hashing import row_hash
+from bagwise.operators import embeddings, prepare, split
 from bagwise.operators import metrics as met
-from bagwise.operators import prepare, split
 from bagwise.plans import stages as st
 from bagwise.session import materialize
 
 FEATURES_COUNTS = "counts"
 FEATURES_TFIDF = "tfidf"
 FEATURES_W2V = "w2v"
+FEATURES_COOC = "cooc"      # embeddings from co-occurrence counts
 
 
 @dataclass
@@ -67,14 +68,16 @@ def prepare_training(df: DataFrame, key: str, class_col: str,
 def feature_stages(kind: str, train: DataFrame, bag_col: str, *,
                    num_features: int = st.TFIDF_NUM_FEATURES,
                    vocab_size: int = 1 << 18, w2v: dict | None = None,
-                   seed: int = 42) -> list:
-    """Stages turning the bag into `features` (counts, TF-IDF or word2vec)."""
+                   cooc: dict | None = None, seed: int = 42) -> list:
+    """Stages turning the bag into `features` (counts, TF-IDF, word2vec or count-based embeddings)."""
     if kind == FEATURES_COUNTS:
         return [st.count_vectorizer_from(train, bag_col, "features", vocab_size)]
     if kind == FEATURES_TFIDF:
         return [st.hashing_tf(bag_col, "tf", num_features), st.idf("tf", "features")]
     if kind == FEATURES_W2V:
         return [st.word2vec(bag_col, "features", seed=seed, **(w2v or st.W2V_LR))]
+    if kind == FEATURES_COOC:
+        return [embeddings.embedding_model(embeddings.count_embeddings(train, bag_col, **(cooc or st.COOC)), bag_col, "features")]
     raise ValueError(f"unknown features {kind!r}")
 
 

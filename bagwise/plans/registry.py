@@ -15,9 +15,12 @@ objects that SQL can state are in `facts.py`.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Word2VecModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bagwise.operators.nearest import nearest_tokens
 from bagwise.operators.profile import top_tokens
 from bagwise.plans import catalog
 from bagwise.plans import explain as xp
@@ -128,6 +131,15 @@ def rf_w2v_model(spark, sf_dir):
         rows=FIT_ROWS, w2v=st.W2V_RF))
 
 
+def lr_cooc_model(spark, sf_dir):
+    return _cached(spark, sf_dir, "lr_cooc", lambda: _fit(spark, sf_dir, mdl.FEATURES_COOC, mdl.logistic_regression(), "train_all"))
+
+
+def rf_cooc_model(spark, sf_dir):
+    return _cached(spark, sf_dir, "rf_cooc", lambda: _fit(
+        spark, sf_dir, mdl.FEATURES_COOC, mdl.random_forest(max_depth=W2V_DEPTH), rows=FIT_ROWS))
+
+
 def rf_quality_model(spark, sf_dir):
     return _cached(spark, sf_dir, "rf_quality", lambda: _fit(
         spark, sf_dir, mdl.FEATURES_COUNTS, mdl.random_forest(),
@@ -202,6 +214,21 @@ def q_model_rf_w2v(spark, sf_dir):
     return _report(spark, sf_dir, rf_w2v_model, "rf_w2v")
 
 
+def q_model_lr_cooc(spark, sf_dir):
+    return _report(spark, sf_dir, lr_cooc_model, "lr_cooc")
+
+
+def q_model_rf_cooc(spark, sf_dir):
+    return _report(spark, sf_dir, rf_cooc_model, "rf_cooc")
+
+
+def q_nearest_tokens(spark, sf_dir):
+    """M7 for every token: the nearest by the embeddings of the training bags."""
+    model = lr_cooc_model(spark, sf_dir)
+    vectors = xp.stage_of(model, Word2VecModel).getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("vector"))
+    return nearest_tokens(vectors, N_SYNONYMS)
+
+
 def q_lr_summary_accuracy(spark, sf_dir):
     acc = mdl.training_accuracy(lr_tfidf_model(spark, sf_dir))
     return spark.createDataFrame([(float(acc),)], "summary_accuracy double")
@@ -281,5 +308,8 @@ MODEL_QUERIES = {
     "depth_sweep": q_depth_sweep,
     "depth_sweep_tfidf": q_depth_sweep_tfidf,
     "depth_sweep_w2v": q_depth_sweep_w2v,
+    "model_lr_cooc": q_model_lr_cooc,
+    "model_rf_cooc": q_model_rf_cooc,
+    "nearest_tokens": q_nearest_tokens,
     "depth_sweep_truncated": q_depth_sweep_truncated,
 }

@@ -24,6 +24,7 @@ RF_NUM_TREES = 100
 RF_MAX_DEPTH = 30
 W2V_LR = dict(vector_size=350, min_count=2, window_size=10, max_iter=20)
 W2V_PARTITIONS = 4
+COOC = dict(dims=64, window=5, min_count=5)   # this library's own, for embeddings from counts
 W2V_RF = dict(vector_size=128, min_count=1, window_size=25, max_iter=15)
 
 

@@ -107,7 +107,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+ARROW_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str = "table", records: int | None = None) -> DataFrame:
     """Compute `df` once and cut its lineage for repeated use.
 
     `df` is written to the checkpoint folder (the shared folder of the
@@ -115,10 +118,19 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     reads prune columns and push filters into the scan (an RDD checkpoint of
     an unpersisted DataFrame computes it twice and cannot prune). A lost
     executor costs nothing: the table is on shared storage.
+
+    `records`: rows of a batch for Python in this job, where rows are large.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
+    before = spark.conf.get(ARROW_RECORDS)
+    if records:
+        spark.conf.set(ARROW_RECORDS, str(records))
+    try:
+        df.write.mode("error").parquet(path)
+    finally:
+        if records:
+            spark.conf.set(ARROW_RECORDS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
