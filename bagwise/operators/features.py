@@ -8,11 +8,14 @@ TF-IDF terms with the same IDF formula as MLlib's ``IDF``.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.functions.tokens import token_rows
+from bagwise.operators.joins import HOT_SHARE, join_hot
 from bagwise.operators.rank import ranked
+from bagwise.session import materialize
 
 FREQUENCY_DESC = "frequencyDesc"
 FREQUENCY_ASC = "frequencyAsc"
@@ -108,28 +111,60 @@ def bag_term_counts(df: DataFrame, key: str, bag_col: str = "tokens") -> DataFra
 
 
 def tfidf_terms(df: DataFrame, key: str, bag_col: str = "tokens",
-                min_doc_freq: int = 0) -> DataFrame:
+                min_doc_freq: int = 0, share: int = HOT_SHARE) -> DataFrame:
     """M9: (key, token, tf, doc_freq, idf, tfidf) for every token of a bag.
 
     tf = occurrences in the bag (computed inside the row, no shuffle);
-    doc_freq = bags containing the token, from the distinct tokens of each
-    bag with a partially aggregated count per token; idf = ln((m + 1) /
-    (doc_freq + 1)) with m the number of bags (MLlib's formula; tokens below
-    `min_doc_freq` get idf 0, as in MLlib). The idf table is joined back on
-    the token: AQE broadcasts it when its measured size allows, otherwise
-    the join shuffles by token and AQE splits the skewed partitions (a token
-    found in every bag is the hot key here). The text is tokenized once per
-    branch; recomputing the regex is cheaper at scale than shuffling or
-    writing the (bag, token) pairs.
+    doc_freq = bags containing the token, partially aggregated; idf =
+    ln((m + 1) / (doc_freq + 1)) with m the number of bags (MLlib's formula;
+    tokens below `min_doc_freq` get idf 0, as in MLlib).
+
+    The (key, token, tf) rows are written once, so the text is tokenized once.
+    The idf table is joined back on the token, where some tokens are in every
+    bag: those with more than one in `share` rows are known from their document
+    frequencies (at most `share` tokens) and take a broadcast of their idf
+    rows; the other rows are shuffled, none of whose tokens is above the share.
     """
-    tf = bag_term_counts(df, key, bag_col)
+    terms = materialize(bag_term_counts(df, key, bag_col), "terms")
     n_docs = df.select(key).count()
-    dfreq = (df.select(F.explode(F.array_distinct(bag_col)).alias("token"))
-               .groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq")))
+    dfreq = terms.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = F.when(F.col("doc_freq") >= F.lit(min_doc_freq),
                  F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + F.lit(1.0)))
                  ).otherwise(F.lit(0.0))
-    idf_t = dfreq.withColumn("idf", idf)
-    return (tf.join(idf_t, on="token")
-              .select(key, "token", "tf", "doc_freq", "idf",
-                      (F.col("tf") * F.col("idf")).alias("tfidf")))
+    idf_t = materialize(dfreq.withColumn("idf", idf), "idf")
+    rows = idf_t.agg(F.sum("doc_freq")).first()[0] or 0
+    hot = [r[0] for r in idf_t.where(F.col("doc_freq") * share > rows).select("token").collect()]
+    return (join_hot(terms, idf_t, "token", share=share, hot=hot)
+            .select(key, "token", "tf", "doc_freq", "idf",
+                    (F.col("tf") * F.col("idf")).alias("tfidf")))
+
+
+def count_vector_rows(df: DataFrame, key: str, bag_col: str = "tokens", from_idx: int = 0) -> DataFrame:
+    """M5 as a table: (key, idx, tf) with the numbers of the `vocabulary`, from `from_idx` on.
+
+    MLlib's vectorizer keeps its vocabulary on the driver and so bounds it;
+    this table has no bound.
+    """
+    words = vocabulary(df, bag_col).where(F.col("idx") >= from_idx)
+    return join_hot(materialize(bag_term_counts(df, key, bag_col), "terms"), words, "token").select(key, "idx", "tf")
+
+
+def hashed_index(df: DataFrame, bag_col: str, num_features: int) -> DataFrame:
+    """M3, inverted: (token, count, idx), the place that HashingTF gives each token of the table.
+
+    MLlib's own transformer hashes one bag for each distinct token, so the
+    numbers are its own whatever the version.
+    """
+    counts = token_rows(df, bag_col).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    tf = HashingTF(inputCol="_bag", outputCol="_tf", numFeatures=num_features)
+    hashed = tf.transform(counts.withColumn("_bag", F.array("token")))
+    return hashed.select("token", "count", F.element_at(F.unwrap_udt("_tf")["indices"], 1).alias("idx"))
+
+
+def hashed_names(df: DataFrame, bag_col: str, num_features: int) -> DataFrame:
+    """(idx, token, token_count, n_tokens, n_all) for each place in use: its most frequent token, how often that
+    occurs, how many tokens share the place, and how often they occur together. Of equal tokens the first."""
+    best = F.min(F.struct((-F.col("count")).alias("less"), "token"))
+    return (hashed_index(df, bag_col, num_features).groupBy("idx")
+            .agg(best.alias("best"), F.count(F.lit(1)).alias("n_tokens"), F.sum("count").alias("n_all"))
+            .select("idx", "best.token", (-F.col("best.less")).alias("token_count"), "n_tokens", "n_all"))

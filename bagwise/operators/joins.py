@@ -66,12 +66,14 @@ def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
     return sorted(row[0] or []) if row else []
 
 
-def join_hot(big: DataFrame, table: DataFrame, key: str, how: str = "inner", share: int = HOT_SHARE) -> DataFrame:
+def join_hot(big: DataFrame, table: DataFrame, key: str, how: str = "inner", share: int = HOT_SHARE,
+             hot: list | None = None) -> DataFrame:
     """`big` joined with `table`, which has one row for each key (inner or left).
 
-    `big` is read three times: pass a written table or a cheap scan.
+    `big` is read three times: pass a written table or a cheap scan. `hot`: the
+    keys above the share where they are known already (about `share` at most).
     """
-    hot = hot_keys(big, key, share)
+    hot = hot_keys(big, key, share) if hot is None else hot
     if not hot:
         return big.join(table, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

@@ -7,12 +7,12 @@ from the fitted object or its output and has a DuckDB query in `FACT_SQL`.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bagwise.functions.tokens import token_rows, word_tokens
-from bagwise.operators import embeddings
+from bagwise.operators import embeddings, features
 from bagwise.operators import metrics as met
 from bagwise.operators import split
 from bagwise.operators.nearest import nearest_tokens
@@ -30,30 +30,44 @@ NEAREST_MIN_COUNT = 20
 HASHED = 1000   # features of the hashed term frequencies: small, so that a document's sum is cheap
 
 
-# a type, not a DDL string: that would need a session when the module is imported
-ENTRIES = T.ArrayType(T.StructType([T.StructField("idx", T.LongType()), T.StructField("tf", T.LongType())]))
+VOCABULARY = 1 << 18   # tokens that MLlib's vectorizer keeps; those beyond it come from the vocabulary table
 
 
-@F.udf(ENTRIES)
-def entries(v):
-    """The non-zero entries of a count vector."""
-    return [(int(i), int(x)) for i, x in zip(v.indices, v.values)]
+def entries(vector: str, value: str = "tf"):
+    """The non-zero entries (idx, value) of a sparse vector, as rows."""
+    v = F.unwrap_udt(vector)
+    return F.inline(F.zip_with(v["indices"], v["values"], lambda i, x: F.struct(i.cast("bigint").alias("idx"), x.cast("bigint").alias(value))))
 
 
 def q_count_vectors(spark, sf_dir):
-    """M5 + M8: (doc_id, idx, tf) of the fitted vectorizer's vectors."""
+    """M5 + M8: (doc_id, idx, tf) of the fitted vectorizer's vectors, and of the tokens beyond its vocabulary."""
     bags = catalog.doc_bags(spark, sf_dir)
-    model = st.count_vectorizer_from(bags, "tokens", vocab_size=1 << 30)
-    return model.transform(bags).select("doc_id", F.inline(entries("features")))
+    model = st.count_vectorizer_from(bags, "tokens", vocab_size=VOCABULARY)
+    rest = features.count_vector_rows(bags, "doc_id", from_idx=VOCABULARY)
+    return model.transform(bags).select("doc_id", entries("features")).unionByName(rest)
 
 
 def q_count_idf(spark, sf_dir):
-    """M4 on counts: (idx, idf) of the fitted model."""
+    """M4 on counts: (idx, idf) of the fitted model, and of the tokens beyond its vocabulary."""
     bags = catalog.doc_bags(spark, sf_dir)
-    vectorizer = st.count_vectorizer_from(bags, "tokens", "tf", vocab_size=1 << 30)
+    vectorizer = st.count_vectorizer_from(bags, "tokens", "tf", vocab_size=VOCABULARY)
     idf = st.idf("tf", "features").fit(vectorizer.transform(bags)).idf.toArray()
-    return (spark.createDataFrame([(i, float(x)) for i, x in enumerate(idf)], "idx long, idf double")
-            .select("idx", F.round("idf", 6).alias("idf")))
+    fitted = spark.createDataFrame(pd.DataFrame({"idx": range(len(idf)), "idf": idf}), "idx long, idf double")
+    n_docs = bags.select("doc_id").count()
+    rest = (features.count_vector_rows(bags, "doc_id", from_idx=VOCABULARY).groupBy("idx").agg(F.count("*").alias("df"))
+            .select("idx", F.log(F.lit(n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
+    return fitted.unionByName(rest).select("idx", F.round("idf", 6).alias("idf"))
+
+
+def q_hashed_tf(spark, sf_dir):
+    """M3: (doc_id, idx, tf) of the hashed vectors."""
+    tf = st.hashing_tf("tokens", "tf", st.TFIDF_NUM_FEATURES).transform(catalog.doc_bags(spark, sf_dir))
+    return tf.select("doc_id", entries("tf"))
+
+
+def q_hashed_names(spark, sf_dir):
+    """The tokens behind each hashed feature."""
+    return features.hashed_names(catalog.doc_bags(spark, sf_dir), "tokens", st.TFIDF_RF_NUM_FEATURES)
 
 
 def q_hashed_tf_totals(spark, sf_dir):
@@ -184,6 +198,8 @@ def q_nearest_tokens_by_source(spark, sf_dir):
 
 
 FACT_QUERIES = {
+    "hashed_tf": q_hashed_tf,
+    "hashed_names": q_hashed_names,
     "cooccurrence": q_cooccurrence,
     "log_ratios": q_log_ratios,
     "nearest_tokens_by_source": q_nearest_tokens_by_source,
@@ -228,7 +244,41 @@ one AS (SELECT a.token AS a, b.token AS b, count(*) AS n
 pairs AS (SELECT token, context, CAST(sum(n) AS BIGINT) AS n
   FROM (SELECT a AS token, b AS context, n FROM one UNION ALL SELECT b, a, n FROM one) GROUP BY 1, 2)"""
 
+# MurmurHash3 (x86, 32 bits, seed 42) of the UTF-8 bytes of each token; a product of 32 bits by 32 bits is taken in two halves
+def _times(a: str, b: int) -> str:
+    return f"((({a}) * {b & 0xFFFF} + (((({a}) * {b >> 16}) & 65535) << 16)) & 4294967295)"
+
+
+def _turn(a: str, n: int) -> str:
+    return f"(((({a}) << {n}) | (({a}) >> {32 - n})) & 4294967295)"
+
+
+def _hashed(num_features: int) -> str:
+    k = _times(_turn(_times("k", 0xCC9E2D51), 15), 0x1B873593)
+    step = f"(({_turn('xor(h, ' + k + ')', 13)} * 5 + 3864292196) & 4294967295)"
+    return f"""d AS (SELECT DISTINCT token FROM doc_tokens),
+x AS (SELECT token, octet_length(encode(token)) AS size,
+  list_transform(range(0, octet_length(encode(token))), lambda i: CAST('0x' || substr(hex(encode(token)), CAST(2 * i + 1 AS INT), 2) AS BIGINT)) AS b FROM d),
+words AS (SELECT token, size, list_transform(range(0, size // 4), lambda i: b[4*i+1] + b[4*i+2] * 256 + b[4*i+3] * 65536 + b[4*i+4] * 16777216) AS w,
+  coalesce(list_sum(list_transform(range(0, size % 4), lambda i: b[4 * (size // 4) + i + 1] << (8 * i))), 0)::BIGINT AS k FROM x),
+body AS (SELECT token, size, k, list_reduce(list_prepend(42::BIGINT, w), lambda h, k: {step}) AS h FROM words),
+tail AS (SELECT token, xor(CASE WHEN size % 4 > 0 THEN xor(h, {k}) ELSE h END, size)::BIGINT AS h FROM body),
+f1 AS (SELECT token, xor(h, h >> 16) AS h FROM tail),
+f2 AS (SELECT token, {_times('h', 0x85EBCA6B)} AS h FROM f1),
+f3 AS (SELECT token, xor(h, h >> 13) AS h FROM f2),
+f4 AS (SELECT token, {_times('h', 0xC2B2AE35)} AS h FROM f3),
+f5 AS (SELECT token, xor(h, h >> 16) AS h FROM f4),
+hashed AS (SELECT token, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {num_features} + {num_features}) % {num_features} AS idx FROM f5)"""
+
+
 FACT_SQL = {
+    "hashed_tf": oracle._with(oracle.DOC_BAGS, oracle.DOC_TOKENS, _hashed(st.TFIDF_NUM_FEATURES)) + """
+SELECT doc_id, CAST(idx AS BIGINT) AS idx, count(*) AS tf FROM doc_tokens JOIN hashed USING (token) GROUP BY doc_id, idx""",
+    "hashed_names": oracle._with(oracle.DOC_BAGS, oracle.DOC_TOKENS, _hashed(st.TFIDF_RF_NUM_FEATURES),
+                                 "c AS (SELECT idx, token, count(*) AS n FROM doc_tokens JOIN hashed USING (token) GROUP BY idx, token)",
+                                 "r AS (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY n DESC, token) AS place, count(*) OVER (PARTITION BY idx) AS n_tokens, "
+                                 "sum(n) OVER (PARTITION BY idx) AS n_all FROM c)") + """
+SELECT CAST(idx AS INT) AS idx, token, n AS token_count, n_tokens, CAST(n_all AS BIGINT) AS n_all FROM r WHERE place = 1""",
     "cooccurrence": oracle._with(oracle.DOC_BAGS, _PAIRS) + "SELECT token, context, n FROM pairs",
     "log_ratios": oracle._with(oracle.DOC_BAGS, _PAIRS, "s AS (SELECT token, sum(n) AS n FROM pairs GROUP BY token)") + """
 SELECT p.token, p.context, round(ln(p.n * (SELECT CAST(sum(n) AS DOUBLE) FROM s) / (CAST(x.n AS DOUBLE) * y.n)), 6) AS weight

@@ -246,6 +246,10 @@ def q_importances_top(spark, sf_dir):
     return xp.top_importances(rf_counts_model(spark, sf_dir), TOP_IMPORTANCES)
 
 
+def q_hashed_importances(spark, sf_dir):
+    return xp.hashed_importances(rf_tfidf_model(spark, sf_dir), prepared(spark, sf_dir).train, "tokens", TOP_IMPORTANCES)
+
+
 def q_importances_sum(spark, sf_dir):
     return xp.importance_sum(rf_counts_model(spark, sf_dir))
 
@@ -301,6 +305,7 @@ MODEL_QUERIES = {
     "lr_summary_accuracy": q_lr_summary_accuracy,
     "score_unlabeled": q_score_unlabeled,
     "importances_top": q_importances_top,
+    "hashed_importances": q_hashed_importances,
     "importances_sum": q_importances_sum,
     "synonyms": q_synonyms,
     "grid_search_lr": q_grid_search_lr,
