@@ -18,7 +18,9 @@ never occurs as a label (MLlib's matrix silently drops those).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bagwise.operators.joins import bounded_table
@@ -121,3 +123,49 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label",
                        F.lit(0)).cast("bigint").alias(prefix + _class_name(v))
             for v in classes]
     return cells.groupBy("label").agg(*aggs)
+
+
+# ------------------------------------------------------------ intervals
+
+#: Sixteen bits of hash below each of these give 0, 1, 2, ... draws of a row: the Poisson law of mean one.
+POISSON = tuple(int(65536 * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(9))
+PER_HASH = 8    # replicates that one hash serves
+
+
+def bootstrap(pred: DataFrame, key: str, replicates: int = 200, seed=7, label_col: str = "label",
+              prediction_col: str = "prediction") -> DataFrame:
+    """(replicate, accuracy, macro_f1, weighted_f1) of Poisson bootstrap samples of the predictions.
+
+    A row's number of draws in a replicate comes from a hash of its key, so
+    the samples are the same for any partitioning. All replicates are one
+    aggregation over (replicate, label, prediction), partially aggregated.
+    """
+    block = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // PER_HASH))).alias("_block")
+    hashes = pred.select(F.col(label_col).alias("label"), F.col(prediction_col).alias("prediction"), F.col(key).alias("_key"), block)
+    digest = F.md5(F.concat_ws(":", F.col("_key").cast("string"), F.lit(str(seed)), F.col("_block").cast("string")))
+
+    def draws(i: int) -> Column:
+        bits = F.conv(F.substring("_digest", 4 * i + 1, 4), 16, 10).cast("int")
+        return F.struct((F.col("_block") * PER_HASH + i).alias("replicate"), sum((bits >= t).cast("long") for t in POISSON).alias("n"))
+    each = (hashes.withColumn("_digest", digest)
+            .select("label", "prediction", F.explode(F.array(*map(draws, range(PER_HASH)))).alias("d"))
+            .where((F.col("d.n") > 0) & (F.col("d.replicate") < replicates)))
+    cells = each.groupBy("d.replicate", "label", "prediction").agg(F.sum("d.n").alias("n"))
+    right = F.col("label") == F.col("prediction")
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    one = F.struct("label", F.when(right, n).otherwise(none).alias("tp"), n.alias("support"), none.alias("fp"))
+    other = F.struct(F.col("prediction").alias("label"), none.alias("tp"), none.alias("support"), F.when(~right, n).otherwise(none).alias("fp"))
+    per = (cells.select("replicate", F.explode(F.array(one, other)).alias("c")).groupBy("replicate", "c.label")
+           .agg(*(F.sum(f"c.{x}").alias(x) for x in ("tp", "support", "fp"))).where("support > 0"))
+    # 2 tp / (support + predicted) is the harmonic mean of precision and recall
+    f1 = 2.0 * F.col("tp") / (F.col("support") + F.col("tp") + F.col("fp"))
+    return per.groupBy("replicate").agg((F.sum("tp") / F.sum("support")).alias("accuracy"), F.avg(f1).alias("macro_f1"),
+                                        (F.sum(f1 * F.col("support")) / F.sum("support")).alias("weighted_f1"))
+
+
+def intervals(replicated: DataFrame, level: float = 0.95) -> DataFrame:
+    """(metric, mean, low, high) over the replicates of `bootstrap`: exact quantiles, interpolated."""
+    names = ("accuracy", "macro_f1", "weighted_f1")
+    each = replicated.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in names))).alias("m")).select("m.*")
+    tail = (1 - level) / 2
+    return each.groupBy("metric").agg(F.avg("x").alias("mean"), F.percentile("x", F.lit(tail)).alias("low"), F.percentile("x", F.lit(1 - tail)).alias("high"))

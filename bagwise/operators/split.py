@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from bagwise.functions.hashing import hash_fold, hash_unit, row_hash
 from bagwise.operators.joins import MAX_BROADCAST_ROWS, bounded_table
 from bagwise.session import materialize
-from bagwise.sources.tables import key_violations
+from bagwise.sources.tables import load_facts
 
 _G = "_g"      # group column inside the split (class, or a constant)
 _H = "_h"      # md5 hex of key:seed
@@ -109,18 +109,28 @@ def split_thresholds(df: DataFrame, key: str, fraction: float, seed,
     return bounded_table(th, max_groups)
 
 
+def check_keys(df: DataFrame, key: str, class_col: str | None = None, seed=7) -> dict:
+    """S3: what one scan saw (`tables.load_facts`); null or repeated keys fail, and null classes where a class is named."""
+    seen = load_facts(df, key, class_col, seed).first().asDict()
+    if seen["null_keys"] or seen["duplicate_keys"]:
+        raise ValueError(f"{key!r}: {seen['null_keys']} null keys, {seen['duplicate_keys']} repeated keys")
+    if seen["null_classes"]:
+        raise ValueError(f"{seen['null_classes']} of {seen['n_rows']} rows have no {class_col!r}")
+    return seen
+
+
 def with_split(df: DataFrame, key: str, test_fraction: float, seed=7,
                by: str | None = None, split_col: str = "split",
-               bucket_hex: int = BUCKET_HEX) -> DataFrame:
+               bucket_hex: int = BUCKET_HEX, checked: bool = False) -> DataFrame:
     """T2 (by=class) / T3 exact (by=None): add ``split`` = 'train' | 'test'.
 
     Exactly ``round(test_fraction * n)`` rows of each class are 'test';
     the choice depends only on key and seed. Null classes form their own
-    group. Null or repeated keys are rejected: the split is by key.
+    group. Null or repeated keys are rejected: the split is by key (`checked`:
+    the caller has done so with `check_keys`).
     """
-    bad = key_violations(df, key).first()
-    if bad["null_keys"] or bad["duplicate_keys"]:
-        raise ValueError(f"{key!r}: {bad['null_keys']} null keys, {bad['duplicate_keys']} repeated keys")
+    if not checked:
+        check_keys(df, key, seed=seed)
     th = split_thresholds(df, key, test_fraction, seed, by, bucket_hex=bucket_hex)
     g = F.col(by) if by else F.lit(0)
     left = df.withColumn(_G, g).withColumn(_H, row_hash(key, seed))

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bagwise.functions.tokens import token_rows, word_tokens
-from bagwise.operators import embeddings, features
+from bagwise.operators import embeddings, features, folds
 from bagwise.operators import metrics as met
 from bagwise.operators import split
 from bagwise.operators.nearest import nearest_tokens
@@ -22,8 +22,10 @@ from bagwise.plans import forest as fo
 from bagwise.plans import models as mdl
 from bagwise.plans import registry
 from bagwise.plans import stages as st
+from bagwise.session import materialize
 from bagwise.sources import tables
 
+REPLICATES = 200
 COOC_WINDOW = 3
 COOC_MIN_COUNT = 20
 NEAREST_MIN_COUNT = 20
@@ -197,7 +199,43 @@ def q_nearest_tokens_by_source(spark, sf_dir):
     return nearest_tokens(table.select("token", "vector"), registry.N_SYNONYMS)
 
 
+def q_group_folds(spark, sf_dir):
+    """Per class its rows and bags in the training table, bags found in two folds, and whether the folds of the
+    class differ by the rows of its largest bag at most."""
+    rows = registry.prepared(spark, sf_dir).train_all.withColumn("bag", folds.bag_group("tokens"))
+    found = materialize(folds.with_group_folds(rows.select("doc_id", "lang", "bag"), F.col("bag"), "lang", catalog.N_FOLDS), "folds")
+    best = F.min(F.struct((-F.col("n")).alias("n"), "lang")).alias("best")
+    bags = (found.groupBy("bag", "lang").agg(F.count("*").alias("n")).groupBy("bag").agg(best, F.sum("n").alias("size"))
+            .join(found.groupBy("bag").agg(F.count_distinct("fold").alias("n_folds"), F.min("fold").alias("fold")), "bag"))
+    named = F.array(*map(F.lit, range(catalog.N_FOLDS)))
+    loads = F.transform(named, lambda f: F.aggregate(F.collect_list(F.struct("fold", "n")), F.lit(0).cast("bigint"),
+                                                     lambda s, x: s + F.when(x["fold"] == f, x["n"]).otherwise(0)))
+    per = bags.groupBy("best.lang", "fold").agg(F.sum("size").alias("n"), F.count("*").alias("bags"), F.max("size").alias("largest"),
+                                                F.sum((F.col("n_folds") > 1).cast("bigint")).alias("split"))
+    return per.groupBy("lang").agg(F.sum("n").alias("n_rows"), F.sum("bags").alias("n_bags"), F.sum("split").alias("split_bags"),
+                                   (F.array_max(loads) - F.array_min(loads) <= F.max("largest")).alias("even"))
+
+
+def q_observed_load(spark, sf_dir):
+    """S3: what the training preparation saw while it read the documents."""
+    seen = registry.prepared(spark, sf_dir).observed
+    return spark.createDataFrame([tuple(seen[c] for c in ("n_rows", "null_keys", "duplicate_keys", "null_classes", "key_hash_sum"))],
+                                 "n_rows long, null_keys long, duplicate_keys long, null_classes long, key_hash_sum long")
+
+
+def q_f1_intervals(spark, sf_dir):
+    """E1, E4, E5 with intervals: the rule-based prediction's metrics over bootstrap replicates."""
+    docs = tables.read_table(spark, sf_dir, "documents", ["doc_id", "n_chars"])
+    pred = tables.labels(spark, sf_dir).join(docs, "doc_id").select(
+        "doc_id", F.col("quality").cast("double").alias("label"), (F.col("n_chars") > catalog.RULE_MIN_CHARS).cast("double").alias("prediction"))
+    found = met.intervals(met.bootstrap(pred, "doc_id", REPLICATES, catalog.SPLIT_SEED))
+    return found.select("metric", *(F.round(c, 6).alias(c) for c in ("mean", "low", "high")))
+
+
 FACT_QUERIES = {
+    "group_folds": q_group_folds,
+    "observed_load": q_observed_load,
+    "f1_intervals": q_f1_intervals,
     "hashed_tf": q_hashed_tf,
     "hashed_names": q_hashed_names,
     "cooccurrence": q_cooccurrence,
@@ -271,7 +309,30 @@ f5 AS (SELECT token, xor(h, h >> 16) AS h FROM f4),
 hashed AS (SELECT token, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {num_features} + {num_features}) % {num_features} AS idx FROM f5)"""
 
 
+_DRAWS = f"""b AS (SELECT doc_id, label, prediction, block,
+    md5(CAST(doc_id AS VARCHAR) || ':{catalog.SPLIT_SEED}:' || CAST(block AS VARCHAR)) AS digest
+  FROM p, (SELECT unnest(range({-(-REPLICATES // met.PER_HASH)})) AS block)),
+e AS (SELECT label, prediction, block * {met.PER_HASH} + i AS replicate, CAST('0x' || substr(digest, CAST(4 * i + 1 AS INT), 4) AS BIGINT) AS bits
+  FROM b, (SELECT unnest(range({met.PER_HASH})) AS i)),
+c AS (SELECT replicate, label, prediction, sum(len(list_filter({list(met.POISSON)}, lambda t: bits >= t))) AS n FROM e
+  WHERE replicate < {REPLICATES} GROUP BY ALL),
+k AS (SELECT replicate, label, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp, sum(n) AS support FROM c GROUP BY ALL),
+q AS (SELECT replicate, prediction AS label, sum(n) AS predicted FROM c GROUP BY ALL),
+f AS (SELECT replicate, tp, support, CASE WHEN tp = 0 THEN 0.0 ELSE 2.0 * tp / (support + coalesce(predicted, 0)) END AS f1
+  FROM k LEFT JOIN q USING (replicate, label) WHERE support > 0),
+r AS (SELECT replicate, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1, sum(f1 * support) / sum(support) AS weighted_f1 FROM f GROUP BY replicate),
+m AS (SELECT 'accuracy' AS metric, accuracy AS x FROM r UNION ALL SELECT 'macro_f1', macro_f1 FROM r UNION ALL SELECT 'weighted_f1', weighted_f1 FROM r)"""
+
 FACT_SQL = {
+    "group_folds": oracle._with(oracle.DOC_BAGS, oracle.DOC_SPLIT, oracle.TRAIN_BAGS,
+                                "g AS (SELECT list_sort(tokens) AS bag, lang, count(*) AS n FROM train_bags GROUP BY ALL)",
+                                "b AS (SELECT bag, sum(n) AS size, min_by(lang, (-n, lang)) AS lang FROM g GROUP BY bag)") + """
+SELECT lang, CAST(sum(size) AS BIGINT) AS n_rows, count(*) AS n_bags, CAST(0 AS BIGINT) AS split_bags, true AS even FROM b GROUP BY lang""",
+    "observed_load": f"""
+SELECT count(*) AS n_rows, count(*) FILTER (doc_id IS NULL) AS null_keys, count(doc_id) - count(DISTINCT doc_id) AS duplicate_keys, count(*) FILTER (lang IS NULL) AS null_classes,
+  CAST(sum(CAST('0x' || substr({oracle.HASH}, 1, 8) AS BIGINT)) AS BIGINT) AS key_hash_sum FROM documents""",
+    "f1_intervals": oracle._with(oracle.RULE.split("cells AS")[0].rstrip().rstrip(",").replace("pred AS (\n  SELECT", "p AS (\n  SELECT l.doc_id,"), _DRAWS) + """
+SELECT metric, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.025), 6) AS low, round(quantile_cont(x, 0.975), 6) AS high FROM m GROUP BY metric""",
     "hashed_tf": oracle._with(oracle.DOC_BAGS, oracle.DOC_TOKENS, _hashed(st.TFIDF_NUM_FEATURES)) + """
 SELECT doc_id, CAST(idx AS BIGINT) AS idx, count(*) AS tf FROM doc_tokens JOIN hashed USING (token) GROUP BY doc_id, idx""",
     "hashed_names": oracle._with(oracle.DOC_BAGS, oracle.DOC_TOKENS, _hashed(st.TFIDF_RF_NUM_FEATURES),

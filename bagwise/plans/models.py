@@ -39,6 +39,7 @@ class Prepared:
     class_col: str
     bag_col: str
     key: str
+    observed: dict | None = None   # what the check of the load saw (`split.check_keys`)
 
 
 def prepare_training(df: DataFrame, key: str, class_col: str,
@@ -48,9 +49,11 @@ def prepare_training(df: DataFrame, key: str, class_col: str,
     """T2 + A10 + W1 in the reference's order.
 
     ``total='pre_dedup'`` counts the weight numerator before dropping
-    duplicates (the reference), ``'post_dedup'`` after.
+    duplicates (the reference), ``'post_dedup'`` after. Null keys, repeated
+    keys and null classes fail plainly.
     """
-    s = split.with_split(df, key, test_fraction, seed, by=class_col, split_col="_split")
+    seen = split.check_keys(df, key, class_col, seed)
+    s = split.with_split(df, key, test_fraction, seed, by=class_col, split_col="_split", checked=True)
     s = materialize(s, "split")
     train_all = s.where(F.col("_split") == "train").drop("_split")
     valid = s.where(F.col("_split") == "test").drop("_split")
@@ -62,7 +65,7 @@ def prepare_training(df: DataFrame, key: str, class_col: str,
         train = prepare.with_class_weights(train, class_col, total=tot)
     else:
         train = train.withColumn("weight", F.lit(1.0))
-    return Prepared(train, valid, train_all, class_col, bag_col, key)
+    return Prepared(train, valid, train_all, class_col, bag_col, key, seen)
 
 
 def feature_stages(kind: str, train: DataFrame, bag_col: str, *,

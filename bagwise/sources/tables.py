@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bagwise.functions.hashing import hash_prefix_int, row_hash
+
 DOCUMENTS_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("text", T.StringType()),
@@ -54,24 +56,45 @@ def check_schema(df: DataFrame, expected: T.StructType) -> list[str]:
             if f.name not in have or have[f.name] != f.dataType]
 
 
-def key_violations(df: DataFrame, key: str) -> DataFrame:
-    """One-row DataFrame: null keys and keys seen more than once.
+def require_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """`df`, or a plain failure that names the columns that are missing or of another type."""
+    bad = check_schema(df, expected)
+    if bad:
+        have = dict(df.dtypes)
+        raise ValueError("bad table: " + ", ".join(f"{c} is {have.get(c, 'missing')}, not {expected[c].dataType.simpleString()}" for c in bad))
+    return df
+
+
+def load_facts(df: DataFrame, key: str, class_col: str | None = None, seed=7) -> DataFrame:
+    """S3, one row and one scan: rows, null keys, keys seen more than once, null classes, and the sum of the rows'
+    key hashes (equal for equal keys in any order).
 
     A split labels each row by its key, so the key must be present and
-    unique. Aggregated with partial aggregation, so a hot key is harmless.
+    unique. Aggregated with partial aggregation, so a hot key is harmless;
+    all other facts ride on the same aggregation.
     """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    no_class = F.col(class_col).isNull() if class_col else F.lit(False)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(no_class, 1)).alias("no_class"))
+    zero = F.lit(0).cast("bigint")
     return per_key.agg(
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0))
-         .cast("bigint").alias("null_keys"),
-        F.coalesce(F.sum(F.when(F.col(key).isNotNull() & (F.col("n") > 1), 1)),
-                   F.lit(0)).cast("bigint").alias("duplicate_keys"))
+        F.coalesce(F.sum("n"), zero).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), zero).alias("null_keys"),
+        F.coalesce(F.sum(F.when(F.col(key).isNotNull() & (F.col("n") > 1), 1)), zero).cast("bigint").alias("duplicate_keys"),
+        F.coalesce(F.sum("no_class"), zero).alias("null_classes"),
+        F.coalesce(F.sum(hash_prefix_int(row_hash(key, seed)) * F.col("n")), zero).alias("key_hash_sum"))
+
+
+def key_violations(df: DataFrame, key: str) -> DataFrame:
+    """One row: null keys and keys seen more than once."""
+    return load_facts(df, key).select("null_keys", "duplicate_keys")
 
 
 def documents(spark: SparkSession, sf_dir: str,
               columns=("doc_id", "text", "lang")) -> DataFrame:
-    """labeled word bags (class `lang`, text `text`, key `doc_id`)."""
-    return read_table(spark, sf_dir, "documents", list(columns))
+    """labeled word bags (class `lang`, text `text`, key `doc_id`); fails plainly on another schema."""
+    df = spark.read.parquet(table_path(sf_dir, "documents"))
+    wanted = T.StructType([f for f in DOCUMENTS_SCHEMA if f.name in columns])
+    return require_schema(df, wanted).select(*columns)
 
 
 def unlabeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +104,7 @@ def unlabeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """imbalanced two-class labels keyed by doc_id."""
-    return read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    return require_schema(read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]), LABELS_SCHEMA)
 
 
 def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
