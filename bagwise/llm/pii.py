@@ -8,7 +8,9 @@ last digits, the same name before the "@"), so a number that a pattern
 recognises in one place gets the same label where it is written otherwise.
 Loopy belief propagation computes each mention's label; mentions of patterns
 are observed. A mention becomes a further span if a skip edge ties it to
-others and its label is an entity with probability `least` or more.
+others and its label is an entity with probability `least` or more. Mentions
+that neither a pattern nor a skip edge knows can't get a label and stand in no
+chain, and a document in which no pattern finds anything has no further spans.
 
 The factors (shape of a mention, label pairs along the chain, label pairs
 along skip edges) are estimated piecewise from smoothed counts over all rows,
@@ -33,7 +35,7 @@ from bagwise.llm.common import id_text, map_rows, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-ROUNDS = 8           # of message passing, at most
+ROUNDS = 40          # of damped message passing, at most; it ends when the messages stand still
 LEAST = 0.9
 MISSED = 0.05        # how often a pattern misses an entity
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -156,6 +158,19 @@ def skip_edges(texts: list[str]) -> list[tuple[int, int]]:
     return list(edges)
 
 
+def connected(nodes: list[tuple[int, int, int]], words: list[str]) -> tuple[list[tuple[int, int, int]], list[str], list[tuple[int, int]]]:
+    """The mentions that a pattern labels or a skip edge ties, and the skip edges between them.
+
+    Any other mention can't get a label, nor does it say anything of its
+    neighbours', so it stands in no chain.
+    """
+    edges = skip_edges(words)
+    tied = {i for e in edges for i in e}
+    kept = [i for i, (_, _, label) in enumerate(nodes) if label or i in tied]
+    at = {i: k for k, i in enumerate(kept)}
+    return [nodes[i] for i in kept], [words[i] for i in kept], [(at[i], at[j]) for i, j in edges]
+
+
 def count_rows(batches):
     """Counts of (factor, its value, label, label)."""
     for batch, texts in slices(batches):
@@ -165,9 +180,10 @@ def count_rows(batches):
             words = [text[s:e] for s, e, _ in nodes]
             for (_, _, label), w in zip(nodes, words):
                 counts["shape", shape(w), label, 0] += 1
+            nodes, _, edges = connected(nodes, words)
             for (_, _, a), (_, _, b) in zip(nodes, nodes[1:]):
                 counts["chain", "", a, b] += 1
-            for i, j in skip_edges(words):
+            for i, j in edges:
                 counts["skip", "", nodes[i][2], nodes[j][2]] += 1
         if counts:
             yield pa.record_batch([*(pa.array(c) for c in zip(*counts)), pa.array(list(counts.values()))],
@@ -196,15 +212,15 @@ class Field:
             alone = table.sum(1) / table.sum()
             setattr(self, name, np.log(table / table.sum() / np.outer(alone, alone)))
 
-    def labels(self, nodes: list[tuple[int, int, int]], words: list[str]) -> np.ndarray:
-        """Each mention's marginal probabilities, by loopy message passing."""
+    def labels(self, nodes: list[tuple[int, int, int]], words: list[str], skips: list[tuple[int, int]]) -> np.ndarray:
+        """Each mention's marginal probabilities, by loopy message passing along the chain and the skip edges."""
         n, size = len(nodes), len(LABELS)
         own = np.stack([self.shapes.get(shape(w), self.other) + self.missed for w in words])
         for i, (_, _, label) in enumerate(nodes):
             if label:
                 own[i] = np.where(np.arange(size) == label, 0.0, -30.0)
         edges = {(i, i + 1): self.chain for i in range(n - 1)}
-        edges |= {e: self.skip for e in skip_edges(words)}
+        edges |= {e: self.skip for e in skips}
         if not edges:
             return np.exp(own - np.logaddexp.reduce(own, axis=1, keepdims=True))
         a = np.array([e[0] for e in edges] + [e[1] for e in edges])
@@ -232,9 +248,11 @@ def further_spans(text: str, base: list[tuple[str, int, int]], field: Field, lea
     nodes = mentions(text, base)
     if all(label for _, _, label in nodes):
         return []
-    words = [text[s:e] for s, e, _ in nodes]
-    tied = {i for e in skip_edges(words) for i in e}
-    marginal = field.labels(nodes, words)
+    nodes, words, skips = connected(nodes, [text[s:e] for s, e, _ in nodes])
+    tied = {i for e in skips for i in e}
+    if not tied:
+        return []
+    marginal = field.labels(nodes, words, skips)
     best = marginal[:, 1:].argmax(1) + 1
     return [(LABELS[best[i]], s, e) for i, (s, e, label) in enumerate(nodes)
             if not label and i in tied and marginal[i, best[i]] >= least]
