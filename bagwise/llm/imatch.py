@@ -11,9 +11,13 @@ fingerprints are alike by the share of equal hashes among the subsets that
 either has terms of: long texts agree or differ in the small subsets, short
 ones in the large.
 
-All terms are counted and joined. Frequent terms, fewer than
-(mean distinct terms / MAX_SHARE), are dropped by a broadcast list before
-anything is shuffled; the others meet their document counts in a join.
+No (document, term) pair is shuffled but into the counts. Of a document's own
+words only two kinds are outside the lexicon: the frequent ones, fewer than
+(mean distinct terms / MAX_SHARE), which a broadcast list drops, and those that
+no other document has, which the counts send back to their one document as a
+list. The edited text holds words of the document, words of the next one, and
+the few that the cuts make; only these are looked up. So the terms are taken,
+sifted and hashed where the texts are dealt by id.
 
 Each document is also compared with its edited text and with the next
 document; see `fingerprints`.
@@ -33,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.llm.common import id_text, written
+from bagwise.operators.joins import join_hot
 
 MIN_DF = 2
 MAX_SHARE = 0.1
@@ -40,6 +45,7 @@ LEAST_MAX = 8        # documents that a term of a small collection may be in any
 #: (subsets, bits): each holds one in 2 ** bits terms of the lexicon
 SUBSETS = ((1, 0), (4, 1), (8, 3), (8, 5), (8, 7))
 N_SUBSETS = sum(n for n, _ in SUBSETS)
+SEPARATORS = "[\\s.,;:!?\"()]+"
 BITS = 12            # ids are ordered in blocks of 2 ** BITS ids, those in blocks of as many, ...
 
 
@@ -54,7 +60,7 @@ def members(term: Column) -> list[Column]:
 
 def terms(text: Column) -> Column:
     """The distinct hashed words."""
-    words = F.split(F.lower(text), "[\\s.,;:!?\"()]+")
+    words = F.split(F.lower(text), SEPARATORS)
     return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
@@ -75,9 +81,12 @@ def following(keys: DataFrame, levels: int = 4) -> DataFrame:
 
 
 def hashes(pairs: DataFrame) -> DataFrame:
-    """(doc_id, parts, edited_parts) from (doc_id, term, flags): of each subset, in order, the hash of its terms, or "-"."""
+    """(doc_id, parts, edited_parts) from (doc_id, term, flags): of each subset, in order, the hash of its terms, or "-".
+
+    `pairs` dealt by doc_id stay as they are.
+    """
     # a term counts once for an id, so that equal ones of several rows don't cancel
-    once = pairs.repartition("doc_id").groupBy("doc_id", "term").agg(F.bit_or("flags").alias("flags"))
+    once = pairs.groupBy("doc_id", "term").agg(F.bit_or("flags").alias("flags"))
     drawn = once.select("doc_id", "term", "flags", *(m.alias(f"in_{j}") for j, m in enumerate(members(F.col("term")))))
 
     def one(flag: int, j: int) -> Column:
@@ -104,27 +113,46 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when(whole | a.isNull() | b.isNull(), F.lit(0.0)).otherwise(F.size(same) / F.size(either))
 
 
-def edited_texts(rows: DataFrame) -> DataFrame:
-    """(doc_id, next_id, text, edited): the last quarter replaced by the first as many code points of the next document."""
-    ids = rows.filter("doc_id is not null").select(F.col("doc_id").alias("key")).distinct()
-    first = ids.agg(F.min("key")).first()[0]
-    after = following(ids.withColumn("first", F.col("key"))).select(
-        F.col("key").alias("doc_id"), F.coalesce("next", F.lit(first).cast("long")).alias("next_id"))
+def edited_texts(rows: DataFrame, after: DataFrame, lone: DataFrame | None = None) -> DataFrame:
+    """(doc_id, next_id, text, edited, piece) of the rows with an id: the last quarter replaced by `piece`, the first
+    as many code points of the next document. With `lone` (doc_id, lone) also the lists of both: lone, next_lone.
+
+    Dealt by doc_id. The texts are shuffled once: both joins take them as they are dealt, and lag() marks the
+    first text of an id.
+    """
     # as many code points of the next text as any row of this id needs
     need = (rows.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("need")).join(after, "doc_id")
             .select(F.col("doc_id").alias("of"), F.col("next_id").alias("doc_id"), "need"))
-    # both joins take the texts dealt by id, so they are shuffled once; lag() marks the first text of an id
     known = rows.filter("doc_id is not null").repartition("doc_id")
     firsts = known.withColumn("before", F.lag("doc_id").over(Window.partitionBy("doc_id").orderBy("text"))).filter("before is null").drop("before")
-    heads = firsts.join(need, "doc_id").select(F.col("of").alias("doc_id"), F.col("doc_id").alias("next_id"),
-                                               F.substr("text", F.lit(1), F.col("need").cast("int")).alias("head"))
-    headed = known.join(heads, "doc_id", "left").unionByName(
-        rows.filter("doc_id is null").withColumns({"next_id": F.lit(None).cast("long"), "head": F.lit("")}))
+    heads = firsts.join(need, "doc_id")
+    lists = []
+    if lone is not None:
+        heads = heads.join(lone.withColumnRenamed("lone", "next_lone"), "doc_id", "left")
+        known = known.join(lone, "doc_id", "left")
+        lists = ["lone", "next_lone"]
+    heads = heads.select(F.col("of").alias("doc_id"), F.col("doc_id").alias("next_id"),
+                         F.substr("text", F.lit(1), F.col("need").cast("int")).alias("head"), *lists[1:])
     cut = F.floor(F.length("text") / 4).cast("int")
-    return headed.select(
-        "doc_id", "next_id", "text",
-        F.concat(F.substr("text", F.lit(1), F.length("text") - cut),
-                 F.substr(F.coalesce("head", F.lit("")), F.lit(1), cut)).alias("edited"))
+    piece = F.substr(F.coalesce("head", F.lit("")), F.lit(1), cut)
+    return (known.join(heads, "doc_id", "left").withColumn("piece", piece)
+            .select("doc_id", "next_id", "text", F.concat(F.substr("text", F.lit(1), F.length("text") - cut), "piece").alias("edited"), "piece", *lists))
+
+
+def next_ids(rows: DataFrame) -> DataFrame:
+    """(doc_id, next_id): the next larger id; after the last, the first."""
+    ids = rows.filter("doc_id is not null").select(F.col("doc_id").alias("key")).distinct()
+    first = ids.agg(F.min("key")).first()[0]
+    return following(ids.withColumn("first", F.col("key"))).select(
+        F.col("key").alias("doc_id"), F.coalesce("next", F.lit(first).cast("long")).alias("next_id"))
+
+
+def cut_terms() -> Column:
+    """Terms of an edited text that may be in neither document: not the document's nor the piece's, and the piece's last."""
+    own, other, piece = (terms(F.col(c)) for c in ("text", "edited", "piece"))
+    words = F.filter(F.split(F.lower("piece"), SEPARATORS), lambda w: w != "")
+    last = F.transform(F.slice(words, -1, 1), lambda w: F.xxhash64(w))
+    return F.array_union(F.array_except(other, F.array_union(own, piece)), F.when(F.size(words) > 0, last).otherwise(F.array().cast("array<long>")))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,26 +160,41 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = id_text(docs, id_col, text_col)
     total = rows.count()
     most = max(LEAST_MAX, MAX_SHARE * total)
-    counts = written(rows.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-                     .filter(F.col("df") >= MIN_DF), "counts")
+    counts = written(rows.select("doc_id", F.explode(terms(F.col("text"))).alias("term")).groupBy("term")
+                     .agg(F.count("*").alias("df"), F.min("doc_id").alias("only")), "counts")
     frequent = counts.filter(F.col("df") > most).select("term")  # bounded: see above
-    band = counts.filter(F.col("df") <= most).select("term")
+    band = counts.filter((F.col("df") >= MIN_DF) & (F.col("df") <= most)).select("term")
+    lone = written(counts.filter(F.col("df") < MIN_DF).groupBy(F.col("only").alias("doc_id"))
+                   .agg(F.collect_list("term").alias("lone")).filter("doc_id is not null"), "lone")
+    after = written(next_ids(rows), "after")
+    sizes = (F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
+    info = (edited_texts(rows, after).select("doc_id", "next_id", *sizes, F.sha2("edited", 256).alias("edited_sha256"), cut_terms().alias("cut")))
+    kept = F.substr("text", F.lit(1), F.length("text") - F.floor(F.length("text") / 4).cast("int"))
+    without_id = rows.filter("doc_id is null").select(
+        "doc_id", F.lit(None).cast("long").alias("next_id"), *sizes, F.sha2(kept, 256).alias("edited_sha256"), F.array().cast("array<long>").alias("cut"))
+    info = written(info.unionByName(without_id), "info")
+    asked = written(info.filter("doc_id is not null").select("doc_id", F.explode("cut").alias("term")).distinct(), "asked")
+    found = join_hot(asked, band, "term").groupBy("doc_id").agg(F.collect_set("term").alias("held"))
+    unheld = written(asked.groupBy("doc_id").agg(F.collect_set("term").alias("cut")).join(found, "doc_id", "left")
+                     .select("doc_id", F.array_except("cut", F.coalesce("held", F.array().cast("array<long>"))).alias("unheld")), "unheld")
+
     def marked(held: Column, flags: int) -> Column:
         return F.transform(held, lambda t: F.struct(t.alias("term"), F.lit(flags).alias("flags")))
+    none = F.array().cast("array<long>")
+    outside = F.array_union(F.coalesce("lone", none), F.array_union(F.coalesce("next_lone", none), F.coalesce("unheld", none)))
+    sifted = (edited_texts(rows, after, lone).join(unheld, "doc_id", "left")
+              .select("doc_id", F.array_except(terms(F.col("text")), F.coalesce("lone", none)).alias("own"),
+                      F.array_except(terms(F.col("edited")), outside).alias("other")))
     flagged = F.concat(marked(F.array_intersect("own", "other"), 3), marked(F.array_except("own", "other"), 1),
                        marked(F.array_except("other", "own"), 2))
-    texts = (edited_texts(rows)
-             .select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha256"),
-                     F.sha2("edited", 256).alias("edited_sha256"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("other")))
-    edited = written(texts.withColumn("flagged", flagged).drop("own", "other"), "edited")
-    pairs = (edited.filter("doc_id is not null").select("doc_id", F.explode("flagged").alias("t")).select("doc_id", "t.term", "t.flags")
-             .join(F.broadcast(frequent), "term", "left_anti").join(band, "term"))
-    parts = hashes(pairs)
-    known = written(edited.drop("flagged").join(parts, "doc_id", "left")
+    pairs = (sifted.select("doc_id", F.explode(flagged).alias("t")).select("doc_id", "t.term", "t.flags")
+             .join(F.broadcast(frequent), "term", "left_anti").select("doc_id", "term", "flags"))
+    parts = written(hashes(pairs), "parts")
+    known = written(info.drop("cut").join(parts, "doc_id", "left")
                     .select("doc_id", "next_id", "n_chars", "edited_sha256", fingerprint(F.col("parts"), F.col("sha256")).alias("fingerprint"),
                             fingerprint(F.col("edited_parts"), F.col("edited_sha256")).alias("edited_fingerprint")), "known")
-    after = known.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("fingerprint").alias("next_fingerprint"))
-    return known.join(after, "next_id", "left").select(
+    following_one = known.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("fingerprint").alias("next_fingerprint"))
+    return known.join(following_one, "next_id", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
