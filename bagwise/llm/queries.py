@@ -24,14 +24,14 @@ def joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def span_columns(found, kinds):
+def span_columns(found, kinds, *further):
     base = F.filter("spans", lambda s: s["base"])
 
     def number(kind):
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id", *map(number, kinds),
-        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *further)
 
 
 def op1(spark, sf_dir):
@@ -46,7 +46,9 @@ def op2(spark, sf_dir):
 
 
 def op3(spark, sf_dir):
-    return span_columns(secrets.find_secrets(read(spark, sf_dir, "documents")), secrets.KINDS)
+    found = secrets.find_secrets(read(spark, sf_dir, "documents"))
+    costs = F.transform("costs", lambda c: F.concat_ws(":", c["start"].cast("string"), c["end"].cast("string"), F.format_number(c["cost"], 3)))
+    return span_columns(found, secrets.KINDS, F.size("costs").cast("long").alias("n_costed"), F.array_join(costs, ",").alias("costs"))
 
 
 def op4(spark, sf_dir):

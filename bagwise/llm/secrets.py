@@ -4,11 +4,15 @@ Patterns find assignments to credential names, access keys and long runs of
 hexadecimal digits; these spans always stay. Further, what stands behind a
 wider range of credential words is cut into words, dates, repeats, keyboard
 walks and brute-force stretches so that guessing it piece by piece costs the
-least (dynamic programming over all cuts). A value that still needs
-10 ** `least` guesses or more is a secret, of kind "value".
+least (dynamic programming over all cuts). Every such value is costed, those of
+assignments too; one outside the patterns' spans that still needs 10 ** `least`
+guesses or more is a secret, of kind "value".
 
 A word costs its inverse frequency in all documents: all their words are
-counted, and the counts meet the parts of the values in a join.
+counted, and the counts meet the parts of the values in a join. Words as pieces
+have `WORD_LENGTHS` letters; a repeat, a walk or a repeated piece has `LOOK_BACK`
+characters at most (a longer one is cut there), so a very long value takes time
+and memory in proportion to its length. Its parts leave a task a block at a time.
 
 Defined cases: null and empty texts have no spans; repeated rows and repeated
 or null ids are searched row by row; an empty table gives an empty table; other
@@ -20,16 +24,20 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bagwise.llm.common import TEXTS, id_text, map_rows, slices, written
+from bagwise.operators.joins import join_hot
 
 KINDS = ("assign", "access", "hex")
 LEAST = 10.0         # log10 of the guesses from which on a value is a secret
-WORD_LENGTHS = range(3, 17)
+WORD_LENGTHS = range(3, 17)   # of the pieces that are looked up as words
+LOOK_BACK = 2048     # characters of a repeat, a keyboard walk or a repeated piece at most
+PART_STARTS = 4096   # starts of parts that a batch holds
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -55,6 +63,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def values(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
     """Credential values that touch no span of a pattern."""
+    return [(s, e, v) for s, e, v, free in costed(text, base) if free]
+
+
+def costed(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str, bool]]:
+    """(start, end, value, free) of the credential values of a text: those behind credential words, free if they
+    touch no span of a pattern, and those of the assign spans."""
     low = text.lower()
     if not any(stem in low for stem in STEMS):
         return []
@@ -65,28 +79,38 @@ def values(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int,
         while at < len(taken) and taken[at][1] <= s:
             at += 1
         if len(value) >= 6 and (at == len(taken) or taken[at][0] >= e):
-            out.append((s, e, value))
-    return out
+            out.append((s, e, value, True))
+    out += [(*m.span(2), m[2], False) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    return sorted(out)
 
 
 def guess_cost(value: str, words: dict[str, float]) -> float:
-    """log10 of the guesses for the cheapest cut of the value into pieces."""
+    """log10 of the guesses for the cheapest of all cuts of the value into pieces.
+
+    Repeats of one character, keyboard walks and pieces that the one before
+    them repeats may have up to `LOOK_BACK` characters each, words the lengths
+    of `WORD_LENGTHS`; so time and memory are linear in the value.
+    """
     low, n = value.lower(), len(value)
-    least = [0.0] + [math.inf] * n
-    runs = [0] * (n + 1)     # length of the repeat that ends here
-    walks = [0] * (n + 1)    # length of the keyboard walk that ends here
+    codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32) if len(low) == n else np.array([ord(c) for c in value])
+    low = low if len(low) == n else value
+    least = np.full(n + 1, math.inf)
+    least[0] = 0.0
     pool = math.log10(max(10, 26 * any(c.islower() for c in value) + 26 * any(c.isupper() for c in value)
                           + 10 * any(c.isdigit() for c in value) + 33 * any(not c.isalnum() for c in value)))
     dates = {}
-    for start in range(n):
-        for m in (DATE.match(value, start),):
-            if m:
-                dates.setdefault(m.end(), []).append(start)
-                dates.setdefault(start + 4, []).append(start) if value[start:start + 2] in ("19", "20") else None
+    for m in filter(None, (DATE.match(value, start) for start in range(n))):
+        dates.setdefault(m.end(), []).append(m.start())
+        if value[m.start():m.start() + 2] in ("19", "20"):
+            dates.setdefault(m.start() + 4, []).append(m.start())
     join = math.log10(2)     # each further piece
+    run = walk = 0           # lengths of the repeat and of the keyboard walk that end here
+    same = np.zeros(LOOK_BACK, np.int64)   # at k - 1: how many characters up to here equal those k before
+    lengths = np.arange(1, LOOK_BACK + 1)
+    count_cost = np.log10(lengths)[::-1]   # of the starts LOOK_BACK to 1 before the end
     for end in range(1, n + 1):
-        runs[end] = runs[end - 1] + 1 if end > 1 and low[end - 1] == low[end - 2] else 1
-        walks[end] = walks[end - 1] + 1 if end > 1 and low[end - 2:end] in BESIDE else 1
+        run = run + 1 if end > 1 and low[end - 1] == low[end - 2] else 1
+        walk = walk + 1 if end > 1 and low[end - 2:end] in BESIDE else 1
         best = least[end - 1] + pool
         for length in WORD_LENGTHS:
             if length > end:
@@ -95,77 +119,88 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
             if cost is not None:
                 capitals = sum(c.isupper() for c in value[end - length:end])
                 best = min(best, least[end - length] + cost + join * (1 + min(capitals, length - capitals)))
-        for length, alphabet in ((runs[end], 1.98), (walks[end], 1.98)):  # one of 95 characters to start with
-            for k in (length, length // 2):
-                if k >= 3:
-                    best = min(best, least[end - k] + alphabet + math.log10(k) + join)
+        for length in {run, walk}:
+            if length >= 3:   # one of 95 characters to start with, then how many
+                k = min(length, LOOK_BACK)
+                best = min(best, float((least[end - k:end - 2] + count_cost[LOOK_BACK - k:LOOK_BACK - 2]).min()) + 1.98 + join)
         for start in dates.get(end, ()):
             best = min(best, least[start] + math.log10(365 * 120 if end - start > 4 else 200) + join)
-        # a piece that the one before it repeats costs the count only
-        for k in range(2, min(end // 2, 32) + 1):
-            if low[end - k:end] == low[end - 2 * k:end - k]:
-                best = min(best, least[end - k] + join)
+        back = min(end - 1, LOOK_BACK)
+        if back >= 1:        # a piece that the one before it repeats costs the count only
+            equal = codes[end - 1 - back:end - 1][::-1] == codes[end - 1]
+            same[:back] = np.where(equal, same[:back] + 1, 0)
+            whole = np.flatnonzero(same[1:back] >= lengths[1:back]) + 2
+            if len(whole):
+                best = min(best, float(least[end - whole].min()) + join)
         least[end] = best
-    return least[n]
+    return float(least[n])
 
 
 FOUND = ("row long, doc_id long, base array<struct<kind:string,start:int,end:int>>, "
-         "asked array<struct<start:int,end:int,value:string>>")
+         "asked array<struct<start:int,end:int,value:string,free:boolean>>")
 
 
 def found_rows(batches):
     base_kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    asked_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())]))
+    asked_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("free", pa.bool_())]))
     row = TaskContext.get().partitionId() << 36
     for batch, texts in slices(batches):
         base = [base_spans(t) for t in texts]
-        asked = [values(t, b) for t, b in zip(texts, base)]
+        asked = [costed(t, b) for t, b in zip(texts, base)]
         yield pa.record_batch([
             pa.array(range(row, row + len(texts)), pa.int64()), batch.column(0),
             pa.array([[dict(zip(("kind", "start", "end"), s)) for s in b] for b in base], base_kind),
-            pa.array([[dict(zip(("start", "end", "value"), s)) for s in a] for a in asked], asked_kind)],
+            pa.array([[dict(zip(("start", "end", "value", "free"), s)) for s in a] for a in asked], asked_kind)],
             names=["row", "doc_id", "base", "asked"])
         row += len(texts)
 
 
 def part_rows(batches):
-    """Each value with those of its parts that can be words."""
+    """The parts of each value that can be words, with the value's digest: a block of starts at a time."""
     for batch in batches:
-        for value in batch.column(0).to_pylist():
+        for digest, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             low = value.lower()
-            parts = {low[i:i + n] for n in WORD_LENGTHS for i in range(len(low) - n + 1)}
-            parts = [p for p in parts if p.isalpha()] or [""]
-            yield pa.record_batch([pa.array([value] * len(parts)), pa.array(parts)], names=["value", "word"])
+            for first in range(0, len(low), PART_STARTS):
+                parts = {low[i:i + n] for i in range(first, min(first + PART_STARTS, len(low))) for n in WORD_LENGTHS if i + n <= len(low)}
+                parts = sorted(p for p in parts if p.isalpha())
+                if parts:
+                    yield pa.record_batch([pa.array([digest] * len(parts)), pa.array(parts)], names=["digest", "word"])
 
 
 def cost_rows(batches):
     for batch in batches:
         rows = batch.to_pylist()
-        yield pa.record_batch([pa.array([r["value"] for r in rows], pa.string()),
-                               pa.array([guess_cost(r["value"], {w["word"]: w["cost"] for w in r["words"]}) for r in rows], pa.float64())],
-                              names=["value", "cost"])
+        yield pa.record_batch([pa.array([r["digest"] for r in rows], pa.string()),
+                               pa.array([guess_cost(r["value"], {w["word"]: w["cost"] for w in r["words"] or ()}) for r in rows], pa.float64())],
+                              names=["digest", "cost"])
 
 
 def find_secrets(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans) of every row: spans by start, then kind as listed; code points, end exclusive."""
+    """(doc_id, spans, costs) of every row: spans by start, then kind as listed; code points, end exclusive.
+
+    `costs` has (start, end, cost) of every credential value, also of those in an assign span.
+    """
     rows = id_text(docs, id_col, text_col)
     found = written(map_rows(rows, found_rows, FOUND), "found", TEXTS)
-    asked = found.select("row", F.explode("asked").alias("a")).select("row", "a.start", "a.end", "a.value")
-    parts = written(map_rows(asked.select("value").distinct(), part_rows, "value string, word string"), "parts")
+    asked = found.select("row", F.explode("asked").alias("a")).select("row", "a.start", "a.end", "a.free", F.sha2("a.value", 256).alias("digest"), "a.value")
+    asked = written(asked, "asked")
+    one = written(asked.groupBy("digest").agg(F.min("value").alias("value")), "values")
+    parts = written(map_rows(one.select("digest", "value"), part_rows, "digest string, word string").distinct(), "parts", TEXTS)
     words = (rows.select(F.explode(F.split(F.lower("text"), "[^\\p{L}]+")).alias("word"))
              .filter(F.length("word").between(min(WORD_LENGTHS), max(WORD_LENGTHS)))
              .groupBy("word").agg(F.count("*").alias("n")))
     if parts.isEmpty():
-        costs = parts.select("value", F.lit(0.0).alias("cost"))
+        known = parts.select("digest", F.array().cast("array<struct<word:string,cost:double>>").alias("words"))
     else:
         counts = written(words, "counts")
         total = float(counts.agg(F.sum("n")).first()[0] or 1)
-        known = (parts.join(counts, "word", "left")
-                 .withColumn("word", F.when(F.col("n").isNotNull(), F.struct("word", F.log10(total / F.col("n")).alias("cost"))))
-                 .groupBy("value").agg(F.collect_list("word").alias("words")))
-        costs = map_rows(known.select("value", "words"), cost_rows, "value string, cost double")
-    more = (asked.join(costs.filter(F.col("cost") >= least), "value").groupBy("row")
-            .agg(F.collect_set(F.struct(F.lit("value").alias("kind"), "start", "end")).alias("more")))
+        known = (join_hot(parts, counts, "word").groupBy("digest")
+                 .agg(F.collect_list(F.struct("word", F.log10(total / F.col("n")).alias("cost"))).alias("words")))
+    costs = written(map_rows(one.join(known, "digest", "left").select("digest", "value", "words"), cost_rows, "digest string, cost double"), "costs", TEXTS)
+    priced = join_hot(asked.drop("value"), costs, "digest")
+    more = priced.groupBy("row").agg(
+        F.collect_set(F.when(F.col("free") & (F.col("cost") >= least), F.struct(F.lit("value").alias("kind"), "start", "end"))).alias("more"),
+        F.array_sort(F.collect_set(F.struct("start", "end", "cost"))).alias("costs"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     place = F.create_map(*(F.lit(x) for i, k in enumerate((*KINDS, "value")) for x in (k, i)))
 
@@ -174,4 +209,5 @@ def find_secrets(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id",
                                                      s["kind"].alias("kind"), F.lit(base).alias("base")))
     spans = F.array_sort(F.concat(tagged(F.col("base"), True), tagged(F.coalesce("more", none), False)))
     return found.join(more, "row", "left").select("doc_id", F.transform(
-        spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base"))).alias("spans"))
+        spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base"))).alias("spans"),
+        F.coalesce("costs", F.array().cast("array<struct<start:int,end:int,cost:double>>")).alias("costs"))

@@ -130,3 +130,54 @@ def test_marginals_against_all_labellings():
     # with a loop it is near
     skips = [(0, 2), (1, 3)]
     assert np.abs(field.labels(nodes, words, skips) - by_enumeration(field, nodes, words, skips)).max() < 0.1
+
+
+def plain_cost(value, words):
+    """The least cost over all cuts, each piece costed by itself."""
+    from itertools import combinations
+    from math import log10
+    low, n, join = value.lower(), len(value), log10(2)
+    pool = log10(max(10, 26 * any(map(str.islower, value)) + 26 * any(map(str.isupper, value)) + 10 * any(map(str.isdigit, value))
+                     + 33 * any(not c.isalnum() for c in value)))
+
+    def piece(a, b):
+        k, out = b - a, []
+        part = low[a:b]
+        if k == 1:
+            out.append(pool)
+        if k in secrets.WORD_LENGTHS and part in words:
+            capitals = sum(map(str.isupper, value[a:b]))
+            out.append(words[part] + join * (1 + min(capitals, k - capitals)))
+        if k >= 3 and (len(set(part)) == 1 or all(part[i:i + 2] in secrets.BESIDE for i in range(k - 1))):
+            out.append(1.98 + log10(k) + join)
+        if k >= 2 and low[a - k:a] == part and a >= k:
+            out.append(join)
+        if value[a:b].isdigit() and k == 4 and value[a:a + 2] in ("19", "20"):
+            out.append(log10(200) + join)
+        m = secrets.DATE.match(value, a)
+        if m and m.end() == b:
+            out.append(log10(365 * 120 if k > 4 else 200) + join)
+        return min(out, default=float("inf"))
+    cuts = [(0, *c, n) for k in range(n) for c in combinations(range(1, n), k)]
+    return min(sum(piece(a, b) for a, b in zip(c, c[1:])) for c in cuts)
+
+
+@settings(max_examples=150, deadline=None)
+@given(s.lists(s.sampled_from(["a", "A", "b", "1", "qwe", "19", "1999", "12", "aa", "abc", "-", "x"]), min_size=1, max_size=6).map("".join).filter(lambda v: len(v) <= 10))
+def test_guess_cost_against_all_cuts(value):
+    words = {"abc": 2.0, "aab": 1.5, "bax": 3.0}
+    assert abs(secrets.guess_cost(value, words) - plain_cost(value, words)) < 1e-9
+
+
+def test_long_values(spark):
+    """A value of a million letters behind a credential word, and one that repeats itself."""
+    import random
+    r = random.Random(1)
+    long = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    texts = [f"login: {long}", "password=" + "xy" * 20_000, "login: " + "a" * 30_000, "login: short7", "the words are here"]
+    got = {g.doc_id: g for g in secrets.find_secrets(frame(spark, texts)).collect()}
+    assert [(c.start, c.end) for c in got[0].costs] == [(7, 7 + len(long))] and got[0].costs[0].cost > 1000
+    assert [(x.kind, x.base) for x in got[0].spans] == [("value", False)]
+    assert [(x.kind, x.start, x.end) for x in got[1].spans] == [("assign", 0, 9 + 40_000)] and [c.start for c in got[1].costs] == [9]
+    assert got[1].costs[0].cost < got[0].costs[0].cost / 100 and got[2].costs[0].cost < 300
+    assert len(got[3].costs) == 1 and got[4].costs == []
