@@ -67,8 +67,8 @@ def values(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int,
 
 
 def costed(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str, bool]]:
-    """(start, end, value, free) of the credential values of a text: those behind credential words, free if they
-    touch no span of a pattern, and those of the assign spans."""
+    """(start, end, value, free) of the credential values of a text, those behind credential words and those of the
+    assign spans; free are those that touch no span of a pattern."""
     low = text.lower()
     if not any(stem in low for stem in STEMS):
         return []
@@ -78,10 +78,10 @@ def costed(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int,
         s, e = m.start(1), m.start(1) + len(value)
         while at < len(taken) and taken[at][1] <= s:
             at += 1
-        if len(value) >= 6 and (at == len(taken) or taken[at][0] >= e):
-            out.append((s, e, value, True))
+        if len(value) >= 6:
+            out.append((s, e, value, at == len(taken) or taken[at][0] >= e))
     out += [(*m.span(2), m[2], False) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    return sorted(out)
+    return sorted(set(out))
 
 
 def guess_cost(value: str, words: dict[str, float]) -> float:
