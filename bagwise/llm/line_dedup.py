@@ -14,8 +14,11 @@ Equal sets are one class with its first line. What passes is verified on the
 words of the whole lines.
 
 A line needs one earlier match only. So each line is first verified against
-the earliest that passes, and only lines which that doesn't settle against all
-others that pass: many near copies of one line stay as many pairs.
+the earliest that passes. Lines which that doesn't settle meet again in their
+tiles, with no other lines than those that passed the filters beside a line of
+several candidates; there they carry their words, are compared until one
+matches, and leave a tile as one row at most. Words of lines beyond `CARRIED`
+words aren't carried: pairs that hold such a line are verified by joins.
 
 Defined cases: null and empty texts have no lines to remove; a document that
 loses all its lines has none left; rows that share an id count as one
@@ -31,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bagwise.llm.common import TEXTS, discard, id_text, map_rows, slices, written
-from bagwise.llm.ngram_join import mix, word_hashes
+from bagwise.llm.ngram_join import mix, overlap, word_hashes
 
 #: A word counts as frequent from this share of all words on: fewer than 1 / FREQUENT words can be.
 FREQUENT = 1e-5
 BLOCK = 1 << 20
+#: Longer lines have too many tiles to take their words along.
+CARRIED = 64
 HIGH = np.uint64(1 << 63)
 
 
@@ -114,15 +119,22 @@ def sketches(words: np.ndarray, starts: np.ndarray, n: np.ndarray):
             np.add.reduceat(mix(spread + np.uint64(1)), starts, dtype=np.uint64))
 
 
-def unpacked(parity: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """The sketches' widths, and for each width the sketches folded to it (parities add up)."""
-    width = np.array([len(p) // 8 for p in parity], np.int64)
+def unpacked(parity: pa.Array) -> np.ndarray:
+    """A sketch in each row, filled up with zeros."""
+    offsets = np.frombuffer(parity.buffers()[1], np.int32)[parity.offset:parity.offset + len(parity) + 1]
     full = np.zeros((len(parity), 8), np.uint64)
-    full[np.arange(8) < width[:, None]] = np.frombuffer(b"".join(parity), np.uint64)
+    if offsets[-1] > offsets[0]:
+        data = np.frombuffer(parity.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        full[np.arange(8) < (np.diff(offsets) // 8)[:, None]] = np.ascontiguousarray(data).view(np.uint64)
+    return full
+
+
+def folds(full: np.ndarray) -> dict[int, np.ndarray]:
+    """For each width the sketches folded to it (parities add up)."""
     folded = {8: full}
     for w in (4, 2, 1):
         folded[w] = folded[2 * w][:, :w] ^ folded[2 * w][:, w:]
-    return width, folded
+    return folded
 
 
 LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("hi", pa.int64()),
@@ -148,6 +160,7 @@ def line_rows(percent: int, frequent: tuple[np.ndarray, np.ndarray]):
 
 
 PAIRS = "doc_id long, line int, by_doc long, by_line int, more boolean"
+NAMES = ["doc_id", "line", "by_doc", "by_line", "more"]
 BY_TILE = ["tile", "n", "place", "parity", "doc_id", "line"]
 
 
@@ -155,7 +168,8 @@ def whole_tiles(batches, columns: list[str]):
     """Arrays of whole tiles, some thousand rows at a time; rows come sorted by tile."""
     carry = None
     for batch in batches:
-        now = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in columns]
+        now = [batch.column(batch.schema.get_field_index(c)) for c in columns]
+        now = [unpacked(x) if c == "parity" else x.to_numpy(zero_copy_only=False) for c, x in zip(columns, now)]
         if carry is not None:
             now = [np.concatenate([a, b]) for a, b in zip(carry, now)]
         if not len(now[0]):
@@ -169,14 +183,14 @@ def whole_tiles(batches, columns: list[str]):
         yield carry
 
 
-def passing(tile: np.ndarray, n: np.ndarray, place: np.ndarray, parity: list[bytes], percent: int):
+def passing(tile: np.ndarray, n: np.ndarray, place: np.ndarray, parity: np.ndarray, percent: int):
     """Pairs of rows of a tile that pass the filters, in blocks; rows come sorted by tile, then size.
 
     Each round compares all rows with the row `step` behind; a row leaves when that
     one is of another tile or too large, so the work follows the admitted pairs.
     """
     upper, place, n = place < 0, np.abs(place) - 1, n.astype(np.int64)
-    width, folded = unpacked(parity)
+    width, folded = width_of(n), folds(parity)
     at, step = np.arange(len(tile)), 0
     while len(at):
         step += 1
@@ -197,34 +211,72 @@ def passing(tile: np.ndarray, n: np.ndarray, place: np.ndarray, parity: list[byt
             yield i, j
 
 
-def earlier_rows(percent: int, all_of_them: bool):
-    """Of each line the earliest earlier line that passes the filters, or of open lines all that do."""
-    names = ["doc_id", "line", "by_doc", "by_line", "more"]
+def in_tiles(columns: list[np.ndarray], percent: int):
+    """Rows in the order of `passing`, and (late, early) of its pairs; a step has a row as late once at most."""
+    order = np.lexsort((columns[1], columns[0]))
+    rows = [x[order] for x in columns]
+    tile, n, place, parity, doc, line = rows[:6]
+    in_order = np.lexsort((line, doc))
+    rank = np.empty(len(n), np.int64)
+    rank[in_order] = np.arange(len(n))
+
+    def pairs():
+        for i, j in passing(tile, n, place, parity, percent):
+            for late, early in ((i, j), (j, i)):
+                good = (rank[late] > rank[early]) & ((doc[late] != doc[early]) | (line[late] != line[early]))
+                yield late[good], early[good]
+    return rows, rank, in_order, pairs()
+
 
+def earlier_rows(percent: int):
+    """Of each line in a tile the earliest earlier line that passes the filters, and whether more do.
+
+    Rows without a line `by_doc` name those that pass beside a line of several.
+    """
     def run(batches):
-        for columns in whole_tiles(batches, BY_TILE + ["open"] * all_of_them):
-            order = np.lexsort((columns[1], columns[0]))
-            tile, n, place, parity, doc, line = (x[order] for x in columns[:6])
-            in_order = np.lexsort((line, doc))
-            rank = np.empty(len(n), np.int64)
-            rank[in_order] = np.arange(len(n))
+        for columns in whole_tiles(batches, BY_TILE):
+            (_, n, _, _, doc, line), rank, in_order, pairs = in_tiles(columns, percent)
             best, number = np.full(len(n), len(n)), np.zeros(len(n), np.int64)
-            for i, j in passing(tile, n, place, parity, percent):
-                for late, early in ((i, j), (j, i)):  # no row is twice among these
-                    good = (rank[late] > rank[early]) & ((doc[late] != doc[early]) | (line[late] != line[early]))
-                    late, early = late[good], early[good]
-                    if all_of_them:
-                        good = columns[6][order][late]
-                        late, early = late[good], early[good]
-                        if len(late):
-                            yield pa.record_batch([doc[late], line[late], doc[early], line[early], np.zeros(len(late), bool)], names=names)
-                    else:
-                        best[late] = np.minimum(best[late], rank[early])
-                        number[late] += 1
-            if not all_of_them:
-                late = np.flatnonzero(number)
-                early = in_order[best[late]]
-                yield pa.record_batch([doc[late], line[late], doc[early], line[early], number[late] > 1], names=names)
+            seen, beside = np.zeros(len(n), np.int64), np.zeros(len(n), bool)
+            for late, early in pairs:
+                best[late] = np.minimum(best[late], rank[early])
+                new = number[late] == 0
+                seen[late[new]] = early[new]
+                beside[early[~new]] = True
+                number[late] += 1
+            beside[seen[number > 1]] = True
+            late = np.flatnonzero(number)
+            early = in_order[best[late]]
+            if len(late):
+                yield pa.record_batch([doc[late], line[late], doc[early], line[early], number[late] > 1], names=NAMES)
+                some = np.flatnonzero(beside)
+                none = pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int32())
+                yield pa.record_batch([pa.array(doc[some]), pa.array(line[some]), *none, pa.array(np.ones(len(some), bool))], names=NAMES)
+    return run
+
+
+def settled_rows(percent: int):
+    """Of open lines in a tile: those that an earlier line matches, without `by_doc`, and the pairs that hold a line without words."""
+    def run(batches):
+        for columns in whole_tiles(batches, [*BY_TILE, "open", "words"]):
+            (_, n, _, _, doc, line, still, words), _, _, pairs = in_tiles(columns, percent)
+            still, matched, a, b = still.copy(), np.zeros(len(n), bool), [], []
+            long = n > CARRIED
+            for late, early in pairs:
+                late, early = late[still[late]], early[still[late]]
+                known = ~(long[late] | long[early])
+                a.append(late[~known])
+                b.append(early[~known])
+                for x, y in zip(late[known].tolist(), early[known].tolist()):
+                    same = overlap(words[x], words[y])
+                    if same * 100 >= (int(n[x]) + int(n[y]) - same) * percent:
+                        still[x], matched[x] = False, True
+            some = np.flatnonzero(matched)
+            a, b = (np.concatenate([*c, np.zeros(0, np.int64)]) for c in (a, b))
+            for late, by_doc, by_line in ((some, pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int32())), (a, doc[b], line[b])):
+                if len(late):
+                    yield pa.record_batch([pa.array(doc[late]), pa.array(line[late]), pa.array(by_doc), pa.array(by_line),
+                                           pa.array(np.zeros(len(late), bool))], names=NAMES)
     return run
 
 
@@ -237,7 +289,7 @@ def wanted_rows(batches):
             own = text.split("\n")
             hashes, counts = word_hashes([own[k] if k < len(own) else "" for k in lines])
             for k, part in zip(lines, np.split(hashes, np.cumsum(counts)[:-1])):
-                rows.append((doc_id, k, np.unique(part).view(np.int64)))
+                rows.append((doc_id, k, np.unique(part.view(np.int64))))
         yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                                pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "line", "words"])
 
@@ -248,11 +300,14 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     frequent = frequent_words(rows)
     lines = written(map_rows(rows, line_rows(percent, frequent),
                              "doc_id long, line int, n int, hi long, lo long, parity binary, keys array<long>"), "lines", TEXTS)
-    classes = written(lines.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "line")).alias("first"),
+    # the smallest struct is the first line's, with all that its tiles need
+    classes = written(lines.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "line", "n", "parity", "keys")).alias("first"),
                                                     F.count("*").alias("copies")), "classes")
-    firsts = classes.select("hi", "lo", "first.doc_id", "first.line")
-    copies = (lines.select("doc_id", "line", "hi", "lo").join(classes.filter("copies > 1"), ["hi", "lo"])
-              .filter("doc_id != first.doc_id or line != first.line").select("doc_id", "line").distinct())
+    several = classes.filter("copies > 1").select("hi", "lo", F.col("first.doc_id").alias("by_doc"), F.col("first.line").alias("by_line"))
+    copies = written(lines.select("doc_id", "line", "hi", "lo").join(several, ["hi", "lo"])
+                     .filter("doc_id != by_doc or line != by_line").select("doc_id", "line").distinct(), "copies")
+    discard(lines)
+    first_of_class = classes.select("first.*")
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9)
     # a rare word is one tile; a frequent one has a tile for each two neighbouring size bands,
     # where a negative place marks the upper band, whose own pairs belong to the next tile
@@ -260,45 +315,53 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     tiles = F.when(F.col("key") >= 0, F.array(F.struct(F.col("key").alias("tile"), place.alias("place")))).otherwise(
         F.array(F.struct(F.xxhash64("key", band).alias("tile"), place.alias("place")),
                 F.struct(F.xxhash64("key", band - 1).alias("tile"), (-place).alias("place"))))
-    first_of_class = written(lines.join(firsts, ["hi", "lo", "doc_id", "line"], "left_semi").drop("hi", "lo"), "firsts")
-    copies = written(copies, "copies")
-    discard(lines)
-    discard(classes)
 
-    def tiled(some: DataFrame) -> DataFrame:
-        return (some.select("doc_id", "line", "n", "parity", F.posexplode("keys").alias("place", "key"))
-                .select("doc_id", "line", "n", "parity", F.explode(tiles).alias("t"))
-                .select("t.tile", "n", "t.place", "parity", "doc_id", "line"))
+    def tiled(some: DataFrame, *more: str) -> DataFrame:
+        return (some.select("doc_id", "line", "n", "parity", *more, F.posexplode("keys").alias("place", "key"))
+                .select("doc_id", "line", "n", "parity", *more, F.explode(tiles).alias("t"))
+                .select("t.tile", "n", "t.place", "parity", "doc_id", "line", *more))
 
     def dealt(these: DataFrame) -> DataFrame:
         return these.repartition("tile").sortWithinPartitions("tile")
 
+    def with_words(some: DataFrame) -> DataFrame:
+        """(doc_id, line, words) of the lines (doc_id, line)."""
+        wanted = some.groupBy("doc_id").agg(F.collect_set("line").alias("wanted"))
+        return written(map_rows(rows.join(wanted, "doc_id").select("doc_id", "text", "wanted"), wanted_rows,
+                                "doc_id long, line int, words array<long>"), "words", TEXTS)
+
     def verified(pairs: DataFrame) -> DataFrame:
         """(doc_id, line) of those that match."""
-        both = pairs.select("doc_id", "line").unionAll(pairs.select(F.col("by_doc").alias("doc_id"), F.col("by_line").alias("line")))
-        wanted = both.groupBy("doc_id").agg(F.collect_set("line").alias("wanted"))
-        words = written(map_rows(rows.join(wanted, "doc_id").select("doc_id", "text", "wanted"), wanted_rows,
-                                 "doc_id long, line int, words array<long>"), "words", TEXTS)
+        words = with_words(pairs.select("doc_id", "line").unionAll(pairs.select(*theirs)))
         by = words.select(F.col("doc_id").alias("by_doc"), F.col("line").alias("by_line"), F.col("words").alias("by_words"))
         same = F.size(F.array_intersect("words", "by_words"))
         return (pairs.join(words, ["doc_id", "line"]).join(by, ["by_doc", "by_line"])
                 .filter(same * 100 >= (F.size("words") + F.size("by_words") - same) * percent)
                 .select("doc_id", "line").distinct())
 
-    first = written(map_rows(dealt(tiled(first_of_class)), earlier_rows(percent, False), PAIRS)
-                    .groupBy("doc_id", "line").agg(F.min(F.struct("by_doc", "by_line")).alias("by"),
-                                                   F.max("more").alias("more"), F.max(F.struct("by_doc", "by_line")).alias("last"))
+    theirs = F.col("by_doc").alias("doc_id"), F.col("by_line").alias("line")
+    pairs = written(map_rows(dealt(tiled(first_of_class)), earlier_rows(percent), PAIRS).distinct(), "pairs")
+    late = pairs.filter("by_doc is not null")
+    first = written(late.groupBy("doc_id", "line")
+                    .agg(F.min(F.struct("by_doc", "by_line")).alias("by"), F.max("more").alias("more"), F.max(F.struct("by_doc", "by_line")).alias("last"))
                     .select("doc_id", "line", "by.by_doc", "by.by_line", (F.col("more") | (F.col("by") != F.col("last"))).alias("more")), "first")
     gone = written(copies.unionAll(verified(first)), "gone")
+    discard(copies)
     unsettled = written(first.filter("more").join(gone, ["doc_id", "line"], "left_anti").select("doc_id", "line"), "unsettled")
     if not unsettled.isEmpty():
-        theirs = written(tiled(first_of_class.join(unsettled, ["doc_id", "line"], "left_semi")), "theirs")
-        others = tiled(first_of_class).join(theirs.select("tile").distinct(), "tile", "left_semi").select(*BY_TILE)
-        flagged = others.withColumn("open", F.lit(False)).unionAll(theirs.withColumn("open", F.lit(True)))
-        rest = written(map_rows(dealt(flagged), earlier_rows(percent, True), PAIRS)
-                       .join(first.select("doc_id", "line", "by_doc", "by_line"), ["doc_id", "line", "by_doc", "by_line"], "left_anti")
-                       .select("doc_id", "line", "by_doc", "by_line").distinct(), "rest")
-        gone = gone.unionAll(verified(rest))
+        beside = (pairs.filter("by_doc is null").select("doc_id", "line")
+                  .unionAll(late.join(unsettled, ["doc_id", "line"], "left_semi").select(*theirs)))
+        members = written(beside.withColumn("open", F.lit(False)).unionAll(unsettled.withColumn("open", F.lit(True)))
+                          .groupBy("doc_id", "line").agg(F.max("open").alias("open")), "members")
+        short = first_of_class.join(members, ["doc_id", "line"])
+        words = with_words(short.filter(F.col("n") <= CARRIED).select("doc_id", "line"))
+        rest = written(map_rows(dealt(tiled(short.join(words, ["doc_id", "line"], "left"), "open", "words")), settled_rows(percent), PAIRS)
+                       .distinct(), "rest")
+        found = rest.filter("by_doc is null").select("doc_id", "line")
+        open_pairs = rest.filter("by_doc is not null").join(found.distinct(), ["doc_id", "line"], "left_anti").drop("more")
+        gone = gone.unionAll(found)
+        if not open_pairs.isEmpty():
+            gone = gone.unionAll(verified(open_pairs))
     return gone.distinct()
 
 

@@ -108,6 +108,24 @@ def test_line_dedup(spark, odd, rng):
     assert line_dedup.duplicate_lines(odd.limit(0)).count() == 0
 
 
+def test_line_dedup_settles_many_candidates(spark, rng):
+    """Variants of one line around the threshold, a third of all lines: first candidates often fail, others match."""
+    texts = []
+    for length in (12, 60, 90):  # the last ones' words aren't carried into the tiles
+        words = [f"w{length}x{i}" for i in range(length)]
+        for _ in range(120):
+            copy = list(words)
+            for at in rng.sample(range(length), rng.randrange(length // 5)):
+                copy[at] = f"v{rng.randrange(60)}"
+            texts.append(" ".join(copy))
+    texts += [prose(rng, 9) for _ in range(300)]
+    rng.shuffle(texts)
+    docs = ["\n".join(texts[i:i + 3]) for i in range(0, len(texts), 3)]
+    want = plain_line_dedup(list(enumerate(docs)))
+    assert 100 < len(want) < len(texts)
+    assert {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(frame(spark, docs)).collect()} == want
+
+
 def test_nn_descent(spark):
     r = np.random.default_rng(3)
     rows, x, labels = [], [], []
