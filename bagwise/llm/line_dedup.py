@@ -211,21 +211,22 @@ def passing(tile: np.ndarray, n: np.ndarray, place: np.ndarray, parity: np.ndarr
             yield i, j
 
 
+def before(doc: np.ndarray, line: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (doc[a] < doc[b]) | ((doc[a] == doc[b]) & (line[a] < line[b]))
+
+
 def in_tiles(columns: list[np.ndarray], percent: int):
     """Rows in the order of `passing`, and (late, early) of its pairs; a step has a row as late once at most."""
     order = np.lexsort((columns[1], columns[0]))
     rows = [x[order] for x in columns]
     tile, n, place, parity, doc, line = rows[:6]
-    in_order = np.lexsort((line, doc))
-    rank = np.empty(len(n), np.int64)
-    rank[in_order] = np.arange(len(n))
 
     def pairs():
         for i, j in passing(tile, n, place, parity, percent):
             for late, early in ((i, j), (j, i)):
-                good = (rank[late] > rank[early]) & ((doc[late] != doc[early]) | (line[late] != line[early]))
+                good = before(doc, line, early, late)
                 yield late[good], early[good]
-    return rows, rank, in_order, pairs()
+    return rows, pairs()
 
 
 def earlier_rows(percent: int):
@@ -235,18 +236,19 @@ def earlier_rows(percent: int):
     """
     def run(batches):
         for columns in whole_tiles(batches, BY_TILE):
-            (_, n, _, _, doc, line), rank, in_order, pairs = in_tiles(columns, percent)
-            best, number = np.full(len(n), len(n)), np.zeros(len(n), np.int64)
-            seen, beside = np.zeros(len(n), np.int64), np.zeros(len(n), bool)
+            (_, n, _, _, doc, line), pairs = in_tiles(columns, percent)
+            best, seen, number = (np.zeros(len(n), np.int64) for _ in range(3))
+            beside = np.zeros(len(n), bool)
             for late, early in pairs:
-                best[late] = np.minimum(best[late], rank[early])
                 new = number[late] == 0
+                better = new | before(doc, line, early, best[late])
+                best[late[better]] = early[better]
                 seen[late[new]] = early[new]
                 beside[early[~new]] = True
                 number[late] += 1
             beside[seen[number > 1]] = True
             late = np.flatnonzero(number)
-            early = in_order[best[late]]
+            early = best[late]
             if len(late):
                 yield pa.record_batch([doc[late], line[late], doc[early], line[early], number[late] > 1], names=NAMES)
                 some = np.flatnonzero(beside)
@@ -259,7 +261,7 @@ def settled_rows(percent: int):
     """Of open lines in a tile: those that an earlier line matches, without `by_doc`, and the pairs that hold a line without words."""
     def run(batches):
         for columns in whole_tiles(batches, [*BY_TILE, "open", "words"]):
-            (_, n, _, _, doc, line, still, words), _, _, pairs = in_tiles(columns, percent)
+            (_, n, _, _, doc, line, still, words), pairs = in_tiles(columns, percent)
             still, matched, a, b = still.copy(), np.zeros(len(n), bool), [], []
             long = n > CARRIED
             for late, early in pairs:
@@ -269,7 +271,7 @@ def settled_rows(percent: int):
                 b.append(early[~known])
                 for x, y in zip(late[known].tolist(), early[known].tolist()):
                     same = overlap(words[x], words[y])
-                    if same * 100 >= (int(n[x]) + int(n[y]) - same) * percent:
+                    if same * 100 >= (len(words[x]) + len(words[y]) - same) * percent:
                         still[x], matched[x] = False, True
             some = np.flatnonzero(matched)
             a, b = (np.concatenate([*c, np.zeros(0, np.int64)]) for c in (a, b))
@@ -324,15 +326,8 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     def dealt(these: DataFrame) -> DataFrame:
         return these.repartition("tile").sortWithinPartitions("tile")
 
-    def with_words(some: DataFrame) -> DataFrame:
-        """(doc_id, line, words) of the lines (doc_id, line)."""
-        wanted = some.groupBy("doc_id").agg(F.collect_set("line").alias("wanted"))
-        return written(map_rows(rows.join(wanted, "doc_id").select("doc_id", "text", "wanted"), wanted_rows,
-                                "doc_id long, line int, words array<long>"), "words", TEXTS)
-
     def verified(pairs: DataFrame) -> DataFrame:
         """(doc_id, line) of those that match."""
-        words = with_words(pairs.select("doc_id", "line").unionAll(pairs.select(*theirs)))
         by = words.select(F.col("doc_id").alias("by_doc"), F.col("line").alias("by_line"), F.col("words").alias("by_words"))
         same = F.size(F.array_intersect("words", "by_words"))
         return (pairs.join(words, ["doc_id", "line"]).join(by, ["by_doc", "by_line"])
@@ -342,6 +337,11 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     theirs = F.col("by_doc").alias("doc_id"), F.col("by_line").alias("line")
     pairs = written(map_rows(dealt(tiled(first_of_class)), earlier_rows(percent), PAIRS).distinct(), "pairs")
     late = pairs.filter("by_doc is not null")
+    # all words that are asked for below, in one reading of the texts
+    wanted = written(pairs.select("doc_id", "line").unionAll(late.select(*theirs))
+                     .groupBy("doc_id").agg(F.collect_set("line").alias("wanted")), "wanted")
+    words = written(map_rows(rows.join(wanted, "doc_id").select("doc_id", "text", "wanted"), wanted_rows,
+                             "doc_id long, line int, words array<long>"), "words", TEXTS)
     first = written(late.groupBy("doc_id", "line")
                     .agg(F.min(F.struct("by_doc", "by_line")).alias("by"), F.max("more").alias("more"), F.max(F.struct("by_doc", "by_line")).alias("last"))
                     .select("doc_id", "line", "by.by_doc", "by.by_line", (F.col("more") | (F.col("by") != F.col("last"))).alias("more")), "first")
@@ -353,10 +353,9 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                   .unionAll(late.join(unsettled, ["doc_id", "line"], "left_semi").select(*theirs)))
         members = written(beside.withColumn("open", F.lit(False)).unionAll(unsettled.withColumn("open", F.lit(True)))
                           .groupBy("doc_id", "line").agg(F.max("open").alias("open")), "members")
-        short = first_of_class.join(members, ["doc_id", "line"])
-        words = with_words(short.filter(F.col("n") <= CARRIED).select("doc_id", "line"))
-        rest = written(map_rows(dealt(tiled(short.join(words, ["doc_id", "line"], "left"), "open", "words")), settled_rows(percent), PAIRS)
-                       .distinct(), "rest")
+        few = (first_of_class.join(members, ["doc_id", "line"]).join(words, ["doc_id", "line"])
+               .withColumn("words", F.when(F.col("n") <= CARRIED, F.col("words"))))
+        rest = written(map_rows(dealt(tiled(few, "open", "words")), settled_rows(percent), PAIRS).distinct(), "rest")
         found = rest.filter("by_doc is null").select("doc_id", "line")
         open_pairs = rest.filter("by_doc is not null").join(found.distinct(), ["doc_id", "line"], "left_anti").drop("more")
         gone = gone.unionAll(found)
