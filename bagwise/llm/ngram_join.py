@@ -10,7 +10,12 @@ n-gram is a key.
 1. Within a key, sorted by size, each set is paired with the first set that
    its size admits: links by stars, as many pairs as rows at most.
 2. Where a key still joins several components, tiles of neighbouring size
-   bands compare the sets of different components, all of them.
+   bands compare the sets of different components, all of them. A pair counts
+   only in the tile of the first key it shares, as far as the `LEAD` first keys
+   of both show that. A tile names each set's best partner, so it leaves as many
+   pairs as rows at most. Linked sets are one component then, and the tiles that
+   had more to name are compared again, until a round links less than half of
+   its pairs; what is left there is named whole.
 
 A pair has to pass a bound first: a bitmap holds for each bit the parity of
 the n-grams that hash there, so differing bits of two bitmaps are at most the
@@ -40,6 +45,9 @@ FREQUENT = 1 / 500
 #: ... and it is looked for in blocks of about so many n-grams.
 BLOCK = 1 << 20
 
+#: The first keys of a set that go along into its tiles.
+LEAD = 4
+
 ODD = np.uint64(0x9E3779B97F4A7C15)
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -228,37 +236,85 @@ def star_rows(percent: int):
     return run
 
 
-def admitted(bits: np.ndarray, n: np.ndarray, own: bytes, own_n: int, percent: int) -> np.ndarray:
-    """Of bitmaps (rows of uint8, the same width as own), those whose bound on the intersection suffices."""
+def most_shared(bits: np.ndarray, n: np.ndarray, own: bytes, own_n: int) -> np.ndarray:
+    """Of bitmaps (rows of uint8, the same width as own), the most n-grams that both sets can hold."""
     differ = np.bitwise_count(bits ^ np.frombuffer(own, np.uint8)).sum(axis=1)
-    both = n.astype(np.int64) + own_n
-    most = (both - differ) // 2
-    return 100 * most >= percent * (both - most)
+    return (n.astype(np.int64) + own_n - differ) // 2
+
+
+def admitted(bits: np.ndarray, n: np.ndarray, own: bytes, own_n: int, percent: int) -> np.ndarray:
+    """Those whose bound on the intersection suffices."""
+    most = most_shared(bits, n, own, own_n)
+    return 100 * most >= percent * (n.astype(np.int64) + own_n - most)
+
+
+def earlier_keys(key: int, lead: np.ndarray) -> np.ndarray:
+    """The first keys (a row of them for each set, 0 for none) that come before `key`; 0 in place of the others."""
+    found = lead == key
+    place = np.where(found.any(axis=1), found.argmax(axis=1), lead.shape[1])
+    return np.where(np.arange(lead.shape[1]) < place[:, None], lead, 0)
 
 
-def tile_rows(percent: int):
-    """Pairs of one tile, from different components, that size and bitmaps admit."""
+def met_before(earlier: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Of rows of earlier keys, those that share one with `own`: such a pair belongs to that key's tile."""
+    own = own[own != 0]
+    return (earlier[:, :, None] == own).any(axis=(1, 2)) if len(own) else np.zeros(len(earlier), bool)
+
+
+def tile_rows(percent: int, turn: int, whole: bool):
+    """Pairs of one tile, from different components, that size and bitmaps admit: each set's best, or all.
+
+    The best has the highest bound in the first turn; in later ones a hash chooses, so that a pair that
+    failed isn't named for ever. `key` is null in the rows of a tile that has named all its pairs.
+    """
+    names = ["tile", "key", "n", "rep", "component", "upper", "bits", *(f"lead{k}" for k in range(LEAD))]
+
     def run(batches):
-        for _, _, n, rep, component, upper, bits in runs(batches, ["tile", "key", "n", "rep", "component", "upper", "bits"]):
-            order = np.argsort(n, kind="stable")
-            n, rep, component, upper, bits = (x[order] for x in (n, rep, component, upper, bits))
+        for _, key, *columns in runs(batches, names):
+            order = np.argsort(columns[0], kind="stable")
+            n, rep, component, upper, bits, *lead = (x[order] for x in columns)
             if (component == component[0]).all():
                 continue
             width = min(len(b) for b in bits)
             flat = np.stack([folded(np.frombuffer(b, np.uint8), width) for b in bits])
-            a, b = [], []
-            for i in range(len(n) - 1):
-                end = int(np.searchsorted(n, int(n[i]) * 100 // percent, "right"))
-                if end <= i + 1:
-                    continue
-                other = (component[i + 1:end] != component[i]) & ~(upper[i + 1:end] & upper[i])
-                at = i + 1 + np.flatnonzero(other)
+            earlier = earlier_keys(int(key[0]), np.stack(lead, axis=1))
+            ends = np.searchsorted(n, n.astype(np.int64) * 100 // percent, "right")
+            best, partner, total, a, b = np.full(len(n), -1.0), np.zeros(len(n), np.int64), 0, [], []
+            for i in np.flatnonzero(ends > np.arange(len(n)) + 1).tolist():
+                at = np.arange(i + 1, int(ends[i]))
+                at = at[(component[at] != component[i]) & ~(upper[at] & upper[i])]
                 if len(at):
-                    at = at[admitted(flat[at], n[at], flat[i].tobytes(), int(n[i]), percent)]
-                    a.append(np.full(len(at), rep[i]))
-                    b.append(rep[at])
-            if a:
-                yield pa.record_batch([np.concatenate(a), np.concatenate(b)], names=["a", "b"])
+                    at = at[~met_before(earlier[at], earlier[i])]
+                if not len(at):
+                    continue
+                both = n[at].astype(np.int64) + int(n[i])
+                most = most_shared(flat[at], n[at], flat[i].tobytes(), int(n[i]))
+                good = 100 * most >= percent * (both - most)
+                at, total = at[good], total + int(good.sum())
+                if whole:
+                    a.append(np.full(len(at), i))
+                    b.append(at)
+                elif len(at):
+                    if turn:
+                        chance = mix(mix(rep[at].view(np.uint64) ^ np.uint64(turn)) ^ mix(rep[i:i + 1].view(np.uint64)))
+                        score = (chance >> np.uint64(11)).astype(np.float64)
+                    else:
+                        score = most[good] / both[good]
+                    better = score > best[at]
+                    best[at[better]], partner[at[better]] = score[better], i
+                    top = int(score.argmax())
+                    if score[top] > best[i]:
+                        best[i], partner[i] = score[top], at[top]
+            if not total:
+                continue
+            if whole:
+                x, y = rep[np.concatenate(a)], rep[np.concatenate(b)]
+            else:
+                some = np.flatnonzero(best >= 0)
+                x, y = rep[some], rep[partner[some]]
+            pairs = np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)], axis=1), axis=0)
+            named = pa.array(np.full(len(pairs), key[0])) if len(pairs) < total else pa.nulls(len(pairs), pa.int64())
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), named], names=["a", "b", "key"])
     return run
 
 
@@ -303,7 +359,8 @@ def ngram_jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
     classes = written(some.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
     first = some.join(classes.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi")
     first = first.withColumnRenamed("doc_id", "rep")
-    bits = written(first.select("rep", "n", "bits"), "bits")
+    lead = [F.coalesce(F.get("keys", F.lit(k)), F.lit(0)).alias(f"lead{k}") for k in range(LEAD)]
+    bits = written(first.select("rep", "n", "bits", *lead), "bits")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """(a, b) of those that link; the more frequent side is b, so that its set is made once."""
@@ -319,21 +376,38 @@ def ngram_jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
              .sortWithinPartitions("key", "n", "rep"))
     shared = written(map_rows(keyed, star_rows(percent), "key long, n int, rep long, leader long"), "shared")
     stars = linked(shared.filter("rep != leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
-    found = written(components(stars), "components")
-    grouped = (shared.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("key", "n", "rep", F.coalesce("component", "rep").alias("component")))
-    several = (grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-               .filter("low < high").select("key"))
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9)
-    tiles = (grouped.join(several, "key").join(bits.select("rep", "bits"), "rep")
-             .select("key", "n", "rep", "component", "bits",
-                     F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("upper")),
-                                       F.struct((band - 1).alias("band"), F.lit(True).alias("upper")))).alias("t"))
-             .select("key", F.xxhash64("key", "t.band").alias("tile"), "n", "rep", "component", "t.upper", "bits")
-             .repartition("tile").sortWithinPartitions("tile", "key", "n"))
-    more = written(map_rows(tiles, tile_rows(percent), "a long, b long").distinct(), "pairs")
-    if not more.isEmpty():
-        found = written(components(stars.unionAll(linked(more))), "components")
+    lead = [f"lead{k}" for k in range(LEAD)]
+
+    def tiles(open_rows: DataFrame, found: DataFrame) -> DataFrame:
+        """The sets of each key that joins several components, dealt by key and size band."""
+        grouped = (open_rows.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                   .select("key", "n", "rep", F.coalesce("component", "rep").alias("component")))
+        several = (grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                   .filter("low < high").select("key"))
+        return (grouped.join(several, "key").join(bits.select("rep", "bits", *lead), "rep")
+                .select("key", "n", "rep", "component", "bits", *lead,
+                        F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("upper")),
+                                          F.struct((band - 1).alias("band"), F.lit(True).alias("upper")))).alias("t"))
+                .select("key", F.xxhash64("key", "t.band").alias("tile"), "n", "rep", "component", "t.upper", "bits", *lead)
+                .repartition("tile").sortWithinPartitions("tile", "key", "n"))
+
+    links, open_rows, turn, whole = stars, shared.select("key", "n", "rep"), 0, False
+    while True:
+        found = written(components(links), "components")
+        named = written(map_rows(tiles(open_rows, found), tile_rows(percent, turn, whole), "a long, b long, key long"), "pairs")
+        pairs = written(named.select("a", "b").distinct(), "distinct")
+        n_pairs = pairs.count()
+        if not n_pairs:
+            break
+        more = linked(pairs)
+        links = links.unionAll(more)
+        left = named.filter("key is not null").select("key").distinct()
+        if whole or left.isEmpty():
+            found = written(components(links), "components")
+            break
+        open_rows = written(open_rows.join(left, "key", "left_semi"), "open")
+        whole, turn = 2 * more.count() < n_pairs, turn + 1
     named = (classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
              .select("hi", "lo", F.coalesce("component", "rep").alias("component_id")))
     return (sets.join(named, ["hi", "lo"], "left")

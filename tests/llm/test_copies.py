@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bagwise.llm import graph, imatch, line_dedup, ngram_join, nn_descent
@@ -61,6 +62,57 @@ def test_ngram_join(spark, odd, rng):
     assert ngram_join.ngram_jaccard_components(odd.limit(0)).count() == 0
 
 
+def variants(rng, length, n, most):
+    """Texts with changed words, mostly at two places each: many pairs near the threshold."""
+    words = [f"w{i}" for i in range(length)]
+    texts = []
+    for _ in range(n):
+        copy = list(words)
+        for at in rng.sample(range(length), rng.randrange(most)):
+            copy[at] = f"v{rng.randrange(40)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_ngram_join_on_a_dense_group(spark, rng):
+    """Many sets around one text: links and near misses by the square of the group."""
+    texts = variants(rng, 150, 90, 5) + variants(rng, 40, 60, 3) + [prose(rng, 50) for _ in range(10)]
+    sets = [grams(t, 4) for t in texts]
+    links = [(i, j) for j in range(len(sets)) for i in range(j)
+             if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    got = ngram_join.ngram_jaccard_components(frame(spark, texts), 4, 85).orderBy("doc_id").collect()
+    assert [g.component_id for g in got] == components(len(sets), links)
+
+
+def test_a_tile_names_its_pairs_once_and_few(rng):
+    sets = ngram_join.ngram_sets(variants(rng, 150, 60, 5), 4)
+    keys = [ngram_join.prefix(s, np.zeros(0, np.uint64), 85).view(np.int64) for s in sets]
+    tiles = {}
+    for rep, own in enumerate(keys):
+        for key in own.tolist():
+            tiles.setdefault(key, []).append(rep)
+
+    def rows(key, members):
+        lead = [np.array([keys[r][k] for r in members]) for k in range(ngram_join.LEAD)]
+        same = len(members)
+        return pa.record_batch([np.full(same, key), np.full(same, key), np.array([len(sets[r]) for r in members], np.int32), np.array(members),
+                                np.array(members), np.zeros(same, bool), pa.array([ngram_join.bitmap(sets[r]) for r in members]), *lead],
+                               names=["tile", "key", "n", "rep", "component", "upper", "bits", *(f"lead{k}" for k in range(ngram_join.LEAD))])
+    whole = []
+    for key, members in tiles.items():
+        for out in ngram_join.tile_rows(85, 0, True)(iter([rows(key, members)])):
+            assert out.column(2).null_count == len(out)
+            whole += zip(out.column(0).to_pylist(), out.column(1).to_pylist())
+        for turn in (0, 1):
+            few = [out for out in ngram_join.tile_rows(85, turn, False)(iter([rows(key, members)]))]
+            assert sum(map(len, few)) <= len(members)
+            assert {(a, b) for out in few for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())} <= set(whole)
+    links = {(j, i) for j in range(len(sets)) for i in range(j)
+             if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert links and links <= set(whole)
+    assert len(whole) <= 1.2 * len(set(whole))
+
+
 def test_bitmap_bound_never_drops_a_link(rng):
     r = np.random.default_rng(1)
     for _ in range(100):
