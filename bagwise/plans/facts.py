@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from bagwise.functions.tokens import token_rows, word_tokens
 from bagwise.operators import embeddings, features, folds
 from bagwise.operators import metrics as met
-from bagwise.operators import split
+from bagwise.operators import sketches, split
 from bagwise.operators.nearest import nearest_tokens
 from bagwise.plans import catalog, oracle
 from bagwise.plans import explain as xp
@@ -232,7 +232,17 @@ def q_f1_intervals(spark, sf_dir):
     return found.select("metric", *(F.round(c, 6).alias(c) for c in ("mean", "low", "high")))
 
 
+def q_class_sketches(spark, sf_dir):
+    """Sketches per (lang, source), stored and merged over the sources, beside exact values per lang."""
+    docs = tables.documents(spark, sf_dir, ["doc_id", "text", "lang", "source"])
+    bags = docs.select("lang", "source", word_tokens("text").alias("tokens"))
+    stored = materialize(sketches.bag_sketches(bags, ["lang", "source"]), "sketches")
+    found = sketches.estimates(sketches.merged(stored, ["lang"]), ["lang"])
+    return sketches.exact_beside(bags.select("lang", "tokens"), found, "lang")
+
+
 FACT_QUERIES = {
+    "class_sketches": q_class_sketches,
     "group_folds": q_group_folds,
     "observed_load": q_observed_load,
     "f1_intervals": q_f1_intervals,
@@ -324,6 +334,9 @@ r AS (SELECT replicate, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1,
 m AS (SELECT 'accuracy' AS metric, accuracy AS x FROM r UNION ALL SELECT 'macro_f1', macro_f1 FROM r UNION ALL SELECT 'weighted_f1', weighted_f1 FROM r)"""
 
 FACT_SQL = {
+    "class_sketches": oracle._with(oracle.DOC_BAGS) + """
+SELECT lang, count(*) AS n_bags, CAST(len(list_distinct(flatten(list(tokens)))) AS BIGINT) AS n_distinct_tokens,
+  true AS count_within, true AS sizes_within FROM doc_bags GROUP BY lang""",
     "group_folds": oracle._with(oracle.DOC_BAGS, oracle.DOC_SPLIT, oracle.TRAIN_BAGS,
                                 "g AS (SELECT list_sort(tokens) AS bag, lang, count(*) AS n FROM train_bags GROUP BY ALL)",
                                 "b AS (SELECT bag, sum(n) AS size, min_by(lang, (-n, lang)) AS lang FROM g GROUP BY bag)") + """
