@@ -161,16 +161,15 @@ def q_forest_votes(spark, sf_dir):
 
 def q_tree_level_weights(spark, sf_dir):
     """(max_depth, lang, weight): class weights of the leaves of one tree cut at each depth, those of all its rows."""
-    model = registry.tree_presence_model(spark, sf_dir)
-    names = mdl.indexer_of(model).labels
-    found = fo.level_weights(fo.node_table(model), range(registry.TREE_DEPTH + 1))
+    names, nodes = registry.tree_presence(spark, sf_dir)
+    found = fo.level_weights(nodes, range(registry.TREE_DEPTH + 1))
     return found.select(F.col("max_depth").cast("bigint").alias("max_depth"), F.element_at(F.array(*map(F.lit, names)), F.col("class") + 1).alias("lang"),
                         F.round("weight", 6).alias("weight"))
 
 
 def q_tree_root(spark, sf_dir):
     """L4: impurity, gain and rows of the root of one tree on token presence."""
-    nodes = fo.node_table(registry.tree_presence_model(spark, sf_dir))
+    _, nodes = registry.tree_presence(spark, sf_dir)
     return nodes.where("depth = 0").select(F.round("impurity", 9).alias("impurity"), F.round("gain", 9).alias("gain"),
                                            F.col("raw_count").alias("n_rows"))
 

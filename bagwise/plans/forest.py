@@ -18,14 +18,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bagwise.functions.tokens import token_rows
+from bagwise.operators.features import vocabulary
 from bagwise.session import materialize, scratch_path
 
 MAX_DEPTH = 30              # MLlib's own limit
 NODES_AT_ONCE = 1 << 20     # nodes that a task holds; larger forests take several passes
+EPSILON = 1e-12             # of an impurity: nodes below it are pure
+DIGITS = 12                 # gains that are equal in so many are equal
 CELLS = 1 << 22             # feature values of a chunk of rows in a task
 
 
@@ -62,6 +66,78 @@ def _with_depth(nodes: DataFrame) -> DataFrame:
     return nodes.join(known.select("tree", "node", "depth"), ["tree", "node"])
 
 
+def _gini(weights) -> float:
+    total = sum(weights)
+    return 1.0 - sum((w / total) ** 2 for w in weights) if total > 0 else 0.0
+
+
+def presence_tree(rows: DataFrame, n_classes: int, max_depth: int, bag_col: str = "tokens", label: str = "label", weight: str = "weight") -> DataFrame:
+    """The `node_table` of one tree on token presence: of each node the best split by Gini impurity, over all its rows and tokens.
+
+    MLlib's fit holds every row with a number for each token of its vocabulary,
+    and looks for splits in a sample of the rows. Here a level is one grouped
+    aggregation of the tokens that the rows have; what lacks a token follows
+    from the node's sums. A row's place follows from the splits above it, so
+    rows aren't written again. Of equal gains the token first in the vocabulary
+    splits. As in MLlib a split has rows on both sides and a gain, and leaves
+    of one parent with one prediction are merged. At most 2 ** max_depth nodes
+    reach the driver.
+    """
+    spark = rows.sparkSession
+    words = materialize(vocabulary(rows, bag_col).select("idx", "token"), "words")
+    base = materialize(rows.select(F.col(label).cast("int").alias("label"), F.col(weight).cast("double").alias("weight"), F.array_distinct(bag_col).alias("bag")), "bags")
+    per_class = [F.sum(F.when(F.col("label") == c, F.col("weight")).otherwise(0.0)).alias(f"in_{c}") for c in range(n_classes)]
+    first = base.agg(F.count(F.lit(1)), *per_class).first()
+    stats, count, splits = {1: list(first[1:])}, {1: first[0]}, {}     # children of node k: 2k has no token, 2k + 1 has it
+
+    def place(node: int) -> Column:
+        if node not in splits:
+            return F.lit(node)
+        return F.when(F.array_contains("bag", splits[node]["token"]), place(2 * node + 1)).otherwise(place(2 * node))
+    for depth in range(max_depth):
+        still = [k for k in stats if k.bit_length() == depth + 1 and _gini(stats[k]) > EPSILON]
+        if not still:
+            break
+        nodes = spark.createDataFrame([(k, count[k], [float(w) for w in stats[k]]) for k in still], "node int, n long, of array<double>")
+        inside = (token_rows(base.withColumn("node", place(1)).where(F.col("node").isin(still)), "bag", keep=["node", "label", "weight"])
+                  .groupBy("node", "token").agg(*per_class, F.count(F.lit(1)).alias("held")))
+        own, other = [F.col(f"in_{c}") for c in range(n_classes)], [F.col("of")[c] - F.col(f"in_{c}") for c in range(n_classes)]
+        total_in, total_out, total = sum(own), sum(other), sum(F.col("of")[c] for c in range(n_classes))
+
+        def impurity(weights, of):
+            return 1.0 - sum((w / of) * (w / of) for w in weights)
+        gain = impurity([F.col("of")[c] for c in range(n_classes)], total) - total_in / total * impurity(own, total_in) - total_out / total * impurity(other, total_out)
+        scored = (inside.join(F.broadcast(nodes), "node").where((F.col("held") < F.col("n")) & (total_in > 0) & (total_out > 0))
+                  .select("node", "token", "held", F.array(*own).alias("inside"), gain.alias("gain")).where(F.round("gain", DIGITS) > 0))
+        best = (scored.join(words, "token").groupBy("node")
+                .agg(F.max(F.struct(F.round("gain", DIGITS).alias("rounded"), (-F.col("idx")).alias("less"), "token", "gain", "held", "inside")).alias("best")))
+        for row in best.select("node", "best.*").collect():
+            k = row["node"]
+            splits[k] = {"token": row["token"], "feature": -row["less"], "gain": row["gain"]}
+            stats[2 * k], stats[2 * k + 1] = [a - b for a, b in zip(stats[k], row["inside"])], list(row["inside"])
+            count[2 * k], count[2 * k + 1] = count[k] - row["held"], row["held"]
+
+    def predicted(node: int) -> int:
+        return max(range(n_classes), key=lambda c: round(stats[node][c] / (sum(stats[node]) or 1.0), DIGITS))  # of equal ones the first
+    for k in sorted(splits, reverse=True):  # children have larger numbers
+        if 2 * k not in splits and 2 * k + 1 not in splits and predicted(2 * k) == predicted(2 * k + 1):
+            del splits[k]
+    order, out = {}, []
+
+    def number(k: int) -> None:
+        order[k] = len(order)
+        if k in splits:
+            number(2 * k)
+            number(2 * k + 1)
+    number(1)
+    for k, node in order.items():
+        split = splits.get(k)
+        out.append((0, node, k.bit_length() - 1, order[2 * k] if split else None, order[2 * k + 1] if split else None, split and split["feature"],
+                    0.5 if split else None, split and split["gain"], _gini(stats[k]), [float(w) for w in stats[k]], count[k], float(predicted(k))))
+    return spark.createDataFrame(out, "tree int, node int, depth int, left int, right int, feature int, threshold double, gain double, "
+                                      "impurity double, stats array<double>, raw_count long, prediction double")
+
+
 def node_importances(nodes: DataFrame) -> DataFrame:
     """(feature_idx, importance) of the features that split a node.
 

@@ -108,14 +108,13 @@ def rf_counts_reference_model(spark, sf_dir):
         mdl.random_forest(st.RF_NUM_TREES, st.RF_MAX_DEPTH)))
 
 
-def tree_presence_model(spark, sf_dir):
-    """One tree on token presence: no bootstrap and no drawn features, so its root can be computed from the table."""
+def tree_presence(spark, sf_dir):
+    """(names, nodes): one tree on token presence, its root can be computed from the table; and the class names."""
     def make():
         prep = prepared(spark, sf_dir)
-        present = st.count_vectorizer_from(prep.train, "tokens").setBinary(True)
-        pipe = mdl.Pipeline(stages=[st.label_indexer(prep.class_col, "label"), present,
-                                    mdl.random_forest(1, TREE_DEPTH).setBootstrap(False)])
-        return mdl.fit(pipe, prep.train)
+        indexer = st.label_indexer(prep.class_col, "label").fit(prep.train)
+        names = list(indexer.labels)
+        return names, fo.presence_tree(indexer.transform(prep.train), len(names), TREE_DEPTH)
     return _cached(spark, sf_dir, "tree_presence", make)
 
 

@@ -116,3 +116,30 @@ def test_categorical_splits_are_refused(spark):
     df = VectorIndexer(inputCol="v", outputCol="features", maxCategories=4).fit(df).transform(df)
     with pytest.raises(ValueError):
         fo.node_table(mdl.random_forest(2, 2, None, seed=1).fit(df))
+
+
+def test_presence_tree_is_that_of_mllib(prep):
+    """Node by node: MLlib's splits of a few rows come from all of them, as the table's do at any size."""
+    from bagwise.plans import stages as st
+    indexer = st.label_indexer("lang", "label").fit(prep.train)
+    front = mdl.Pipeline(stages=[st.label_indexer("lang", "label"), st.count_vectorizer_from(prep.train, "tokens").setBinary(True),
+                                 mdl.random_forest(1, 4).setBootstrap(False)])
+    want = {r["node"]: r for r in fo.node_table(mdl.fit(front, prep.train)).collect()}
+    got = {r["node"]: r for r in fo.presence_tree(indexer.transform(prep.train), len(indexer.labels), 4).collect()}
+    assert got.keys() == want.keys() and len(got) > 3
+    for node, r in got.items():
+        assert all(r[c] == want[node][c] for c in ("depth", "left", "right", "feature", "threshold", "raw_count"))
+        assert r["prediction"] == want[node]["prediction"] or node == 0   # the root's weights are equal, but for their sums' last digits
+        assert np.allclose(r["stats"], want[node]["stats"]) and abs(r["impurity"] - want[node]["impurity"]) < 1e-9
+        assert (r["gain"] is None) == (want[node]["gain"] is None) and (r["gain"] is None or abs(r["gain"] - want[node]["gain"]) < 1e-9)
+
+
+def test_presence_tree_sees_all_rows(spark):
+    """A token of two rows in 12,000 that alone parts the classes: MLlib's sample of the rows hardly has it, and its vocabulary is bounded."""
+    rows = [(float(i < 2), 1.0, ["x"] * (i % 3) + (["rare"] if i < 2 else [])) for i in range(12000)] + [(0.0, 1.0, None), (0.0, 1.0, [])]
+    df = spark.createDataFrame(rows, "label double, weight double, tokens array<string>")
+    got = fo.presence_tree(df, 2, 3).orderBy("node").collect()
+    assert len(got) == 3 and [r["raw_count"] for r in got] == [12002, 12000, 2]
+    assert [r["stats"] for r in got] == [[12000.0, 2.0], [12000.0, 0.0], [0.0, 2.0]] and got[0]["feature"] == 1
+    alike = spark.createDataFrame([(0.0, 1.0, ["a"]), (1.0, 1.0, ["a"])], df.schema)
+    assert len(fo.presence_tree(alike, 2, 3).collect()) == 1   # nothing parts these
