@@ -139,3 +139,40 @@ def test_blocks_far_away_are_skipped(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(["a"]), pa.array([x[:40].tobytes()], pa.binary())], names=["block", "matrix"])
     got = next(ne._wanted_rows(["a", "b"], centres, np.array([0.05, 0.05]), 10)(iter([batch]))).to_pylist()
     assert got == [{"block": "a", "wanted": ["a"]}]
+
+
+def test_hashed_pairs_stand_once_and_rare_tokens_leave(spark, monkeypatch):
+    """Few slots, so that rare tokens share one with frequent ones and go by the joins; and few pairs at a time."""
+    monkeypatch.setattr(em, "SLOT_BITS", 13)
+    monkeypatch.setattr(em, "PAIRS", 64)
+    rng = random.Random(8)
+    rows = bags(spark, rng) + [(1000 + i, [f"rare{i}x{j}" if j % 2 else "hot" for j in range(12)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(3)
+    pairs, words = em.hashed_cooccurrence(df, "tokens", 3, 2)
+    token = {r["h"]: r["token"] for r in words.collect()}
+    want = {p: n for p, n in plain_counts(rows, 3, 2).items()}
+    found = {(r[0], r[1]): r[2] for r in pairs.collect()}
+    assert len(found) == pairs.count() and all(a <= b for a, b in found)
+    assert {(token[a], token[b]): n * (2 if a == b else 1) for (a, b), n in found.items()}.items() <= want.items()
+    assert 2 * len(found) - sum(a == b for a, b in found) == len(want)
+    ratio = {(token[r[0]], token[r[1]]): r[2] for r in em.log_ratios(pairs, once=True).collect()}
+    of_all = ratios(want)
+    assert all(abs(of_all[p] - w) < 1e-9 for p, w in ratio.items()) and {frozenset(p) for p in ratio} == {frozenset(p) for p in of_all}
+
+
+def test_a_product_sends_a_vector_to_few_chunks(spark, monkeypatch):
+    """The product's rows are whole sums, one for each token: none is added up again in another exchange."""
+    monkeypatch.setattr(em, "CHUNK", 5)
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0, 1]), pa.array([np.array([1.0, 2.0]).tobytes(), np.array([3.0, 4.0]).tobytes(), np.array([1.0, 1.0]).tobytes()], pa.binary()),
+                                        pa.array([[0, 2], [2], [1]]), pa.array([[1.0, 10.0], [1.0], [5.0]])], names=["chunk", "vec", "tokens", "weights"])
+    got = [r for b in em._product_rows(2, 2, 3)(iter([batch])) for r in b.to_pylist()]
+    assert {r["idx"]: np.frombuffer(r["vec"], float).tolist() for r in got} == {0: [1.0, 2.0], 2: [13.0, 24.0], 1: [5.0, 5.0]} and len(got) == 3
+
+
+def test_written_tables_go(spark):
+    from bagwise.session import _WRITTEN, discard, materialize
+    table = materialize(spark.range(3), "t")
+    before = len(_WRITTEN)
+    discard(table)
+    assert len(_WRITTEN) == before - 1 and not any(table._written_to == p for p in _WRITTEN)
