@@ -139,14 +139,23 @@ def tfidf_terms(df: DataFrame, key: str, bag_col: str = "tokens",
                     (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 
-def count_vector_rows(df: DataFrame, key: str, bag_col: str = "tokens", from_idx: int = 0) -> DataFrame:
+def count_vector_rows(df: DataFrame, key: str, bag_col: str = "tokens", from_idx: int = 0, words: DataFrame | None = None) -> DataFrame:
     """M5 as a table: (key, idx, tf) with the numbers of the `vocabulary`, from `from_idx` on.
 
     MLlib's vectorizer keeps its vocabulary on the driver and so bounds it;
-    this table has no bound.
+    this table has no bound. `words`: the written vocabulary, if there is one.
+    The hot tokens are known from its counts: they are the first, so that none
+    is left beyond the share's number and the terms needn't be written.
     """
-    words = vocabulary(df, bag_col).where(F.col("idx") >= from_idx)
-    return join_hot(materialize(bag_term_counts(df, key, bag_col), "terms"), words, "token").select(key, "idx", "tf")
+    words = materialize(vocabulary(df, bag_col), "words") if words is None else words
+    total = words.agg(F.sum("count")).first()[0] or 0
+    hot = [r[0] for r in words.where(F.col("count") * HOT_SHARE > total).select("token").collect()]
+    terms, wanted = bag_term_counts(df, key, bag_col), words.where(F.col("idx") >= from_idx).select("idx", "token")
+    if from_idx >= HOT_SHARE:
+        found = terms.where(~F.col("token").isin(hot)).join(wanted, "token") if hot else terms.join(wanted, "token")
+    else:
+        found = join_hot(materialize(terms, "terms"), wanted, "token", hot=hot)
+    return found.select(key, "idx", "tf")
 
 
 def hashed_index(df: DataFrame, bag_col: str, num_features: int) -> DataFrame:

@@ -44,19 +44,21 @@ def entries(vector: str, value: str = "tf"):
 def q_count_vectors(spark, sf_dir):
     """M5 + M8: (doc_id, idx, tf) of the fitted vectorizer's vectors, and of the tokens beyond its vocabulary."""
     bags = catalog.doc_bags(spark, sf_dir)
-    model = st.count_vectorizer_from(bags, "tokens", vocab_size=VOCABULARY)
-    rest = features.count_vector_rows(bags, "doc_id", from_idx=VOCABULARY)
+    words = materialize(features.vocabulary(bags), "words")
+    model = st.count_vectorizer_from(bags, "tokens", vocab_size=VOCABULARY, words=words)
+    rest = features.count_vector_rows(bags, "doc_id", from_idx=VOCABULARY, words=words)
     return model.transform(bags).select("doc_id", entries("features")).unionByName(rest)
 
 
 def q_count_idf(spark, sf_dir):
     """M4 on counts: (idx, idf) of the fitted model, and of the tokens beyond its vocabulary."""
     bags = catalog.doc_bags(spark, sf_dir)
-    vectorizer = st.count_vectorizer_from(bags, "tokens", "tf", vocab_size=VOCABULARY)
+    words = materialize(features.vocabulary(bags), "words")
+    vectorizer = st.count_vectorizer_from(bags, "tokens", "tf", vocab_size=VOCABULARY, words=words)
     idf = st.idf("tf", "features").fit(vectorizer.transform(bags)).idf.toArray()
     fitted = spark.createDataFrame(pd.DataFrame({"idx": range(len(idf)), "idf": idf}), "idx long, idf double")
     n_docs = bags.select("doc_id").count()
-    rest = (features.count_vector_rows(bags, "doc_id", from_idx=VOCABULARY).groupBy("idx").agg(F.count("*").alias("df"))
+    rest = (features.count_vector_rows(bags, "doc_id", from_idx=VOCABULARY, words=words).groupBy("idx").agg(F.count("*").alias("df"))
             .select("idx", F.log(F.lit(n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
     return fitted.unionByName(rest).select("idx", F.round("idf", 6).alias("idf"))
 

@@ -12,6 +12,7 @@ from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel,
                                 HashingTF, IndexToString, StringIndexer,
                                 Word2Vec)
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from bagwise.operators.features import FREQUENCY_DESC, vocabulary
 
@@ -63,8 +64,8 @@ def count_vectorizer(bag_col: str, out: str = "features", vocab_size: int = 1 <<
 
 
 def count_vectorizer_from(train: DataFrame, bag_col: str, out: str = "features",
-                          vocab_size: int = 1 << 18) -> CountVectorizerModel:
-    """M5 + M8: a CountVectorizerModel whose vocabulary is the M8 table.
+                          vocab_size: int = 1 << 18, words: DataFrame | None = None) -> CountVectorizerModel:
+    """M5 + M8: a CountVectorizerModel whose vocabulary is the M8 table (`words`, if it is written already).
 
     The vocabulary is at most `vocab_size` tokens, the same bound MLlib puts
     on the list it keeps on the driver and ships to the tasks. It is
@@ -74,7 +75,8 @@ def count_vectorizer_from(train: DataFrame, bag_col: str, out: str = "features",
     """
     spark = train.sparkSession
     jvm = spark.sparkContext._jvm
-    jds = vocabulary(train, bag_col, vocab_size).orderBy("idx").select("token")._jdf
+    table = vocabulary(train, bag_col, vocab_size) if words is None else words.where(F.col("idx") < vocab_size)
+    jds = table.orderBy("idx").select("token")._jdf
     jarr = getattr(jds, "as")(jvm.org.apache.spark.sql.Encoders.STRING()).collect()
     model = CountVectorizerModel._create_from_java_class(
         "org.apache.spark.ml.feature.CountVectorizerModel", jarr)

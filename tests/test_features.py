@@ -94,3 +94,20 @@ def test_mllib_count_vectorizer_stage(spark):
     ours = {r["token"] for r in feat.vocabulary(b, vocab_size=50).collect()}
     # same top-50 except possibly for ties at the boundary count
     assert len(set(m.vocabulary) & ours) >= 45
+
+
+def test_count_vectors_of_a_written_vocabulary(spark):
+    """One vocabulary for the vectorizer and for the tokens beyond it; hot tokens come before the rest."""
+    import random
+    from collections import Counter
+
+    from bagwise.session import materialize
+    rng = random.Random(3)
+    rows = [(i, ["hot"] * rng.randrange(3) + [f"t{rng.randrange(1400)}" for _ in range(40)]) for i in range(150)] + [(150, []), (151, None)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    words = materialize(feat.vocabulary(df), "words")
+    idx = {r["token"]: r["idx"] for r in words.collect()}
+    for low in (0, 5, 1001):
+        got = {(r[0], r[1]): r[2] for r in feat.count_vector_rows(df, "doc_id", from_idx=low, words=words).collect()}
+        assert got == {(d, idx[t]): n for d, b in rows for t, n in Counter(b or ()).items() if idx[t] >= low}
+    assert st.count_vectorizer_from(df, "tokens", vocab_size=7, words=words).vocabulary == [t for t, i in sorted(idx.items(), key=lambda x: x[1]) if i < 7]
