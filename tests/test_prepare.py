@@ -89,3 +89,25 @@ def test_materialize_and_release(spark):
     assert os.path.exists(local)
     assert release(spark) >= 1
     assert not os.path.exists(local)
+
+
+def test_dedup_same_rows_whichever_keys_are_broadcast(spark):
+    rows = [(i if i % 7 else None, "a", [f"t{i % 11}"] if i % 2 else [f"u{i}"]) for i in range(120)] + [(5, "a", ["u2"]), (1, "a", None), (3, "a", None)]
+    df = spark.createDataFrame(rows, "id long, cls string, tokens array<string>").repartition(5)
+    found = [sorted(map(str, prepare.dedup_bags(df, "id", max_keys=m).collect())) for m in (1 << 20, 64, 0)]
+    assert found[0] == found[1] == found[2]
+    assert not any("id=None" in r for r in found[0])
+
+
+def test_dedup_leaves_the_bags_where_they_are(spark, tmp_path):
+    spark.createDataFrame([(i, "a", [f"t{i % 20}"]) for i in range(60)], "id long, cls string, tokens array<string>").write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as for tables above it
+    try:
+        for most in (1 << 20, 45):   # the kept keys (20), or the others (40)
+            plan = prepare.dedup_bags(spark.read.parquet(str(tmp_path / "t")), "id", max_keys=most)._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        plan = prepare.dedup_bags(spark.read.parquet(str(tmp_path / "t")), "id", max_keys=19)
+        assert sorted(r["id"] for r in plan.collect()) == list(range(20))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
