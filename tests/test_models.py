@@ -132,3 +132,25 @@ def test_features_of_bounded_fits_are_of_all_rows(spark, prep, monkeypatch):
     assert registry.rf_tfidf_model(spark, SF_SMALL).stages[2].numDocs == prep.train.count()
     words = {r[0] for r in registry.lr_w2v_model(spark, SF_SMALL).stages[1].getVectors().select("word").collect()}
     assert words == {r[0] for r in prep.train_all.select(F.explode("tokens")).distinct().collect()}
+
+
+def test_fit_rows_are_drawn_by_their_keys(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "ab"[i % 5 == 0], [f"t{i}"]) for i in range(400)], "doc_id long, lang string, tokens array<string>")
+    written = []
+    materialize = mdl.materialize
+    monkeypatch.setattr(mdl, "materialize", lambda df, *a: written.append(df.columns) or materialize(df, *a))
+    got = mdl.fit_rows(df, 20, "lang", "doc_id")
+    assert written == [["doc_id"], ["doc_id", "lang", "tokens"]]   # the bags of the drawn rows alone
+    assert got.columns == df.columns and got.groupBy("lang").count().collect() and got.count() == 20
+
+
+def test_hashed_counts_are_written_once(spark, prep, monkeypatch):
+    written = []
+    materialize = mdl.materialize
+    monkeypatch.setattr(mdl, "materialize", lambda df, *a: written.append(df.columns) or materialize(df, *a))
+    pipe = mdl.build_pipeline(mdl.FEATURES_TFIDF, mdl.logistic_regression(max_iter=5), prep.train_all, "lang", "tokens", num_features=500)
+    model = mdl.fit(pipe, prep.train_all)
+    assert written == [["doc_id", "lang", "label", "tf"]]
+    plain = pipe.fit(prep.train_all)
+    assert abs(mdl.training_accuracy(model) - mdl.training_accuracy(plain)) < 1e-9
+    assert abs(model.stages[-1].coefficientMatrix.toArray() - plain.stages[-1].coefficientMatrix.toArray()).max() < 1e-6
