@@ -154,3 +154,26 @@ def test_hashed_counts_are_written_once(spark, prep, monkeypatch):
     plain = pipe.fit(prep.train_all)
     assert abs(mdl.training_accuracy(model) - mdl.training_accuracy(plain)) < 1e-9
     assert abs(model.stages[-1].coefficientMatrix.toArray() - plain.stages[-1].coefficientMatrix.toArray()).max() < 1e-6
+
+
+def test_sweep_makes_the_features_once(spark, prep, monkeypatch):
+    args = (mdl.FEATURES_COUNTS, mdl.random_forest(5, 3, "weight", 42), prep.train, "lang", "tokens")
+    front = mdl.fit(mdl.Pipeline(stages=mdl.build_pipeline(*args, vocab_size=200).getStages()[:-1]), prep.train)
+    feats = tuning.materialize(front.transform(prep.train))
+    want = []
+    for depth in (3, 4):
+        model = mdl.PipelineModel(stages=front.stages + [mdl.random_forest(5, depth, "weight", 42).fit(feats)])
+        want.append({r["split"]: r["macro_f1"] for r in mdl.evaluate_splits(model, prep).collect()})
+    monkeypatch.setattr(mdl, "evaluate_splits", lambda *a: pytest.fail("features for each depth"))
+    got = tuning.depth_sweep(prep, mdl.FEATURES_COUNTS, (3, 4), 5, vocab_size=200).collect()
+    assert [r["max_depth"] for r in got] == [3, 4]
+    for row, scores in zip(got, want):
+        assert abs(row["train_macro_f1"] - scores["train"]) < 1e-12 and abs(row["valid_macro_f1"] - scores["valid"]) < 1e-12
+
+
+def test_grid_hashes_all_bags_in_one_pass(spark, prep, monkeypatch):
+    written = []
+    materialize = tuning.materialize
+    monkeypatch.setattr(tuning, "materialize", lambda df, name: written.append((name, df.columns)) or materialize(df, name))
+    tuning.grid_search_lr(prep, (50, 100), (0.1,), max_iter=2, n_folds=2)
+    assert written[1:] == [("hashed", ["label", "fold", "tf_50", "tf_100"])]
