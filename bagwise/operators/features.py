@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagwise.functions.tokens import token_rows
-from bagwise.operators.joins import HOT_SHARE, join_hot
+from bagwise.operators.joins import HOT_SHARE, MAX_BROADCAST_ROWS, join_hot
 from bagwise.operators.rank import ranked
 from bagwise.session import materialize
 
@@ -121,9 +121,9 @@ def tfidf_terms(df: DataFrame, key: str, bag_col: str = "tokens",
 
     The (key, token, tf) rows are written once, so the text is tokenized once.
     The idf table is joined back on the token, where some tokens are in every
-    bag: those with more than one in `share` rows are known from their document
-    frequencies (at most `share` tokens) and take a broadcast of their idf
-    rows; the other rows are shuffled, none of whose tokens is above the share.
+    bag: the most frequent, a bounded number that has all tokens with more than
+    one in `share` rows, take a broadcast of their idf rows; the rows of the
+    other tokens are shuffled, none of which is above the share.
     """
     terms = materialize(bag_term_counts(df, key, bag_col), "terms")
     n_docs = df.select(key).count()
@@ -132,11 +132,18 @@ def tfidf_terms(df: DataFrame, key: str, bag_col: str = "tokens",
                  F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + F.lit(1.0)))
                  ).otherwise(F.lit(0.0))
     idf_t = materialize(dfreq.withColumn("idf", idf), "idf")
-    rows = idf_t.agg(F.sum("doc_freq")).first()[0] or 0
-    hot = [r[0] for r in idf_t.where(F.col("doc_freq") * share > rows).select("token").collect()]
-    return (join_hot(terms, idf_t, "token", share=share, hot=hot)
-            .select(key, "token", "tf", "doc_freq", "idf",
-                    (F.col("tf") * F.col("idf")).alias("tfidf")))
+    # a row for each number of documents: tokens that are in so many or more
+    sizes = idf_t.groupBy("doc_freq").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("_n", F.sum("_n").over(Window.orderBy(F.desc("doc_freq"))))
+    least = sizes.where(F.col("_n") <= max(share, MAX_BROADCAST_ROWS)).agg(F.min("doc_freq")).first()[0]
+    if least is None:   # no tokens, or more than that bound in equally many documents each
+        found = terms.join(idf_t, "token")
+    else:
+        known = terms.join(F.broadcast(idf_t.where(F.col("doc_freq") >= F.lit(least))), "token", "left")
+        rest = known.where(F.col("idf").isNull()).select(*terms.columns).join(idf_t.where(F.col("doc_freq") < F.lit(least)), "token")
+        found = known.where(F.col("idf").isNotNull()).unionByName(rest)
+    return (found.select(key, "token", "tf", "doc_freq", "idf",
+                         (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 
 def count_vector_rows(df: DataFrame, key: str, bag_col: str = "tokens", from_idx: int = 0, words: DataFrame | None = None) -> DataFrame:

@@ -111,3 +111,16 @@ def test_count_vectors_of_a_written_vocabulary(spark):
         got = {(r[0], r[1]): r[2] for r in feat.count_vector_rows(df, "doc_id", from_idx=low, words=words).collect()}
         assert got == {(d, idx[t]): n for d, b in rows for t, n in Counter(b or ()).items() if idx[t] >= low}
     assert st.count_vectorizer_from(df, "tokens", vocab_size=7, words=words).vocabulary == [t for t, i in sorted(idx.items(), key=lambda x: x[1]) if i < 7]
+
+
+def test_tfidf_terms_of_frequent_tokens_are_broadcast(spark, monkeypatch):
+    rows = [(i, ["all", f"half{i % 2}", f"tenth{i % 10}", f"own{i}"]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    found = []
+    for most in (1000, 13, 2, 0):   # all tokens, those of six documents or more, the first, the first
+        monkeypatch.setattr(feat, "MAX_BROADCAST_ROWS", most)
+        found.append(sorted(map(tuple, feat.tfidf_terms(df, "doc_id", share=1).collect())))
+    assert len(found[0]) == 240 and all(f == found[0] for f in found)
+    alike = spark.createDataFrame([(i, [f"own{i}"]) for i in range(9)], "doc_id long, tokens array<string>")
+    assert feat.tfidf_terms(alike, "doc_id", share=1).count() == 9   # one frequency, above the bound
+    assert feat.tfidf_terms(alike.limit(0), "doc_id").count() == 0
