@@ -41,6 +41,11 @@ FREQUENT = 1e-5
 BLOCK = 1 << 20
 #: Longer lines have too many tiles to take their words along.
 CARRIED = 64
+#: Bits of the table of the lines that are verified: for each of them, and in all at most.
+SLOTS = 32
+BITS = 1 << 27
+#: Lines of a document, for one number of its id and a line's.
+LINE = 1 << 32
 HIGH = np.uint64(1 << 63)
 
 
@@ -216,9 +221,12 @@ def before(doc: np.ndarray, line: np.ndarray, a: np.ndarray, b: np.ndarray) -> n
 
 
 def in_tiles(columns: list[np.ndarray], percent: int):
-    """Rows in the order of `passing`, and (late, early) of its pairs; a step has a row as late once at most."""
-    order = np.lexsort((columns[1], columns[0]))
-    rows = [x[order] for x in columns]
+    """Rows in the order of `passing`, less those alone in their tile, and (late, early) of its pairs; a step has a row as late once at most."""
+    same = columns[0][1:] == columns[0][:-1]
+    some = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
+    of = np.cumsum(np.concatenate([[False], ~same]))[some] << 32  # number of the tile: one key to sort by, almost in order
+    some = some[np.argsort(of | columns[1][some], kind="stable")]
+    rows = [x[some] for x in columns]
     tile, n, place, parity, doc, line = rows[:6]
 
     def pairs():
@@ -282,18 +290,45 @@ def settled_rows(percent: int):
     return run
 
 
-def wanted_rows(batches):
-    """The sorted words of the wanted lines of each text."""
-    for batch, texts in slices(batches):
-        rows = []
-        wanted = batch.column(batch.schema.get_field_index("wanted")).to_pylist()
-        for doc_id, text, lines in zip(batch.column(0).to_pylist(), texts, wanted):
-            own = text.split("\n")
-            hashes, counts = word_hashes([own[k] if k < len(own) else "" for k in lines])
-            for k, part in zip(lines, np.split(hashes, np.cumsum(counts)[:-1])):
-                rows.append((doc_id, k, np.unique(part.view(np.int64))))
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                               pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "line", "words"])
+def slots(doc: np.ndarray, line: np.ndarray, bits: int) -> np.ndarray:
+    return mix(mix(doc.astype(np.int64).view(np.uint64)) + line.astype(np.uint64)) & np.uint64(bits - 1)
+
+
+def slot_rows(bits: int):
+    def run(batches):
+        for batch in batches:
+            at = slots(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits)
+            cell, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+            yield pa.record_batch([pa.array(cell), pa.array(bit.view(np.int64))], names=["cell", "bit"])
+    return run
+
+
+def slot_table(lines: DataFrame) -> np.ndarray:
+    """A bit table of lines (doc_id, line), `SLOTS` bits for each and `BITS` at most at any size; other lines share some of their bits."""
+    bits = min(BITS, max(1 << 16, 1 << (SLOTS * lines.count()).bit_length()))
+    found = map_rows(lines, slot_rows(bits), "cell long, bit long").groupBy("cell").agg(F.bit_or("bit").alias("bit")).toArrow()
+    table = np.zeros(bits >> 6, np.uint64)
+    table[found["cell"].to_numpy()] = found["bit"].to_numpy().view(np.uint64)
+    return table
+
+
+def wanted_rows(table: np.ndarray):
+    """The sorted words of the lines whose bits are set."""
+    def run(batches):
+        for batch, texts in slices(batches):
+            lines = [t.split("\n") for t in texts]
+            text_of = np.repeat(np.arange(len(texts)), [len(own) for own in lines])
+            line_of = np.concatenate([np.arange(len(own)) for own in lines])
+            doc = batch.column(0).to_numpy()[text_of]
+            at = slots(doc, line_of, len(table) << 6)
+            some = np.flatnonzero(table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1))
+            if len(some):
+                flat = [x for own in lines for x in own]
+                hashes, counts = word_hashes([flat[k] for k in some])
+                words = [np.unique(part.view(np.int64)) for part in np.split(hashes, np.cumsum(counts)[:-1])]
+                yield pa.record_batch([pa.array(doc[some], pa.int64()), pa.array(line_of[some], pa.int32()),
+                                       pa.array(words, pa.list_(pa.int64()))], names=["doc_id", "line", "words"])
+    return run
 
 
 def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,14 +337,18 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     frequent = frequent_words(rows)
     lines = written(map_rows(rows, line_rows(percent, frequent),
                              "doc_id long, line int, n int, hi long, lo long, parity binary, keys array<long>"), "lines", TEXTS)
-    # the smallest struct is the first line's, with all that its tiles need
-    classes = written(lines.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "line", "n", "parity", "keys")).alias("first"),
-                                                    F.count("*").alias("copies")), "classes")
-    several = classes.filter("copies > 1").select("hi", "lo", F.col("first.doc_id").alias("by_doc"), F.col("first.line").alias("by_line"))
+    # equal sets have equal keys; one number for a line's place lets Spark aggregate by hash, not by sorting
+    place = F.col("doc_id").cast("decimal(19,0)") * F.lit(LINE).cast("decimal(10,0)") + F.col("line").cast("decimal(10,0)")
+    by_line = F.pmod("first", F.lit(LINE).cast("decimal(10,0)"))
+    by_doc = F.expr(f"(first - by_line) div {LINE}bd")
+    classes = written(lines.groupBy("hi", "lo", "n", "parity", "keys").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+                      .withColumn("by_line", by_line).withColumn("by_doc", by_doc)
+                      .select("hi", "lo", F.col("by_doc").alias("doc_id"), F.col("by_line").cast("int").alias("line"), "n", "parity", "keys", "copies"), "classes")
+    several = classes.filter("copies > 1").select("hi", "lo", F.col("doc_id").alias("by_doc"), F.col("line").alias("by_line"))
     copies = written(lines.select("doc_id", "line", "hi", "lo").join(several, ["hi", "lo"])
                      .filter("doc_id != by_doc or line != by_line").select("doc_id", "line").distinct(), "copies")
     discard(lines)
-    first_of_class = classes.select("first.*")
+    first_of_class = classes.select("doc_id", "line", "n", "parity", "keys")
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9)
     # a rare word is one tile; a frequent one has a tile for each two neighbouring size bands,
     # where a negative place marks the upper band, whose own pairs belong to the next tile
@@ -337,11 +376,10 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     theirs = F.col("by_doc").alias("doc_id"), F.col("by_line").alias("line")
     pairs = written(map_rows(dealt(tiled(first_of_class)), earlier_rows(percent), PAIRS).distinct(), "pairs")
     late = pairs.filter("by_doc is not null")
-    # all words that are asked for below, in one reading of the texts
-    wanted = written(pairs.select("doc_id", "line").unionAll(late.select(*theirs))
-                     .groupBy("doc_id").agg(F.collect_set("line").alias("wanted")), "wanted")
-    words = written(map_rows(rows.join(wanted, "doc_id").select("doc_id", "text", "wanted"), wanted_rows,
-                             "doc_id long, line int, words array<long>"), "words", TEXTS)
+    # all words that are asked for below, in one reading of the texts, which stay where they are; the
+    # few further lines that share a bit find no partner in the joins
+    wanted = slot_table(pairs.select("doc_id", "line").unionAll(late.select(*theirs)))
+    words = written(map_rows(rows, wanted_rows(wanted), "doc_id long, line int, words array<long>"), "words", TEXTS)
     first = written(late.groupBy("doc_id", "line")
                     .agg(F.min(F.struct("by_doc", "by_line")).alias("by"), F.max("more").alias("more"), F.max(F.struct("by_doc", "by_line")).alias("last"))
                     .select("doc_id", "line", "by.by_doc", "by.by_line", (F.col("more") | (F.col("by") != F.col("last"))).alias("more")), "first")

@@ -80,7 +80,7 @@ def op9(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     gone = (line_dedup.duplicate_lines(docs).groupBy("doc_id")
             .agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("line")), ",").alias("lines")))
-    return (docs.select("doc_id", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"))
+    return (docs.select("doc_id", F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"))
             .join(gone, "doc_id", "left")
             .select("doc_id", "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("lines", F.lit("")).alias("removed_lines")))

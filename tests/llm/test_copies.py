@@ -178,6 +178,41 @@ def test_line_dedup_settles_many_candidates(spark, rng):
     assert {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(frame(spark, docs)).collect()} == want
 
 
+def test_line_dedup_leaves_texts_in_place(spark, rng, monkeypatch):
+    """Neither the texts nor sorted classes are exchanged, ids of any size stay whole, and a small bit table loses no line."""
+    pool = near_texts(rng, 12)
+    ids = [-(1 << 63), -5, -1, 0, 3, 1 << 40, (1 << 63) - 1]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(6))) for i in ids]
+    want = plain_line_dedup(docs)
+    assert want and len(want) < 6 * len(docs)
+    plans, written = {}, line_dedup.written
+
+    def noted(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return written(df, name, *rest)
+    monkeypatch.setattr(line_dedup, "written", noted)
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bits in (line_dedup.BITS, 64):
+            monkeypatch.setattr(line_dedup, "BITS", bits)
+            assert {(r.doc_id, r.line) for r in line_dedup.duplicate_lines(rows).collect()} == want
+            assert "Join" not in plans["words"]
+            assert "SortAggregate" not in plans["classes"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lone_rows_of_a_tile_are_left_out():
+    tile, n = np.array([1, 4, 4, 7, 9, 9, 9]), np.array([5, 6, 4, 5, 3, 3, 2], np.int32)
+    doc, none = np.arange(7), np.zeros(7, np.int64)
+    rows, _ = line_dedup.in_tiles([tile, n, none, np.zeros((7, 8), np.uint64), doc, none], 80)
+    assert rows[0].tolist() == [4, 4, 9, 9, 9] and rows[4].tolist() == [2, 1, 6, 4, 5]
+    rows, pairs = line_dedup.in_tiles([x[:1] for x in (tile, n, none, np.zeros((7, 8), np.uint64), doc, none)], 80)
+    assert not len(rows[0]) and not list(pairs)
+
+
 def test_nn_descent(spark):
     r = np.random.default_rng(3)
     rows, x, labels = [], [], []
