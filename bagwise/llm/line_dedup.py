@@ -37,7 +37,9 @@ from bagwise.llm.common import TEXTS, discard, id_text, map_rows, slices, writte
 from bagwise.llm.ngram_join import mix, overlap, word_hashes
 
 #: A word counts as frequent from this share of all words on: fewer than 1 / FREQUENT words can be.
-FREQUENT = 1e-5
+FREQUENT = 1e-6
+#: From this share on, the tiles of a frequent word are cut into bands of sizes.
+BANDED = 1e-5
 BLOCK = 1 << 20
 #: Longer lines have too many tiles to take their words along.
 CARRIED = 64
@@ -69,37 +71,37 @@ def frequent_rows(share: float):
     return run
 
 
-def frequent_words(rows: DataFrame, share: float = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the frequent words and their places by count, rarest first."""
+def frequent_words(rows: DataFrame, share: float = FREQUENT, banded: float = BANDED) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes of the frequent words, their places by count, rarest first, and the first place of a share of `banded`."""
     counted = written(map_rows(rows.select("text"), frequent_rows(share), "word long, n long")
                       .groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    found = counted.filter(F.col("n") >= max(4.0, share * total)).orderBy("n", "word")
-    words = np.array([r[0] for r in found.select("word").toLocalIterator()], np.int64).view(np.uint64)
+    found = counted.filter(F.col("n") >= max(4.0, share * total)).orderBy("n", "word").toArrow()
+    words = found["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
-    return words[order], order.astype(np.uint64)
+    return words[order], order.astype(np.uint64), int(np.searchsorted(found["n"].to_numpy(), max(4.0, banded * total)))
 
 
-def line_sets(texts: list[str], frequent: tuple[np.ndarray, np.ndarray]):
+def line_sets(texts: list[str], frequent: tuple[np.ndarray, np.ndarray, int]):
     """Of the lines that hold words: text, line, size, and all their words by rarity, flat."""
     lines = [t.split("\n") for t in texts]
     hashes, counts = word_hashes([x for own in lines for x in own])
     text_of = np.repeat(np.arange(len(texts)), [len(own) for own in lines])
     line_of = np.concatenate([np.arange(len(own)) for own in lines] or [np.zeros(0, np.int64)])
-    words = hashes >> np.uint64(1)
-    known, place = frequent
+    values, number = np.unique(hashes, return_inverse=True)  # a word's place is looked up once, however often it stands here
+    words = values >> np.uint64(1)
+    known, place, _ = frequent
     if len(known):
-        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        often = known[at] == hashes
+        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+        often = known[at] == values
         words = np.where(often, HIGH | place[at], words)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    order = np.argsort(words, kind="stable")
-    small = owner.astype(np.uint16) if len(counts) < 1 << 16 else owner  # sorted by digits then
-    order = order[np.argsort(small[order], kind="stable")]
-    words, owner = words[order], owner[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])
-    words, owner = words[new], owner[new]
+    words, rank = np.unique(words, return_inverse=True)
+    owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    both = np.sort(owner << np.uint64(32) | rank[number].astype(np.uint64))  # line, then rarity, in one number
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    both = both[new]
+    words, owner = words[both & np.uint64((1 << 32) - 1)], (both >> np.uint64(32)).astype(np.int64)
     sizes = np.bincount(owner, minlength=len(counts))
     some = np.flatnonzero(sizes)
     return text_of[some], line_of[some], sizes[some], words
@@ -146,7 +148,7 @@ LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32(
                    ("lo", pa.int64()), ("parity", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
 
-def line_rows(percent: int, frequent: tuple[np.ndarray, np.ndarray]):
+def line_rows(percent: int, frequent: tuple[np.ndarray, np.ndarray, int]):
     def run(batches):
         for batch, texts in slices(batches):
             text_of, line, n, words = line_sets(texts, frequent)
@@ -191,27 +193,33 @@ def whole_tiles(batches, columns: list[str]):
 def passing(tile: np.ndarray, n: np.ndarray, place: np.ndarray, parity: np.ndarray, percent: int):
     """Pairs of rows of a tile that pass the filters, in blocks; rows come sorted by tile, then size.
 
-    Each round compares all rows with the row `step` behind; a row leaves when that
-    one is of another tile or too large, so the work follows the admitted pairs.
+    Each row admits larger ones up to a size: by similarity, and by the words that it has
+    from the shared one on. So its partners are the rows behind it up to a place that is
+    looked up once, and a round compares all rows that have so many partners with the row
+    `step` behind: the work follows the admitted pairs.
     """
     upper, place, n = place < 0, np.abs(place) - 1, n.astype(np.int64)
+    most_n = (100 + percent) * (n - place) // percent - n                       # largest partner that the words left suffice for
+    of = np.cumsum(np.concatenate([[False], tile[1:] != tile[:-1]])) << 32
+    partners = np.searchsorted(of | n, of | np.clip(most_n, 0, 100 * n // percent), side="right") - np.arange(1, len(n) + 1)
+    order = np.argsort(-partners)
+    least, ends = n[order], np.sort(partners)
     width, folded = width_of(n), folds(parity)
-    at, step = np.arange(len(tile)), 0
-    while len(at):
-        step += 1
-        at = at[at + step < len(tile)]
-        other = at + step
-        at = at[(tile[at] == tile[other]) & (percent * n[other] <= 100 * n[at])]
-        other = at + step
-        both = n[at] + n[other]
-        need = -(-percent * both // (100 + percent))                            # least overlap
-        left = np.minimum(n[at] - place[at], n[other] - place[other])           # words from the shared one on
-        good = (left >= need) & ~(upper[at] & upper[other])
-        i, j, most = at[good], other[good], (both - 2 * need)[good]
-        for w in (1, 2, 4, 8):  # the narrow sketches first: few pairs are left for the wide ones
-            narrow = np.minimum(width[i], width[j]) < w
-            good = narrow | (np.bitwise_count(folded[w][i] ^ folded[w][j]).sum(axis=1, dtype=np.int64) <= most)
-            i, j, most = i[good], j[good], most[good]
+    narrowest = folded[1][:, 0].copy()
+    for step in range(1, int(ends[-1]) + 1 if len(ends) else 0):
+        at = order[:len(ends) - np.searchsorted(ends, step)]
+        good = np.flatnonzero(least[:len(at)] <= most_n[at + step])
+        i = at[good]
+        j = i + step
+        both = n[i] + n[j]
+        most = both - 2 * -(-percent * both // (100 + percent))                 # words beyond the least overlap
+        good = np.flatnonzero((np.bitwise_count(narrowest[i] ^ narrowest[j]) <= most) & ~(upper[i] & upper[j]))
+        i, j, most = i[good], j[good], most[good]
+        for w in (2, 4, 8):  # the narrow sketches first: few pairs are left for the wide ones
+            if len(i):
+                narrow = np.minimum(width[i], width[j]) < w
+                good = narrow | (np.bitwise_count(folded[w][i] ^ folded[w][j]).sum(axis=1, dtype=np.int64) <= most)
+                i, j, most = i[good], j[good], most[good]
         if len(i):
             yield i, j
 
@@ -350,10 +358,10 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     discard(lines)
     first_of_class = classes.select("doc_id", "line", "n", "parity", "keys")
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9)
-    # a rare word is one tile; a frequent one has a tile for each two neighbouring size bands,
+    # a word is one tile; a very frequent one has a tile for each two neighbouring size bands,
     # where a negative place marks the upper band, whose own pairs belong to the next tile
     place = F.col("place") + 1
-    tiles = F.when(F.col("key") >= 0, F.array(F.struct(F.col("key").alias("tile"), place.alias("place")))).otherwise(
+    tiles = F.when((F.col("key") >= 0) | (F.col("key") < frequent[2] - (1 << 63)), F.array(F.struct(F.col("key").alias("tile"), place.alias("place")))).otherwise(
         F.array(F.struct(F.xxhash64("key", band).alias("tile"), place.alias("place")),
                 F.struct(F.xxhash64("key", band - 1).alias("tile"), (-place).alias("place"))))
 

@@ -213,6 +213,39 @@ def test_lone_rows_of_a_tile_are_left_out():
     assert not len(rows[0]) and not list(pairs)
 
 
+def test_line_words_come_by_count(spark):
+    common, few, more = [f"x{k}" for k in range(40)], [f"w{k}" for k in range(10)], [f"v{k}" for k in range(10)]
+    texts = [" ".join(6 * few + 7 * more), *(" ".join(1000 * common) for _ in range(20))]  # of 800,130 words: shares below BANDED
+    known, place, banded = line_dedup.frequent_words(frame(spark, texts))
+    of = dict(zip(known.tolist(), place.tolist()))
+    rank = [[of[h] for h in line_dedup.word_hashes([w])[0].tolist()] for words in (few, more, common) for w in words]
+    assert sorted(rank[:10]) == [[k] for k in range(10)] and sorted(rank[10:20]) == [[k] for k in range(10, 20)]
+    assert banded == 20 and min(rank[20:]) == [20]
+
+
+def test_passing_names_the_admitted_pairs():
+    rng, size = np.random.default_rng(3), 400
+    tile, n = rng.integers(0, 8, size), rng.integers(1, 30, size)
+    order = np.lexsort((n, tile))
+    tile, n = tile[order], n[order]
+    place = rng.integers(0, n - -(-80 * n // 100) + 1) + 1
+    place = np.where(rng.random(size) < 0.3, -place, place)
+    parity = np.zeros((size, 8), np.uint64)
+    parity[:, 0] = np.uint64(1) << rng.integers(0, 3, size).astype(np.uint64)
+    got = [pair for i, j in line_dedup.passing(tile, n, place, parity, 80) for pair in zip(i.tolist(), j.tolist())]
+    want = set()
+    for i in range(size):
+        for j in range(i + 1, size):
+            need = -(-80 * int(n[i] + n[j]) // 180)
+            left = min(int(n[k]) - abs(int(place[k])) + 1 for k in (i, j))
+            differ = 0 if parity[i, 0] == parity[j, 0] else 2
+            if tile[i] == tile[j] and 80 * n[j] <= 100 * n[i] and left >= need and (place[i] > 0 or place[j] > 0) and differ <= n[i] + n[j] - 2 * need:
+                want.add((i, j))
+    assert want and len(got) == len(want) and set(got) == want
+    none = [x[:0] for x in (tile, n, place, parity)]
+    assert list(line_dedup.passing(*none, 80)) == []
+
+
 def test_nn_descent(spark):
     r = np.random.default_rng(3)
     rows, x, labels = [], [], []
