@@ -4,6 +4,7 @@ from collections import Counter
 from math import log
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,24 @@ def test_nearest_tokens(spark, monkeypatch, block, pivots):
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-8 for k in got)
 
 
+def test_a_tile_leaves_what_its_tokens_may_keep():
+    """Tokens of another block below a token's n-th best in its own block stay out; equal cosines rank by token."""
+    def unit(*degrees):
+        return np.array([[np.cos(np.radians(d)), np.sin(np.radians(d))] for d in degrees])
+
+    x, y = unit(0, 1, 40), unit(80, 39, 41, *[40] * 100)
+    names = ["o", "l", "m", *[f"z{k:03}" for k in range(99, -1, -1)]]
+    wanted = next(ne._wanted_rows(["X"], unit(13), np.array([1.0]), 2)(iter([pa.RecordBatch.from_arrays([pa.array(["X"]), pa.array([x.tobytes()])], names=["block", "matrix"])])))
+    floors = wanted.column(2)[0].as_py()
+    assert np.allclose(np.frombuffer(floors, float), np.cos(np.radians([40, 39, 40])))
+    tile = pa.RecordBatch.from_pydict({"same": [False], "tokens": [["a", "b", "c"]], "matrix": [x.tobytes()], "floors": [floors], "others": [names], "other": [y.tobytes()]})
+    got = {r["token"]: [(p["neighbour"], round(-p["less"], 6)) for p in r["near"]] for b in ne._tile_rows(2)(iter([tile])) for r in b.to_pylist()}
+    cos = {d: round(float(np.cos(np.radians(d))), 6) for d in (38, 39)}
+    assert got == {"a": [("l", cos[39]), ("z000", round(float(np.cos(np.radians(40))), 6))], "b": [("l", cos[38]), ("z000", cos[39])], "c": [("z000", 1.0), ("z001", 1.0)]}
+    far = pa.RecordBatch.from_pydict({"same": [False], "tokens": [["a", "b", "c"]], "matrix": [x.tobytes()], "floors": [floors], "others": [["o"]], "other": [unit(100).tobytes()]})
+    assert not list(ne._tile_rows(2)(iter([far])))
+
+
 def test_nearest_of_few(spark):
     empty = spark.createDataFrame([], "token string, vector array<double>")
     assert ne.nearest_tokens(empty).count() == 0
