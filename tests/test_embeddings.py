@@ -128,7 +128,7 @@ def test_a_tile_leaves_what_its_tokens_may_keep():
 
     x, y = unit(0, 1, 40), unit(80, 39, 41, *[40] * 100)
     names = ["o", "l", "m", *[f"z{k:03}" for k in range(99, -1, -1)]]
-    wanted = next(ne._wanted_rows(["X"], unit(13), np.array([1.0]), 2)(iter([pa.RecordBatch.from_arrays([pa.array(["X"]), pa.array([x.tobytes()])], names=["block", "matrix"])])))
+    wanted = next(ne._wanted_rows(["X"], unit(13), np.array([1.0]), 2, True)(iter([pa.RecordBatch.from_arrays([pa.array(["X"]), pa.array([x.tobytes()])], names=["block", "matrix"])])))
     floors = wanted.column(2)[0].as_py()
     assert np.allclose(np.frombuffer(floors, float), np.cos(np.radians([40, 39, 40])))
     tile = pa.RecordBatch.from_pydict({"same": [False], "tokens": [["a", "b", "c"]], "matrix": [x.tobytes()], "floors": [floors], "others": [names], "other": [y.tobytes()]})
