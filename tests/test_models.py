@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from bagwise.plans import catalog
 from bagwise.plans import explain as xp
+from bagwise.plans import forest as fo
 from bagwise.plans import models as mdl
 from bagwise.plans import tuning
 from conftest import SF_SMALL
@@ -177,3 +178,36 @@ def test_grid_hashes_all_bags_in_one_pass(spark, prep, monkeypatch):
     monkeypatch.setattr(tuning, "materialize", lambda df, name: written.append((name, df.columns)) or materialize(df, name))
     tuning.grid_search_lr(prep, (50, 100), (0.1,), max_iter=2, n_folds=2)
     assert written[1:] == [("hashed", ["label", "fold", "tf_50", "tf_100"])]
+
+
+def test_forests_see_all_training_rows(spark, monkeypatch):
+    """Every registered forest: its trees' roots hold the whole training table, drawn with replacement."""
+    from bagwise.plans import registry
+    rows = [(i, "ab"[i % 3 == 0], [f"t{i % 7}", f"u{i}", "b" if i % 3 == 0 else "a"]) for i in range(1500)]
+    small = mdl.prepare_training(spark.createDataFrame(rows, "doc_id long, lang string, tokens array<string>"), "doc_id", "lang")
+    assert small.train.count() == 1200
+    fitted, forest = [], mdl.random_forest
+    monkeypatch.setattr(mdl, "random_forest", lambda num_trees=3, max_depth=2, *a, **k: forest(3, 2, *a, **k))
+    monkeypatch.setattr(registry, "prepared", lambda *a: small)
+    monkeypatch.setattr(registry, "prepared_quality", lambda *a: small)
+    monkeypatch.setattr(registry, "_memo", {})
+    monkeypatch.setattr(registry.st, "W2V_RF", dict(vector_size=4, min_count=1, window_size=2, max_iter=1))
+    monkeypatch.setattr(registry.st, "COOC", dict(dims=4, window=2, min_count=2, rounds=2))
+    for make in (registry.rf_counts_model, registry.rf_tfidf_model, registry.rf_w2v_model, registry.rf_cooc_model, registry.rf_quality_model):
+        fitted.append(make(spark, SF_SMALL).stages[-1])
+    for model in fitted:
+        roots = fo.node_table(model).where("depth = 0").select("raw_count").collect()
+        assert len(roots) == 3 and all(1000 < r[0] < 1400 for r in roots)
+
+
+def test_sweeps_and_grid_fit_all_training_rows(spark, prep, monkeypatch):
+    from bagwise.plans import registry
+    drawn, fit_rows = [], mdl.fit_rows
+    monkeypatch.setattr(mdl, "fit_rows", lambda df, rows, *a: drawn.append(rows) or fit_rows(df, rows, *a))
+    monkeypatch.setattr(registry, "prepared", lambda *a: prep)
+    monkeypatch.setattr(registry.st, "W2V_RF", dict(vector_size=4, min_count=1, window_size=2, max_iter=1))
+    for depths in ("SWEEP_DEPTHS", "SWEEP_TFIDF_DEPTHS", "SWEEP_W2V_DEPTHS", "GRID_RF_DEPTHS"):
+        monkeypatch.setattr(registry, depths, (1,))
+    for query in (registry.q_depth_sweep, registry.q_depth_sweep_tfidf, registry.q_depth_sweep_w2v, registry.q_grid_search_rf):
+        query(spark, SF_SMALL)
+    assert len(drawn) == 6 and not any(drawn)
