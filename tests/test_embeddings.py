@@ -195,3 +195,19 @@ def test_written_tables_go(spark):
     before = len(_WRITTEN)
     discard(table)
     assert len(_WRITTEN) == before - 1 and not any(table._written_to == p for p in _WRITTEN)
+
+
+def test_a_product_has_as_many_chunks_as_cores_at_most(spark, monkeypatch):
+    """A vector goes to each chunk: their number follows the cores, not the tokens; and each has a partition of its own."""
+    cores = spark.sparkContext.defaultParallelism
+    made, product = [], em._product_rows
+    monkeypatch.setattr(em, "LEAST", 2)
+    monkeypatch.setattr(em, "_product_rows", lambda dims, chunks, tokens: made.append((chunks, tokens)) or product(dims, chunks, tokens))
+    n = 40 * cores
+    rows = [(f"t{i:04d}", f"t{(i + k) % n:04d}", 1.0) for i in range(n) for k in (1, n - 1)]
+    got = em.leading_axes(spark.createDataFrame(rows, "token string, context string, weight double"), 2, 1)
+    assert got.count() == n and made == [(cores, n)]
+    for n in (1, 3, 12):
+        key = F.element_at(em._keys_of_partitions(spark, n), (F.col("id") % n + 1).cast("int"))
+        dealt = spark.range(40).repartition(n, key).select((F.col("id") % n).alias("chunk"), F.spark_partition_id().alias("at")).distinct().collect()
+        assert len(dealt) == len({r["at"] for r in dealt}) == len({r["chunk"] for r in dealt}) == n
