@@ -7,8 +7,9 @@ can't: the same forest cut at any depth (`predicted_at`), so that a sweep over
 depths takes one fit and one pass over the rows.
 
 A cut forest is a truncation: nodes at the cut vote with their own class weights.
-It isn't the forest that a fit with a smaller depth limit would give, as such a
-fit draws other features for its nodes; `tuning.depth_sweep` fits each depth.
+It isn't quite the forest that a fit with a smaller depth limit would give: MLlib's
+draws other features for its nodes, and leaves of one prediction are merged in a
+fit; `tuning.depth_sweep` has the forest of each limit.
 """
 
 from __future__ import annotations
